@@ -19,14 +19,13 @@ def duration_peak(spark, sf_dir):
 
 
 def plateau_means(spark, sf_dir):
-    out = derived_features(supplier_series(spark, sf_dir), SHOT, index="_i")
-    return out.select(
+    return features(spark, sf_dir).select(
         "shot_id", "plasma_current_mean_MA", "electron_density_mean", "electron_temperature_mean"
     )
 
 
 def features(spark, sf_dir):
-    return derived_features(supplier_series(spark, sf_dir), SHOT, index="_i")
+    return rounded(derived_features(supplier_series(spark, sf_dir), SHOT, index="_i", rounded=False))
 
 
 def disruption(spark, sf_dir):
@@ -60,7 +59,7 @@ QUERIES = {
     "mart_manifest_stats": statistics,
 }
 
-_SUPPLIER_FEATURES = f"WITH {SUPPLIER_SERIES_SQL}, {features_sql('series', 'i')}"
+_SUPPLIER_FEATURES = f"WITH {SUPPLIER_SERIES_SQL}, {features_sql('series', 'i', 'round', 6)}"
 
 ORACLES = {
     "feat_duration_peak": f"""WITH {USER_SERIES_SQL}

@@ -112,7 +112,7 @@ def quarantine(spark, sf_dir):
 
 
 def error_sample(spark, sf_dir):
-    sample = rec.error_sample(_load(spark, sf_dir).errors, 2)
+    sample = rec.error_sample(_load(spark, sf_dir).errors)
     return sample.select(F.regexp_extract("shot_dir", "[^/]+$", 0).alias("recording"))
 
 
@@ -185,7 +185,7 @@ FROM events""",
 UNION ALL FROM (VALUES """
     + ", ".join(f"('{name}', 0, '{error}')" for name, (_, error) in _BROKEN.items())
     + ") v(recording, n_rows, error)",
-    "ingest_error_sample": "FROM (VALUES ('shot_9001'), ('shot_9002')) v(recording)",
+    "ingest_error_sample": "FROM (VALUES " + ", ".join(f"('{name}')" for name in _BROKEN) + ") v(recording)",
     "ingest_schema_usage": f"""WITH {_SHOTS}
 SELECT naming || '_' || unit AS schema_applied, count(*) AS n_shots FROM layouts GROUP BY ALL""",
     "ingest_dataset_summary": f"""WITH {_SHOTS}

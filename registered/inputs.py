@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.config import SIGNAL_COLUMNS, CleaningConfig
+from tidegrid.config import SIGNAL_COLUMNS, CleaningConfig, MartConfig
 from tidegrid.operators.clean import clean_series
 from tidegrid.operators.enrich import enrich
 from tidegrid.operators.features import derived_features
 from tidegrid.operators.quality import quality_report
 from tidegrid.operators.series import with_row_index
-from tidegrid.session import scratch_dir
+from tidegrid.session import materialize, scratch_dir
 from tidegrid.sinks.mart import write_mart, write_signals
-from tidegrid.config import MartConfig
 
 ORIGIN_MICROS = 1704067200000000  # 2024-01-01T00:00:00Z
 HZ = 1 / 21600  # four grid points a day
@@ -139,8 +140,6 @@ USER_METADATA_SQL = """described AS (
 
 
 def cleaned_users(spark: SparkSession, sf_dir: str, **changes) -> DataFrame:
-    from dataclasses import replace
-
     return clean_series(
         user_series(spark, sf_dir), SHOT, replace(CLEANING, **changes), tie=["event_id"]
     )
@@ -148,7 +147,7 @@ def cleaned_users(spark: SparkSession, sf_dir: str, **changes) -> DataFrame:
 
 def user_mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = user_series(spark, sf_dir)
-    cleaned = cleaned_users(spark, sf_dir)
+    cleaned = materialize(cleaned_users(spark, sf_dir), "cleaned")
     return enrich(
         user_metadata(spark, sf_dir),
         quality_report(raw, cleaned, SHOT, CLEANING),

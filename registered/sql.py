@@ -86,16 +86,16 @@ QUALITY = f"""signal_quality AS (
          count(*) FILTER (is_out) AS n_outliers
   FROM filled GROUP BY shot_id, signal),
 quality AS (
-  SELECT shot_id, sum(completeness) / 4 AS overall_completeness,
+  SELECT *, (c0 + c1 + c2 + c3) / 4 AS overall_completeness FROM (SELECT shot_id,
          {", ".join(f"max(CASE WHEN signal = '{s}' THEN completeness END) AS c{j}, max(CASE WHEN signal = '{s}' THEN n_outliers END) AS o{j}" for j, s in enumerate(SIGNALS))}
-  FROM signal_quality GROUP BY shot_id),
+  FROM signal_quality GROUP BY shot_id)),
 flags AS (
   SELECT *, CASE WHEN overall_completeness >= 0.98 THEN 'OK'
                  WHEN overall_completeness >= 0.90 THEN 'DEGRADED' ELSE 'REJECTED' END AS quality_flag
   FROM quality)"""
 
 
-def features_sql(source: str, index: str) -> str:
+def features_sql(source: str, index: str, rounding: str = "round_even", digits: int = 4) -> str:
     """Features of a wide table; the lag and the end margin follow from the first time step."""
     return f"""scale AS (
   SELECT shot_id, count(*) AS n, max(time_s) - min(time_s) AS duration, max(plasma_current_MA) AS peak,
@@ -117,15 +117,23 @@ plateau AS (
   FROM {source} a JOIN scale s ON a.shot_id = s.shot_id
   WHERE s.peak > 0 AND a.plasma_current_MA > 0.7e0 * s.peak GROUP BY a.shot_id),
 features AS (
-  SELECT s.shot_id, round_even(s.duration, 4) AS duration_effective_s, s.n AS n_samples_after_cleaning,
-         round_even(s.peak, 4) AS plasma_current_max_MA,
-         round_even(CASE WHEN p.shot_id IS NULL THEN 0 ELSE p.c END, 4) AS plasma_current_mean_MA,
-         round_even(CASE WHEN p.shot_id IS NULL THEN 0 ELSE p.d END, 4) AS electron_density_mean,
-         round_even(CASE WHEN p.shot_id IS NULL THEN 0 ELSE p.t END, 4) AS electron_temperature_mean,
-         r.drop_time IS NOT NULL AS disruption_detected, round_even(r.drop_time, 4) AS disruption_time_detected_s
+  SELECT s.shot_id, {rounding}(s.duration, {digits}) AS duration_effective_s, s.n AS n_samples_after_cleaning,
+         {rounding}(s.peak, {digits}) AS plasma_current_max_MA,
+         {rounding}(CASE WHEN p.shot_id IS NULL THEN 0 ELSE p.c END, {digits}) AS plasma_current_mean_MA,
+         {rounding}(CASE WHEN p.shot_id IS NULL THEN 0 ELSE p.d END, {digits}) AS electron_density_mean,
+         {rounding}(CASE WHEN p.shot_id IS NULL THEN 0 ELSE p.t END, {digits}) AS electron_temperature_mean,
+         r.drop_time IS NOT NULL AS disruption_detected, {rounding}(r.drop_time, {digits}) AS disruption_time_detected_s
   FROM scale s LEFT JOIN plateau p USING (shot_id) LEFT JOIN drops r USING (shot_id))"""
 
 
+def _exact(x: str) -> str:
+    """Half-even rounding to 4 places on the exact binary value."""
+    high = f"(134217729e0 * {x} - (134217729e0 * {x} - {x}))"
+    rest = f"(({high} * 20000e0 - (2 * floor({x} * 10000e0) + 1)) + ({x} - {high}) * 20000e0)"
+    up = f"{rest} > 0 OR ({rest} = 0 AND floor({x} * 10000e0) % 2 <> 0)"
+    return f"(floor({x} * 10000e0) + CASE WHEN {up} THEN 1 ELSE 0 END) / 10000e0"
+
+
 META = f"""{USER_SERIES_SQL},
 {CLEANED},
 {QUALITY},
@@ -135,9 +143,9 @@ meta AS (
   SELECT d.shot_id, d.operator, d.machine_config, d.source_format, d.source_current_unit,
          d.source_column_naming, d.source_sampling_hz, d.declared_disruption,
          d.declared_disruption_time_s, d.declared_duration_s, q.quality_flag,
-         round_even(q.overall_completeness, 4) AS overall_completeness,
-         round_even(q.c0, 4) AS completeness_plasma_current, round_even(q.c1, 4) AS completeness_density,
-         round_even(q.c2, 4) AS completeness_temperature, round_even(q.c3, 4) AS completeness_vloop,
+         {_exact('q.overall_completeness')} AS overall_completeness,
+         {_exact('q.c0')} AS completeness_plasma_current, {_exact('q.c1')} AS completeness_density,
+         {_exact('q.c2')} AS completeness_temperature, {_exact('q.c3')} AS completeness_vloop,
          q.o0 AS outliers_plasma_current, q.o1 AS outliers_density,
          q.o2 AS outliers_temperature, q.o3 AS outliers_vloop,
          f.* EXCLUDE (shot_id),

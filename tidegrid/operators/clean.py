@@ -10,9 +10,8 @@ from pyspark.sql import types as T
 
 from tidegrid.config import MAD_EPSILON, MAD_SCALE, CleaningConfig
 from tidegrid.operators.impute import fill_in_blocks
-from tidegrid.operators.outliers import exceeds, frame_reach, median_over, modified_z
+from tidegrid.operators.outliers import exceeds, median_over, modified_z, rolling_frame
 from tidegrid.operators.resample import grid_blocks
-from tidegrid.operators.series import block_window
 
 MASK = "outlier_mask"
 
@@ -57,36 +56,27 @@ def clean_series(
     return step(blocks, keys, signals, extra, config).select(*columns)
 
 
-def _enough_points(signal: str, config: CleaningConfig):
+def _enough_points(signal: str, config: CleaningConfig) -> str:
     """A resampled signal is valid at every grid point or at none."""
-    return (F.col(f"_valid_{signal}") >= 2) & (F.col("_n") >= config.mad_window)
+    return f"(`_valid_{signal}` >= 2 AND _n >= {config.mad_window})"
 
 
 def _clean_in_sql(blocks, keys, signals, extra, config) -> DataFrame:
-    before, after = frame_reach(config.mad_window)
-    frame = block_window(keys, "_k").rowsBetween(-before, after)
-    blocks = blocks.withColumns({f"_med_{s}": median_over(F.col(s), frame) for s in signals})
-    blocks = blocks.withColumns(
-        {
-            f"_mad_{s}": median_over(F.abs(F.col(s) - F.col(f"_med_{s}")), frame)
-            for s in signals
-        }
-    )
-    blocks = blocks.withColumns(
-        {
-            f"_out_{s}": _enough_points(s, config)
-            & exceeds(
-                modified_z(F.col(s), F.col(f"_med_{s}"), F.col(f"_mad_{s}")),
-                config.outlier_mad_threshold,
-            )
-            for s in signals
-        }
+    frame = rolling_frame(keys, "_k", config.mad_window)
+    blocks = blocks.selectExpr("*", *[f"{median_over(f'`{s}`', frame)} AS `_med_{s}`" for s in signals])
+    blocks = blocks.selectExpr(
+        "*", *[f"{median_over(f'abs(`{s}` - `_med_{s}`)', frame)} AS `_mad_{s}`" for s in signals]
     )
-    mask = sum(
-        (F.col(f"_out_{s}").cast("int") * (1 << j) for j, s in enumerate(signals)), F.lit(0)
+    tests = {
+        s: exceeds(modified_z(f"`{s}`", f"`_med_{s}`", f"`_mad_{s}`"), config.outlier_mad_threshold)
+        for s in signals
+    }
+    blocks = blocks.selectExpr(
+        "*", *[f"{_enough_points(s, config)} AND {t} AS `_out_{s}`" for s, t in tests.items()]
     )
+    mask = " + ".join(f"if(`_out_{s}`, {1 << j}, 0)" for j, s in enumerate(signals))
     blocks = blocks.withColumns(
-        {MASK: mask, **{s: F.when(~F.col(f"_out_{s}"), F.col(s)) for s in signals}}
+        {MASK: F.expr(mask), **{s: F.expr(f"if(`_out_{s}`, NULL, `{s}`)") for s in signals}}
     )
     return fill_in_blocks(blocks, keys, "_k", signals, config.max_gap_to_impute).where("_core")
 
@@ -95,9 +85,12 @@ def _clean_in_arrow(blocks, keys, signals, extra, config) -> DataFrame:
     """The same steps with compiled rolling medians, one bounded block per call."""
     window, threshold = config.mad_window, config.outlier_mad_threshold
     max_gap, time = config.max_gap_to_impute, config.time_column
-    enough = {f"_test_{s}": _enough_points(s, config) for s in signals}
     columns = [*keys, "_b", "_k", time, *signals, *extra]
-    blocks = blocks.select(*columns, "_core", *[c.alias(name) for name, c in enough.items()])
+    blocks = blocks.selectExpr(
+        *[f"`{c}`" for c in columns],
+        "_core",
+        *[f"{_enough_points(s, config)} AS `_test_{s}`" for s in signals],
+    )
     fields = [blocks.schema[c] for c in columns] + [T.StructField(MASK, T.IntegerType())]
     scale, epsilon = MAD_SCALE, MAD_EPSILON
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.config import PIPELINE_VERSION, SIGNAL_COLUMNS
+from tidegrid.functions.numeric import round_exactly
 
 # Source names of the descriptive columns, their names in the dimension table
 # and their types; the column order is part of the contract.
@@ -61,15 +62,14 @@ def enrich(
     """
     joined = metadata.join(quality, "shot_id", "left").join(features, "shot_id", "left")
     context = [_optional(metadata, c, kind).alias(name) for c, name, kind in CONTEXT]
-    completeness = F.col("completeness_per_signal")
     outliers = F.col("outliers_per_signal")
     return joined.select(
         F.col("shot_id").cast("long").alias("shot_id"),
         *context,
         F.coalesce("quality_flag", F.lit("REJECTED")).alias("quality_flag"),
-        F.bround(F.coalesce("overall_completeness", F.lit(0.0)), 4).alias("overall_completeness"),
+        _rounded("coalesce(overall_completeness, 0D)").alias("overall_completeness"),
         *[
-            F.bround(F.coalesce(completeness[s], F.lit(0.0)), 4).alias(f"completeness_{short}")
+            _rounded(f"coalesce(completeness_per_signal['{s}'], 0D)").alias(f"completeness_{short}")
             for short, s in SENSORS
         ],
         *[
@@ -109,6 +109,10 @@ def preview(table: DataFrame, rows: int = 3) -> DataFrame:
     return table.select(*PREVIEW).orderBy("shot_id").limit(rows)
 
 
+def _rounded(expr: str) -> Column:
+    return F.expr(round_exactly(expr, 4))
+
+
 def _optional(df: DataFrame, name: str, kind: str) -> Column:
     return (F.col(name) if name in df.columns else F.lit(None)).cast(kind)
 

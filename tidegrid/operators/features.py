@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.config import SIGNAL_COLUMNS, TIME_COLUMN, FeatureConfig
-from tidegrid.functions.numeric import clean_doubles
+from tidegrid.functions.numeric import clean_doubles, round_exactly
 from tidegrid.operators.series import with_row_index
 from tidegrid.session import broadcast_if_small
 
@@ -53,7 +53,7 @@ def derived_features(
         "electron_density_mean", "electron_temperature_mean", "disruption_time_detected_s",
     ]
     if rounded:
-        out = out.withColumns({c: F.bround(c, 4) for c in measures})
+        out = out.withColumns({c: F.expr(round_exactly(c, 4)) for c in measures})
     return out.select(
         *keys, "duration_effective_s", "n_samples_after_cleaning", "plasma_current_max_MA",
         "plasma_current_mean_MA", "electron_density_mean", "electron_temperature_mean",

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.config import GRID_BLOCK_ROWS, SPLIT_ROWS
 from tidegrid.functions.numeric import clean_doubles
-from tidegrid.operators.series import block_window, lead_ignore_nulls, with_halo, with_row_index
+from tidegrid.operators.series import (
+    ALL_ROWS,
+    ROWS_SO_FAR,
+    over,
+    repartition_blocks,
+    with_halo,
+    with_row_index,
+)
 
 
 def gap_islands(
@@ -28,7 +35,7 @@ def gap_islands(
     """
     indexed = with_row_index(clean_doubles(df, [value]), keys, order, split_rows=split_rows)
     missing = indexed.where(F.col(value).isNull()).withColumn("_b", F.floor(F.col("_i") / block_rows))
-    run = F.col("_i") - F.row_number().over(block_window(keys, "_i"))
+    run = F.expr(f"_i - row_number() {over([*keys, '_b'], ['_i'])}")
     runs = (
         missing.select(*keys, "_b", "_i", run.alias("_run"))
         .groupBy(*keys, "_b", "_run")
@@ -65,9 +72,7 @@ def impute_short_gaps(
     """Fill gaps of at most ``max_gap`` rows linearly by row position; longer ones stay NULL."""
     df = clean_doubles(df, list(values))
     indexed = with_row_index(df, keys, order, split_rows=split_rows)
-    blocks = with_halo(indexed, "_i", block_rows, max_gap, max_gap).repartition(
-        *[F.col(k) for k in keys], F.col("_b")
-    )
+    blocks = repartition_blocks(with_halo(indexed, "_i", block_rows, max_gap, max_gap), keys)
     return fill_in_blocks(blocks, keys, "_i", values, max_gap).where("_core").select(*indexed.columns)
 
 
@@ -78,31 +83,27 @@ def fill_in_blocks(
 
     That halo is enough: a gap that leaves it is longer than ``max_gap`` already.
     """
-    here = block_window(keys, index)
-    seen = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = here.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    points = {
-        f"_at_{v}": F.when(
-            F.col(v).isNotNull(), F.struct(F.col(index).alias("i"), F.col(v).alias("v"))
-        )
-        for v in values
-    }
-    blocks = blocks.withColumns(points)
-    blocks = blocks.withColumns(
-        {
-            "_from": F.min(index).over(whole),
-            "_to": F.max(index).over(whole),
-            **{f"_prev_{v}": F.last(f"_at_{v}", ignorenulls=True).over(seen) for v in values},
-            **{f"_next_{v}": lead_ignore_nulls(f"`_at_{v}`", [*keys, "_b"], [index]) for v in values},
-        }
+    here = over([*keys, "_b"], [index])
+    seen = over([*keys, "_b"], [index], ROWS_SO_FAR)
+    whole = over([*keys, "_b"], [index], ALL_ROWS)
+    blocks = blocks.selectExpr(
+        "*",
+        *[f"if(`{v}` IS NULL, NULL, named_struct('i', {index}, 'v', `{v}`)) AS `_at_{v}`" for v in values],
+    )
+    blocks = blocks.selectExpr(
+        "*",
+        f"min({index}) {whole} AS _from",
+        f"max({index}) {whole} AS _to",
+        *[f"last(`_at_{v}`, true) {seen} AS `_prev_{v}`" for v in values],
+        *[f"lead(`_at_{v}`, 1) IGNORE NULLS {here} AS `_next_{v}`" for v in values],
     )
-    return blocks.withColumns({v: _filled(index, v, max_gap) for v in values})
+    return blocks.withColumns({v: F.expr(_filled(index, v, max_gap)) for v in values})
 
 
-def _filled(index: str, value: str, max_gap: int) -> Column:
-    prev, next_ = F.col(f"_prev_{value}"), F.col(f"_next_{value}")
-    gap = F.coalesce(next_.i, F.col("_to") + 1) - F.coalesce(prev.i, F.col("_from") - 1) - 1
-    line = (next_.v - prev.v) / (next_.i - prev.i) * (F.col(index) - prev.i) + prev.v
-    return F.when(F.col(value).isNotNull(), F.col(value)).when(
-        gap <= max_gap, F.coalesce(line, next_.v, prev.v)
-    )
+def _filled(index: str, value: str, max_gap: int) -> str:
+    a, b = f"`_prev_{value}`", f"`_next_{value}`"
+    gap = f"coalesce({b}.i, _to + 1) - coalesce({a}.i, _from - 1) - 1"
+    line = f"({b}.v - {a}.v) / ({b}.i - {a}.i) * ({index} - {a}.i) + {a}.v"
+    return f"""CASE
+        WHEN `{value}` IS NOT NULL THEN `{value}`
+        WHEN {gap} <= {max_gap} THEN coalesce({line}, {b}.v, {a}.v) END"""

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.config import GRID_BLOCK_ROWS, MAD_EPSILON, MAD_SCALE, SPLIT_ROWS
-from tidegrid.functions.numeric import clean_doubles, null_if_infinite
-from tidegrid.operators.series import block_window, with_halo, with_row_index
+from tidegrid.functions.numeric import clean_doubles
+from tidegrid.operators.series import over, repartition_blocks, with_halo, with_row_index
 
 
 def rolling_mad(
@@ -30,14 +30,13 @@ def rolling_mad(
     df = clean_doubles(df, [value])
     indexed = with_row_index(df, keys, order, count_valid=[value], split_rows=split_rows)
     before, after = frame_reach(window)
-    blocks = with_halo(indexed, "_i", block_rows, 2 * before, 2 * after).repartition(
-        *[F.col(k) for k in keys], F.col("_b")
-    )
+    blocks = with_halo(indexed, "_i", block_rows, 2 * before, 2 * after)
+    blocks = repartition_blocks(blocks, keys)
     if engine == "sql":
-        frame = block_window(keys, "_i").rowsBetween(-before, after)
-        out = blocks.withColumn("local_median", median_over(F.col(value), frame)).withColumn(
-            "local_mad", median_over(F.abs(F.col(value) - F.col("local_median")), frame)
-        )
+        frame = rolling_frame(keys, "_i", window)
+        out = blocks.selectExpr("*", f"{median_over(f'`{value}`', frame)} AS local_median")
+        deviation = f"abs(`{value}` - local_median)"
+        out = out.selectExpr("*", f"{median_over(deviation, frame)} AS local_mad")
     else:
         out = _rolling_in_arrow(blocks, keys, value, window)
     return out.where("_core").select(*indexed.columns, "local_median", "local_mad")
@@ -59,9 +58,9 @@ def detect_outliers(
     A series with fewer than ``window`` valid rows has no outliers.
     """
     out = rolling_mad(df, keys, order, value, window, engine, split_rows, block_rows)
-    z = modified_z(F.col(value), F.col("local_median"), F.col("local_mad"))
-    enough = F.col(f"_valid_{value}") >= window
-    return out.withColumn("is_outlier", enough & exceeds(z, threshold)).drop(f"_valid_{value}")
+    test = exceeds(modified_z(f"`{value}`", "local_median", "local_mad"), threshold)
+    flag = f"`_valid_{value}` >= {window} AND {test} AS is_outlier"
+    return out.selectExpr("*", flag).drop(f"_valid_{value}")
 
 
 def nullify_outliers(df: DataFrame, value: str) -> DataFrame:
@@ -73,17 +72,22 @@ def frame_reach(window: int) -> tuple[int, int]:
     return window // 2, (window - 1) // 2
 
 
-def median_over(c: Column, frame: WindowSpec) -> Column:
+def rolling_frame(keys: Sequence[str], index: str, window: int) -> str:
+    before, after = frame_reach(window)
+    return over([*keys, "_b"], [index], f"ROWS BETWEEN {before} PRECEDING AND {after} FOLLOWING")
+
+
+def median_over(expr: str, frame: str) -> str:
     """Infinite values count as missing here, as they do in a rolling median of sensor data."""
-    return F.percentile(null_if_infinite(c), 0.5).over(frame)
+    return f"percentile(if(abs({expr}) = double('Infinity'), NULL, {expr}), 0.5) {frame}"
 
 
-def modified_z(value: Column, median: Column, mad: Column) -> Column:
-    return F.lit(MAD_SCALE) * (value - median) / (mad + F.lit(MAD_EPSILON))
+def modified_z(value: str, median: str, mad: str) -> str:
+    return f"{MAD_SCALE}D * ({value} - {median}) / ({mad} + {MAD_EPSILON}D)"
 
 
-def exceeds(z: Column, threshold: float) -> Column:
-    return F.coalesce(~F.isnan(z) & (F.abs(z) > threshold), F.lit(False))
+def exceeds(z: str, threshold: float) -> str:
+    return f"coalesce(NOT isnan({z}) AND abs({z}) > {float(threshold)!r}D, false)"
 
 
 def _rolling_in_arrow(blocks: DataFrame, keys: Sequence[str], value: str, window: int) -> DataFrame:

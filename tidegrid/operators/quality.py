@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.config import QUALITY_FLAGS, CleaningConfig
+from tidegrid.functions.numeric import round_exactly
 from tidegrid.operators.clean import MASK
 
 
@@ -83,9 +84,9 @@ def quality_report(
     if rounded:
         report = report.withColumns(
             {
-                "overall_completeness": F.bround("overall_completeness", 4),
-                "completeness_per_signal": F.transform_values(
-                    "completeness_per_signal", lambda _, c: F.bround(c, 4)
+                "overall_completeness": F.expr(round_exactly("overall_completeness", 4)),
+                "completeness_per_signal": F.expr(
+                    f"transform_values(completeness_per_signal, (k, c) -> {round_exactly('c', 4)})"
                 ),
             }
         )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.config import GRID_BLOCK_ROWS, SPLIT_ROWS
 from tidegrid.functions.numeric import clean_doubles
-from tidegrid.operators.series import lag_ignore_nulls, lead_ignore_nulls, split_series
+from tidegrid.operators.series import ALL_ROWS, over, repartition_blocks, split_series
 
 
 def grid_bounds(df: DataFrame, keys: Sequence[str], time: str, hz: float) -> DataFrame:
@@ -17,7 +17,7 @@ def grid_bounds(df: DataFrame, keys: Sequence[str], time: str, hz: float) -> Dat
     return (
         df.groupBy(*keys)
         .agg(F.min(time).alias("t_min"), F.max(time).alias("t_max"))
-        .withColumn("n_grid", _grid_size(F.col("t_min"), F.col("t_max"), hz))
+        .withColumn("n_grid", F.expr(_grid_size("t_min", "t_max", hz)))
     )
 
 
@@ -61,122 +61,100 @@ def grid_blocks(
     rows = clean_doubles(df.select(*dict.fromkeys([*keys, *order, *values])), [time, *values])
     rows = rows.where(F.col(time).isNotNull())
     rows, path = split_series(rows, keys, order, split_rows)
-    rows = rows.withColumns({f"_p_{v}": _point(time, v) for v in values})
+    rows = rows.selectExpr("*", "0 AS _rank", *[f"{_point(time, v)} AS `_p_{v}`" for v in values])
     if path:
         rows = _with_edges(rows, keys, path, order, time, values)
-    else:
-        rows = rows.withColumn("_rank", F.lit(0))
 
-    part = [*keys, *path]
-    sort = ["_rank", *order]
-    here = Window.partitionBy(*part).orderBy(*sort)
-    whole = here.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    seen = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    t0, t1 = F.min(time).over(whole), F.max(time).over(whole)
-    valid = {f"_valid_{v}": F.count(v).over(whole) for v in values}
+    here = over([*keys, *path], ["_rank", *order])
+    whole = over([*keys, *path], ["_rank", *order], ALL_ROWS)
+    t0, t1 = f"min(`{time}`) {whole}", f"max(`{time}`) {whole}"
+    valid = {v: f"count(`{v}`) {whole}" for v in values}
     if path:
-        t0, t1 = F.coalesce("_first", t0), F.coalesce("_last", t1)
-        valid = {
-            name: F.coalesce(F.max(f"_all_{v}").over(whole), valid[name])
-            for name, v in zip(valid, values)
-        }
-    rows = rows.withColumns(
-        {
-            "_t0": t0,
-            "_t1": t1,
-            **valid,
-            **{f"_prev_{v}": F.last(f"_p_{v}", ignorenulls=True).over(seen) for v in values},
-            **{f"_next_{v}": lead_ignore_nulls(f"`_p_{v}`", part, sort) for v in values},
-        }
-    )
-    rows = rows.withColumn("_n", _grid_size(F.col("_t0"), F.col("_t1"), hz))
-    rows = rows.withColumn(
-        "_step",
-        F.when(F.col("_n") > 1, (F.col("_t1") - F.col("_t0")) / (F.col("_n") - 1)).otherwise(0.0),
-    )
-    rows = rows.withColumn("_k0", _first_grid_index(F.col(time)))
-    rows = rows.withColumn(
-        "_k1", F.coalesce(F.lead("_k0").over(here) - 1, F.col("_n") - 1)
-    ).where((F.col("_rank") == 0) & (F.col("_k0") <= F.col("_k1")))
-
-    last_block = F.floor((F.col("_n") - 1) / block_rows)
-    segments = rows.select(
-        *keys,
+        t0, t1 = f"coalesce(_first, {t0})", f"coalesce(_last, {t1})"
+        valid = {v: f"coalesce(max(`_all_{v}`) {whole}, {c})" for v, c in valid.items()}
+    carried = [f"`_valid_{v}`" for v in values]
+    rows = rows.selectExpr(
+        *[f"`{c}`" for c in dict.fromkeys([*keys, *path, "_rank", *order])],
+        f"{t0} AS _t0",
+        f"{t1} AS _t1",
+        *[f"{c} AS `_valid_{v}`" for v, c in valid.items()],
+        *[f"last(`_p_{v}`, true) {here} AS `_prev_{v}`" for v in values],
+        *[f"lead(`_p_{v}`, 1) IGNORE NULLS {here} AS `_next_{v}`" for v in values],
+    )
+    rows = rows.selectExpr("*", f"{_grid_size('_t0', '_t1', hz)} AS _n")
+    rows = rows.selectExpr("*", "if(_n > 1, (_t1 - _t0) / (_n - 1), 0D) AS _step")
+    rows = rows.selectExpr("*", f"CAST(ceil((`{time}` - _t0) / nullif(_step, 0D)) AS BIGINT) AS _guess")
+    rows = rows.selectExpr("*", f"{_first_grid_index(time)} AS _k0")
+    rows = rows.selectExpr("*", f"coalesce(lead(_k0) {here} - 1, _n - 1) AS _k1")
+
+    segments = rows.where("_rank = 0 AND _k0 <= _k1").selectExpr(
+        *[f"`{k}`" for k in keys],
         "_t0",
         "_t1",
         "_step",
         "_n",
         "_k0",
         "_k1",
-        *valid,
-        *[f"_{side}_{v}" for v in values for side in ("prev", "next")],
-        F.explode(
-            F.sequence(
-                F.greatest(F.floor((F.col("_k0") - halo) / block_rows), F.lit(0)),
-                F.least(F.floor((F.col("_k1") + halo) / block_rows), last_block),
-            )
-        ).alias("_b"),
-    )
-    lo = F.greatest(F.col("_k0"), F.col("_b") * block_rows - halo)
-    hi = F.least(F.col("_k1"), (F.col("_b") + 1) * block_rows - 1 + halo)
-    points = (
-        segments.where(lo <= hi)
-        .repartition(*[F.col(k) for k in keys], F.col("_b"))
-        .withColumn("_k", F.explode(F.sequence(lo, hi)))
-    )
-    x = _grid_time(F.col("_k"))
-    return points.select(
-        *keys,
+        *carried,
+        *[f"`_{side}_{v}`" for v in values for side in ("prev", "next")],
+        f"explode(sequence(greatest((_k0 - {halo}) div {block_rows}, 0L),"
+        f" least((_k1 + {halo}) div {block_rows}, (_n - 1) div {block_rows}))) AS _b",
+    )
+    segments = segments.selectExpr(
+        "*",
+        f"greatest(_k0, _b * {block_rows} - {halo}) AS _lo",
+        f"least(_k1, (_b + 1) * {block_rows} - 1 + {halo}) AS _hi",
+    ).where("_lo <= _hi")
+    points = repartition_blocks(segments, keys).selectExpr("*", "explode(sequence(_lo, _hi)) AS _k")
+    points = points.selectExpr("*", f"{_grid_time('_k')} AS _x")
+    return points.selectExpr(
+        *[f"`{k}`" for k in keys],
         "_b",
-        (F.floor(F.col("_k") / block_rows) == F.col("_b")).alias("_core"),
+        f"_k div {block_rows} = _b AS _core",
         "_k",
-        x.alias(time),
-        *[F.when(F.col(f"_valid_{v}") >= 2, _interpolate(x, v)).alias(v) for v in values],
+        f"_x AS `{time}`",
+        *[f"{_interpolate(v)} AS `{v}`" for v in values],
         "_n",
-        *valid,
+        *carried,
     )
 
 
-def _grid_size(t0: Column, t1: Column, hz: float) -> Column:
-    return F.rint((t1 - t0) * F.lit(float(hz))).cast("long") + 1
+def _grid_size(t0: str, t1: str, hz: float) -> str:
+    return f"CAST(rint(({t1} - {t0}) * {float(hz)!r}D) AS BIGINT) + 1"
 
 
-def _grid_time(k: Column) -> Column:
-    last = (k == F.col("_n") - 1) & (F.col("_n") > 1)
-    return F.when(last, F.col("_t1")).otherwise(k * F.col("_step") + F.col("_t0"))
+def _grid_time(k: str) -> str:
+    return f"if({k} = _n - 1 AND _n > 1, _t1, {k} * _step + _t0)"
 
 
-def _first_grid_index(t: Column) -> Column:
-    """Smallest grid index at or after ``t``; the quotient may be off by one through rounding."""
-    guess = F.ceil((t - F.col("_t0")) / F.col("_step"))
-    exact = (
-        F.when(_grid_time(guess - 1) >= t, guess - 1)
-        .when(_grid_time(guess) >= t, guess)
-        .otherwise(guess + 1)
-    )
-    single = F.when(t > F.col("_t0"), F.lit(1)).otherwise(F.lit(0)).cast("long")
-    return F.when(
-        t.isNotNull(), F.when(F.col("_step") > 0, F.greatest(exact, F.lit(0))).otherwise(single)
-    )
+def _first_grid_index(time: str) -> str:
+    """Smallest grid index at or after the row; the quotient may be off by one through rounding."""
+    return f"""CASE
+        WHEN `{time}` IS NULL THEN NULL
+        WHEN _guess IS NULL THEN if(`{time}` > _t0, 1L, 0L)
+        WHEN {_grid_time('(_guess - 1)')} >= `{time}` THEN greatest(_guess - 1, 0L)
+        WHEN {_grid_time('_guess')} >= `{time}` THEN _guess
+        ELSE _guess + 1 END"""
 
 
-def _point(time: str, value: str) -> Column:
-    return F.when(
-        F.col(value).isNotNull(), F.struct(F.col(time).alias("t"), F.col(value).alias("v"))
-    )
+def _point(time: str, value: str) -> str:
+    return f"if(`{value}` IS NULL, NULL, named_struct('t', `{time}`, 'v', `{value}`))"
 
 
-def _interpolate(x: Column, value: str) -> Column:
-    a, b = F.col(f"_prev_{value}"), F.col(f"_next_{value}")
-    slope = (b.v - a.v) / (b.t - a.t)
-    from_left = slope * (x - a.t) + a.v
-    from_right = slope * (x - b.t) + b.v
-    # Infinite neighbours make the left form NaN; the right one may still be defined.
-    y = F.when(~F.isnan(from_left), from_left).when(~F.isnan(from_right), from_right)
-    return F.when(b.isNull() | (x == a.t), a.v).when(a.isNull(), b.v).otherwise(
-        F.coalesce(y, F.when(a.v == b.v, a.v))
-    )
+def _interpolate(value: str) -> str:
+    """The line between the neighbouring points, constant beyond the first and the last one.
+
+    Infinite neighbours can make the line from the left NaN where the one from the right is not.
+    """
+    a, b = f"`_prev_{value}`", f"`_next_{value}`"
+    slope = f"({b}.v - {a}.v) / ({b}.t - {a}.t)"
+    left, right = f"{slope} * (_x - {a}.t) + {a}.v", f"{slope} * (_x - {b}.t) + {b}.v"
+    return f"""CASE
+        WHEN `_valid_{value}` < 2 THEN NULL
+        WHEN {b} IS NULL OR _x = {a}.t THEN {a}.v
+        WHEN {a} IS NULL THEN {b}.v
+        ELSE nullif(nanvl({left}, nanvl({right}, if({a}.v = {b}.v, {a}.v, double('NaN')))), double('NaN'))
+        END"""
 
 
 def _with_edges(
@@ -192,49 +170,40 @@ def _with_edges(
     A row of rank -1 carries the last valid points before the block, one of rank 1 the next time
     and the next valid points after it. Both come from one summary row per block.
     """
-    order_key = F.struct(*order)
+    order_key = ", ".join(f"`{c}`" for c in order)
+    first = [f"min_by(`_p_{v}`, if(`{v}` IS NULL, NULL, struct({order_key})))" for v in values]
+    last = [f"max_by(`_p_{v}`, if(`{v}` IS NULL, NULL, struct({order_key})))" for v in values]
     summary = (
-        rows.where(F.col(path[0]).isNotNull())
+        rows.where(f"{path[0]} IS NOT NULL")
         .groupBy(*keys, *path)
         .agg(
             F.min(time).alias("_start"),
             F.first("_first").alias("_first"),
             F.first("_last").alias("_last"),
-            *[
-                agg
-                for v in values
-                for agg in (
-                    F.count(v).alias(f"_cnt_{v}"),
-                    F.min_by(f"_p_{v}", F.when(F.col(v).isNotNull(), order_key)).alias(f"_lo_{v}"),
-                    F.max_by(f"_p_{v}", F.when(F.col(v).isNotNull(), order_key)).alias(f"_hi_{v}"),
-                )
-            ],
+            *[F.count(v).alias(f"_cnt_{v}") for v in values],
+            *[F.expr(f"{c} AS `_lo_{v}`") for v, c in zip(values, first)],
+            *[F.expr(f"{c} AS `_hi_{v}`") for v, c in zip(values, last)],
         )
     )
-    series = Window.partitionBy(*keys)
-    along = series.orderBy(*path)
-    summary = summary.select(
-        *keys,
-        *path,
-        "_first",
-        "_last",
-        F.lead("_start").over(along).alias("_after"),
-        *[F.sum(f"_cnt_{v}").over(series).alias(f"_all_{v}") for v in values],
-        *[lag_ignore_nulls(f"`_hi_{v}`", keys, path).alias(f"_left_{v}") for v in values],
-        *[lead_ignore_nulls(f"`_lo_{v}`", keys, path).alias(f"_right_{v}") for v in values],
+    series, along = over(keys), over(keys, path)
+    shared = [*[f"`{c}`" for c in [*keys, *path]], "_first", "_last"]
+    summary = summary.selectExpr(
+        *shared,
+        f"lead(_start) {along} AS _after",
+        *[f"sum(`_cnt_{v}`) {series} AS `_all_{v}`" for v in values],
+        *[f"lag(`_hi_{v}`, 1) IGNORE NULLS {along} AS `_left_{v}`" for v in values],
+        *[f"lead(`_lo_{v}`, 1) IGNORE NULLS {along} AS `_right_{v}`" for v in values],
     )
-    shared = [*keys, *path, "_first", "_last", *[f"_all_{v}" for v in values]]
-    before = summary.select(
-        *shared, F.lit(-1).alias("_rank"), *[F.col(f"_left_{v}").alias(f"_p_{v}") for v in values]
+    shared += [f"`_all_{v}`" for v in values]
+    before = summary.selectExpr(
+        *shared, "-1 AS _rank", *[f"`_left_{v}` AS `_p_{v}`" for v in values]
     )
-    after = summary.select(
+    after = summary.selectExpr(
         *shared,
-        F.lit(1).alias("_rank"),
-        F.col("_after").alias(time),
-        *[F.col(f"_right_{v}").alias(f"_p_{v}") for v in values],
+        "1 AS _rank",
+        f"_after AS `{time}`",
+        *[f"`_right_{v}` AS `_p_{v}`" for v in values],
     )
-    return (
-        rows.withColumn("_rank", F.lit(0))
-        .unionByName(before, allowMissingColumns=True)
-        .unionByName(after, allowMissingColumns=True)
+    return rows.unionByName(before, allowMissingColumns=True).unionByName(
+        after, allowMissingColumns=True
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.config import BROADCAST_ROWS, SPLIT_ROWS
@@ -35,8 +35,10 @@ def split_series(
     column that varies; a block that is still too full is cut again inside its own range.
     Only long series are listed, at most one per ``4 * split_rows`` input rows.
     """
-    positions = {c: p for c in order if (p := as_position(df, c)) is not None}
     path: list[str] = []
+    if fits_one_block(df, split_rows):
+        return df, path
+    positions = {c: p for c in order if (p := as_position(df, c)) is not None}
     for level in range(MAX_LEVELS):
         pool = df.where(F.col(path[-1]).isNotNull()) if path else df
         groups = [*keys, *path]
@@ -88,6 +90,15 @@ def split_series(
     return df, path
 
 
+def fits_one_block(df: DataFrame, split_rows: int) -> bool:
+    """Whether the whole input is too small to contain a long series.
+
+    Judged by Spark's size estimate at 16 bytes per row; it only saves the listing of long series.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) < 4 * split_rows * 16
+
+
 def with_row_index(
     df: DataFrame,
     keys: Sequence[str],
@@ -151,29 +162,28 @@ def with_halo(
     ``_b`` is the block that receives the copy and ``_core`` tells whether the row belongs to it.
     A block sees ``before`` rows ahead of its first row and ``after`` rows past its last one.
     """
-    i = F.col(index)
-    home = F.floor(i / block_rows)
-    first = F.greatest(F.floor((i - after) / block_rows), F.lit(0))
-    last = F.floor((i + before) / block_rows)
-    return df.withColumn("_b", F.explode(F.sequence(first, last))).withColumn(
-        "_core", F.col("_b") == home
-    )
+    first = f"greatest(({index} - {after}) div {block_rows}, 0L)"
+    last = f"({index} + {before}) div {block_rows}"
+    copies = df.selectExpr("*", f"explode(sequence({first}, {last})) AS _b")
+    return copies.selectExpr("*", f"_b = {index} div {block_rows} AS _core")
 
 
-def block_window(keys: Sequence[str], index: str):
-    return Window.partitionBy(*keys, "_b").orderBy(index)
+def repartition_blocks(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash-partition by series and block, into exactly ``spark.sql.shuffle.partitions`` parts.
 
+    The rows are about to be expanded or run through heavy window functions, so their size in
+    bytes is no measure of the work, and adaptive merging of small partitions would mislead.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys, "_b")
 
-def lead_ignore_nulls(expr: str, partition: Sequence[str], order: Sequence[str]) -> Column:
-    """Next non-null value of ``expr``; the DataFrame ``lead`` has no IGNORE NULLS option."""
-    names = lambda cols: ", ".join(f"`{c}`" for c in cols)
-    return F.expr(
-        f"lead({expr}, 1) IGNORE NULLS OVER (PARTITION BY {names(partition)} ORDER BY {names(order)})"
-    )
+
+ALL_ROWS = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+ROWS_SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
 
-def lag_ignore_nulls(expr: str, partition: Sequence[str], order: Sequence[str]) -> Column:
+def over(partition: Sequence[str], order: Sequence[str] = (), frame: str = "") -> str:
+    """An OVER clause. Window expressions are stated in SQL, which also has IGNORE NULLS."""
     names = lambda cols: ", ".join(f"`{c}`" for c in cols)
-    return F.expr(
-        f"lag({expr}, 1) IGNORE NULLS OVER (PARTITION BY {names(partition)} ORDER BY {names(order)})"
-    )
+    ordering = f" ORDER BY {names(order)}" if order else ""
+    return f"OVER (PARTITION BY {names(partition)}{ordering} {frame})"
