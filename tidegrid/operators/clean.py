@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.config import MAD_EPSILON, MAD_SCALE, CleaningConfig
+from tidegrid.operators.blocks import gap_filler, map_blocks, padded_median
 from tidegrid.operators.impute import fill_in_blocks
 from tidegrid.operators.outliers import exceeds, median_over, modified_z, rolling_frame
 from tidegrid.operators.resample import grid_blocks
@@ -82,40 +83,37 @@ def _clean_in_sql(blocks, keys, signals, extra, config) -> DataFrame:
 
 
 def _clean_in_arrow(blocks, keys, signals, extra, config) -> DataFrame:
-    """The same steps with compiled rolling medians, one bounded block per call."""
-    window, threshold = config.mad_window, config.outlier_mad_threshold
-    max_gap, time = config.max_gap_to_impute, config.time_column
-    columns = [*keys, "_b", "_k", time, *signals, *extra]
+    """The same steps with compiled rolling medians."""
+    rows, halo = config.block_rows, config.halo_rows
+    columns = [*keys, "_b", "_k", config.time_column, *signals, *extra]
     blocks = blocks.selectExpr(
         *[f"`{c}`" for c in columns],
         "_core",
+        f"_k = greatest(_b * {rows} - {halo}, 0L) AS _start",
         *[f"{_enough_points(s, config)} AS `_test_{s}`" for s in signals],
     )
-    fields = [blocks.schema[c] for c in columns] + [T.StructField(MASK, T.IntegerType())]
-    scale, epsilon = MAD_SCALE, MAD_EPSILON
+    median, fill = padded_median(config.mad_window), gap_filler(config.max_gap_to_impute)
+    threshold, scale, epsilon = config.outlier_mad_threshold, MAD_SCALE, MAD_EPSILON
 
-    def clean_block(pdf):
+    def clean(column, starts):
         import numpy as np
 
-        pdf = pdf.sort_values("_k", ignore_index=True)
-        frame = dict(window=window, center=True, min_periods=1)
-        mask = np.zeros(len(pdf), dtype="int32")
+        out = {MASK: np.zeros(len(column("_start")), dtype="int32")}
         for j, s in enumerate(signals):
-            v = pdf[s]
-            if pdf[f"_test_{s}"].iat[0]:
-                off = v - v.rolling(**frame).median()
-                mad = off.abs().rolling(**frame).median()
-                bad = ((scale * off / (mad + epsilon)).abs() > threshold).to_numpy()
-                if bad.any():
-                    mask |= bad.astype("int32") << j
-                    v = v.mask(bad)
-            missing = v.isna()
-            if missing.any() and not missing.all():
-                run = (missing != missing.shift()).cumsum()
-                short = missing & (missing.groupby(run).transform("size") <= max_gap)
-                v = v.where(~short, v.interpolate(limit_direction="both"))
-            pdf[s] = v
-        pdf[MASK] = mask
-        return pdf.loc[pdf["_core"], [*columns, MASK]]
-
-    return blocks.groupBy(*keys, "_b").applyInPandas(clean_block, T.StructType(fields))
+            v = column(s).astype(float)
+            with np.errstate(invalid="ignore", over="ignore"):
+                off = v - median(v, starts)
+                z = scale * off / (median(np.abs(off), starts) + epsilon)
+                bad = (np.abs(z) > threshold) & column(f"_test_{s}")
+                out[MASK] |= bad.astype("int32") << j
+                out[s] = fill(np.where(bad, np.nan, v), starts)
+        return out
+
+    return map_blocks(
+        blocks,
+        keys,
+        "_k",
+        clean,
+        drop=[f"_test_{s}" for s in signals],
+        added=[T.StructField(MASK, T.IntegerType())],
+    )

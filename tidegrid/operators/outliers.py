@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidegrid.config import GRID_BLOCK_ROWS, MAD_EPSILON, MAD_SCALE, SPLIT_ROWS
 from tidegrid.functions.numeric import clean_doubles
+from tidegrid.operators.blocks import map_blocks, padded_median
 from tidegrid.operators.series import over, repartition_blocks, with_halo, with_row_index
 
 
@@ -36,10 +37,10 @@ def rolling_mad(
         frame = rolling_frame(keys, "_i", window)
         out = blocks.selectExpr("*", f"{median_over(f'`{value}`', frame)} AS local_median")
         deviation = f"abs(`{value}` - local_median)"
-        out = out.selectExpr("*", f"{median_over(deviation, frame)} AS local_mad")
+        out = out.selectExpr("*", f"{median_over(deviation, frame)} AS local_mad").where("_core")
     else:
-        out = _rolling_in_arrow(blocks, keys, value, window)
-    return out.where("_core").select(*indexed.columns, "local_median", "local_mad")
+        out = _rolling_in_arrow(blocks, keys, value, window, block_rows)
+    return out.select(*indexed.columns, "local_median", "local_mad")
 
 
 def detect_outliers(
@@ -90,15 +91,20 @@ def exceeds(z: str, threshold: float) -> str:
     return f"coalesce(NOT isnan({z}) AND abs({z}) > {float(threshold)!r}D, false)"
 
 
-def _rolling_in_arrow(blocks: DataFrame, keys: Sequence[str], value: str, window: int) -> DataFrame:
-    fields = [*blocks.schema.fields]
-    fields += [T.StructField(c, T.DoubleType()) for c in ("local_median", "local_mad")]
+def _rolling_in_arrow(
+    blocks: DataFrame, keys: Sequence[str], value: str, window: int, block_rows: int
+) -> DataFrame:
+    reach = 2 * frame_reach(window)[0]
+    blocks = blocks.selectExpr("*", f"_i = greatest(_b * {block_rows} - {reach}, 0L) AS _start")
+    median = padded_median(window)
+
+    def roll(column, starts):
+        import numpy as np
 
-    def roll(pdf):
-        pdf = pdf.sort_values("_i")
-        frame = dict(window=window, center=True, min_periods=1)
-        median = pdf[value].rolling(**frame).median()
-        mad = (pdf[value] - median).abs().rolling(**frame).median()
-        return pdf.assign(local_median=median, local_mad=mad)
+        v = column(value).astype(float)
+        local = median(v, starts)
+        with np.errstate(invalid="ignore"):
+            return {"local_median": local, "local_mad": median(np.abs(v - local), starts)}
 
-    return blocks.groupBy(*keys, "_b").applyInPandas(roll, T.StructType(fields))
+    added = [T.StructField(c, T.DoubleType()) for c in ("local_median", "local_mad")]
+    return map_blocks(blocks, keys, "_i", roll, drop=[], added=added)
