@@ -69,9 +69,30 @@ def test_pruned_read(spark, mart):
     facts = source.read_signals(spark, mart, [2, 4])
     assert {r.shot_id for r in facts.select("shot_id").distinct().collect()} == {2, 4}
     assert facts.count() == 200
+    assert all("shot_id=2/" in f or "shot_id=4/" in f for f in facts.inputFiles())
     plan = facts._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [shot_id" in plan
     assert source.read_signals(spark, mart, []).count() == 0
+    assert source.read_signals(spark, mart, [2, 77]).count() == 100
+    assert source.read_signals(spark, mart, range(2, 5000)).count() == 400
+
+
+def test_shared_directories(spark, tmp_path):
+    config = MartConfig(str(tmp_path), shots_per_directory=2)
+    sink.write_mart(meta_frame(spark), signals_frame(spark), config)
+    folders = sorted(d for d in os.listdir(tmp_path / "signals") if "=" in d)
+    assert folders == ["shots_by_2=0", "shots_by_2=1", "shots_by_2=2"]
+    facts = source.read_signals(spark, str(tmp_path), [2, 4])
+    assert facts.count() == 200 and facts.columns == source.read_signals(spark, str(tmp_path)).columns
+    assert not any("shots_by_2=0" in f for f in facts.inputFiles())
+    assert source.read_signals(spark, str(tmp_path)).count() == 500
+    assert source.read_signals(spark, str(tmp_path), [99]).count() == 0
+    chosen = source.select_signals(spark, str(tmp_path), "quality_flag = 'OK' and declared_disruption")
+    assert chosen.count() == 200
+    assert "dynamicpruning" in chosen._jdf.queryExecution().toString().lower()
+    assert source.read_manifest(spark, str(tmp_path))["tables"]["signals"]["partitioning"] == "shots_by_2"
+    with pytest.raises(ValueError):
+        sink.write_signals(signals_frame(spark), MartConfig(str(tmp_path), overwrite=False, shots_per_directory=2))
 
 
 def test_dimension_driven_selection(spark, mart):

@@ -64,3 +64,6 @@ class MartConfig:
     compression: str = "snappy"
     overwrite: bool = True
     split_rows: int = SPLIT_ROWS
+    # One directory per recording is the contract; with very many short recordings a directory
+    # may hold several, sorted by id, so that files keep a useful size.
+    shots_per_directory: int = 1

@@ -58,12 +58,17 @@ def grid_blocks(
     once it sees its neighbours. Segments, not grid points, are what the second shuffle moves.
     """
     order = [time, *tie]
-    rows = clean_doubles(df.select(*dict.fromkeys([*keys, *order, *values])), [time, *values])
-    rows = rows.where(F.col(time).isNotNull())
+    rows = df.select(*dict.fromkeys([*keys, *order, *values])).where(F.col(time).isNotNull())
+    rows = clean_doubles(rows, [time, *values]).where(F.col(time).isNotNull())
     rows, path = split_series(rows, keys, order, split_rows)
-    rows = rows.selectExpr("*", "0 AS _rank", *[f"{_point(time, v)} AS `_p_{v}`" for v in values])
+    rows = rows.withColumn("_rank", F.lit(0))
+    points = {v: _point(time, v) for v in values}
     if path:
         rows = _with_edges(rows, keys, path, order, time, values)
+        points = {v: f"if(_rank = 0, {p}, `_edge_{v}`)" for v, p in points.items()}
+    # The points are built behind the shuffle, so that it moves each value once.
+    rows = rows.repartition(*keys, *path)
+    rows = rows.selectExpr("*", *[f"{p} AS `_p_{v}`" for v, p in points.items()])
 
     here = over([*keys, *path], ["_rank", *order])
     whole = over([*keys, *path], ["_rank", *order], ALL_ROWS)
@@ -171,8 +176,7 @@ def _with_edges(
     and the next valid points after it. Both come from one summary row per block.
     """
     order_key = ", ".join(f"`{c}`" for c in order)
-    first = [f"min_by(`_p_{v}`, if(`{v}` IS NULL, NULL, struct({order_key})))" for v in values]
-    last = [f"max_by(`_p_{v}`, if(`{v}` IS NULL, NULL, struct({order_key})))" for v in values]
+    at = {v: f"{_point(time, v)}, if(`{v}` IS NULL, NULL, struct({order_key}))" for v in values}
     summary = (
         rows.where(f"{path[0]} IS NOT NULL")
         .groupBy(*keys, *path)
@@ -181,8 +185,8 @@ def _with_edges(
             F.first("_first").alias("_first"),
             F.first("_last").alias("_last"),
             *[F.count(v).alias(f"_cnt_{v}") for v in values],
-            *[F.expr(f"{c} AS `_lo_{v}`") for v, c in zip(values, first)],
-            *[F.expr(f"{c} AS `_hi_{v}`") for v, c in zip(values, last)],
+            *[F.expr(f"min_by({at[v]}) AS `_lo_{v}`") for v in values],
+            *[F.expr(f"max_by({at[v]}) AS `_hi_{v}`") for v in values],
         )
     )
     series, along = over(keys), over(keys, path)
@@ -196,13 +200,13 @@ def _with_edges(
     )
     shared += [f"`_all_{v}`" for v in values]
     before = summary.selectExpr(
-        *shared, "-1 AS _rank", *[f"`_left_{v}` AS `_p_{v}`" for v in values]
+        *shared, "-1 AS _rank", *[f"`_left_{v}` AS `_edge_{v}`" for v in values]
     )
     after = summary.selectExpr(
         *shared,
         "1 AS _rank",
         f"_after AS `{time}`",
-        *[f"`_right_{v}` AS `_p_{v}`" for v in values],
+        *[f"`_right_{v}` AS `_edge_{v}`" for v in values],
     )
     return rows.unionByName(before, allowMissingColumns=True).unionByName(
         after, allowMissingColumns=True

@@ -24,6 +24,25 @@ def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     return f"{base.rstrip('/')}/tidegrid-{label}-{uuid.uuid4().hex}"
 
 
+def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of ``paths`` that exist, whatever file system they are on."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return [p for p in paths if hadoop(p).getFileSystem(conf).exists(hadoop(p))]
+
+
+def first_directory(spark: SparkSession, path: str) -> str | None:
+    """Name of one subdirectory of ``path``, found without listing all of them."""
+    parent = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    entries = fs.listStatusIterator(parent)
+    while entries.hasNext():
+        entry = entries.next()
+        if entry.isDirectory() and "=" in entry.getPath().getName():
+            return entry.getPath().getName()
+    return None
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to a new table in the scratch folder and read it back."""
     spark = df.sparkSession

@@ -12,6 +12,8 @@ from tidegrid.operators.enrich import utc_now
 from tidegrid.operators.series import split_series
 
 METADATA, SIGNALS, MANIFEST = "metadata.parquet", "signals", "dataset_manifest.json"
+# Directories of several recordings are named after the number of ids each one spans.
+SHARED_DIRECTORY = "shots_by_"
 
 
 def write_metadata(table: DataFrame, config: MartConfig) -> str:
@@ -30,22 +32,30 @@ def write_signals(signals: DataFrame, config: MartConfig, block: str | None = No
 
     A long recording is spread over several tasks and files: by its ``block`` column if it has
     one, else by time. ``overwrite`` replaces the whole tree; without it only the recordings
-    being written are replaced.
+    being written are replaced, which needs a directory for each.
     """
     path = f"{config.output_dir}/{SIGNALS}"
+    n = config.shots_per_directory
+    if n > 1 and not config.overwrite:
+        raise ValueError("replacing single recordings needs one directory per recording")
     if block:
         blocks = [block]
     else:
         signals, blocks = split_series(signals, ["shot_id"], [TIME_COLUMN], config.split_rows)
     helpers = [c for c in signals.columns if c.startswith("_")]
+    directory = "shot_id"
+    if n > 1:
+        directory = f"{SHARED_DIRECTORY}{n}"
+        signals = signals.withColumn(directory, F.expr(f"shot_id div {n}"))
+    tasks = int(signals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        signals.repartition("shot_id", *blocks)
-        .sortWithinPartitions("shot_id", TIME_COLUMN)
+        signals.repartition(tasks, directory, *blocks)
+        .sortWithinPartitions(*dict.fromkeys([directory, "shot_id", TIME_COLUMN]))
         .drop(*helpers)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if config.overwrite else "dynamic")
         .option("compression", config.compression)
-        .partitionBy("shot_id")
+        .partitionBy(directory)
         .parquet(path)
     )
     return path
@@ -66,7 +76,12 @@ def manifest_statistics(table: DataFrame) -> DataFrame:
     )
 
 
-def manifest(table: DataFrame, created_at: str | None = None, name: str = "recordings-mart") -> dict:
+def manifest(
+    table: DataFrame,
+    created_at: str | None = None,
+    name: str = "recordings-mart",
+    shots_per_directory: int = 1,
+) -> dict:
     """The data card. Only aggregates reach the driver."""
     statistics = manifest_statistics(table).first().asDict()
     flags = {}
@@ -88,7 +103,11 @@ def manifest(table: DataFrame, created_at: str | None = None, name: str = "recor
             },
             "signals": {
                 "path": f"{SIGNALS}/",
-                "partitioning": "shot_id",
+                "partitioning": (
+                    "shot_id"
+                    if shots_per_directory == 1
+                    else f"{SHARED_DIRECTORY}{shots_per_directory}"
+                ),
                 "description": "Fact table: cleaned series, one partition per recording.",
                 "canonical_columns": [TIME_COLUMN, *SIGNAL_COLUMNS],
             },
@@ -104,7 +123,8 @@ def manifest(table: DataFrame, created_at: str | None = None, name: str = "recor
 
 def write_manifest(table: DataFrame, config: MartConfig, created_at: str | None = None) -> str:
     path = f"{config.output_dir}/{MANIFEST}"
-    text = json.dumps(manifest(table, created_at), indent=2, ensure_ascii=False)
+    card = manifest(table, created_at, shots_per_directory=config.shots_per_directory)
+    text = json.dumps(card, indent=2, ensure_ascii=False)
     table.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode(
         "overwrite"
     ).text(path)

@@ -9,7 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.config import SIGNAL_COLUMNS, TIME_COLUMN
-from tidegrid.sinks.mart import MANIFEST, METADATA, SIGNALS
+from tidegrid.session import existing_paths, first_directory
+from tidegrid.sinks.mart import MANIFEST, METADATA, SHARED_DIRECTORY, SIGNALS
+
+# Up to this many directories are looked up one by one.
+LISTED_DIRECTORIES = 1000
 
 
 def read_metadata(spark: SparkSession, mart_dir: str) -> DataFrame:
@@ -24,13 +28,22 @@ def read_signals(
 ) -> DataFrame:
     """The facts of all recordings, or of those listed; only their directories are read.
 
-    The stated schema spares the inference of types from files and directory names.
+    For a short list only their directories are looked up; otherwise Spark lists the tree and
+    prunes it. The stated schema spares the inference of types from files and directory names.
     """
-    schema = ", ".join(f"`{c}` double" for c in columns) + ", shot_id bigint"
-    facts = spark.read.schema(schema).parquet(f"{mart_dir}/{SIGNALS}")
+    root, directory, span, schema = _layout(spark, mart_dir, columns)
+    reader = spark.read.schema(schema).option("basePath", root)
+    out = [*columns, "shot_id"]
     if shot_ids is None:
-        return facts
-    return facts.where(F.col("shot_id").isin(list(shot_ids)))
+        return reader.parquet(root).select(out)
+    ids = [int(i) for i in shot_ids]
+    wanted = sorted({i // span for i in ids})
+    paths = [root]
+    if len(wanted) <= LISTED_DIRECTORIES:
+        paths = existing_paths(spark, [f"{root}/{directory}={d}" for d in wanted])
+    facts = reader.parquet(*paths) if paths else spark.createDataFrame([], schema)
+    chosen = F.col("shot_id").isin(ids) & F.col(directory).isin(wanted)
+    return facts.where(chosen).select(out)
 
 
 def select_signals(spark: SparkSession, mart_dir: str, condition: str | Column) -> DataFrame:
@@ -38,8 +51,25 @@ def select_signals(spark: SparkSession, mart_dir: str, condition: str | Column)
 
     Spark prunes the fact partitions at run time when the condition contains a comparison.
     """
+    columns = (TIME_COLUMN, *SIGNAL_COLUMNS)
+    root, directory, span, schema = _layout(spark, mart_dir, columns)
+    facts = spark.read.schema(schema).option("basePath", root).parquet(root)
     chosen = read_metadata(spark, mart_dir).where(condition).select("shot_id")
-    return read_signals(spark, mart_dir).join(chosen, "shot_id", "left_semi")
+    if span > 1:
+        chosen = chosen.withColumn(directory, F.expr(f"shot_id div {span}"))
+    return facts.join(chosen, [*dict.fromkeys([directory, "shot_id"])], "left_semi").select(
+        *columns, "shot_id"
+    )
+
+
+def _layout(spark: SparkSession, mart_dir: str, columns: Sequence[str]) -> tuple[str, str, int, str]:
+    """Root, partition column, ids per directory and schema of the fact table."""
+    root = f"{mart_dir}/{SIGNALS}"
+    schema = ", ".join(f"`{c}` double" for c in columns) + ", shot_id bigint"
+    directory = (first_directory(spark, root) or "shot_id=").split("=")[0]
+    if directory == "shot_id":
+        return root, directory, 1, schema
+    return root, directory, int(directory[len(SHARED_DIRECTORY):]), f"{schema}, {directory} bigint"
 
 
 def read_manifest(spark: SparkSession, mart_dir: str) -> dict:

@@ -76,12 +76,12 @@ def load_recordings(
     rows = rows.unionByName(_json_rows(records, good, registry, extra_columns))
     landed = materialize(rows, "signals")
 
-    late = _late_errors(good, landed)
-    late = materialize(late, "errors")
-    excluded, n_excluded = broadcast_if_small(late.select("shot_dir"))
-    if n_excluded != 0:
-        good = good.join(excluded, "shot_dir", "left_anti")
-        landed = landed.join(excluded, "shot_dir", "left_anti")
+    late, n_late = broadcast_if_small(_late_errors(good, landed))
+    if n_late is None:
+        late = materialize(late, "errors")
+    if n_late != 0:
+        good = good.join(late, "shot_dir", "left_anti")
+        landed = landed.join(late, "shot_dir", "left_anti")
     errors = shots.where("error is not null").select("shot_dir", "error").unionByName(late)
     canonical = list(registry.canonical_columns.values())
     return Recordings(
