@@ -16,7 +16,7 @@ def write_shot(root, sid, naming="canonical", unit="MA", kind="csv", frame=None,
     record = {
         "shot_id": sid, "duration_s": 2.0, "sampling_hz": 1000, "disruption": sid % 2 == 0,
         "disruption_time_s": 1.5 if sid % 2 == 0 else None, "file_format": kind, "current_unit": unit,
-        "column_naming_scheme": naming, "operator": "Dupont", "machine_config": "WEST-LH", **(meta or {}),
+        "column_naming_scheme": naming, "operator": "Op1", "machine_config": "M1", **(meta or {}),
     }
     record = {k: v for k, v in record.items() if k not in drop}
     with open(f"{folder}/metadata.yaml", "w") as f:

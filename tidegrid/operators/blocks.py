@@ -13,60 +13,95 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+# Work on one call is cut at block edges once it exceeds this many rows.
+ROWS_PER_CALL = 500_000
+
+
 def map_blocks(
     blocks: DataFrame,
-    keys: Sequence[str],
-    index: str,
+    order: Sequence[str],
+    schema: T.StructType,
     work: Callable,
-    drop: Sequence[str],
-    added: Sequence[T.StructField] = (),
+    size: str | None = None,
 ) -> DataFrame:
-    """Apply ``work`` to runs of whole blocks and keep the core rows.
+    """Apply ``work`` to runs of whole blocks.
 
-    ``_start`` marks the first row of every block. ``work(column, starts)`` receives a function
-    that returns a column as an array and the positions of the block starts; it returns the
-    arrays that replace or extend the columns.
+    ``order`` sorts the rows inside a partition, block by block, and ``_start`` marks the first
+    row of every block. ``work(column, starts)`` receives a function that returns a column as an
+    array and the positions of the block starts. It returns the source row of each output row and
+    the arrays of the columns it computed; other columns are copied. ``size`` names the column
+    that tells how many rows ``work`` will make of a row.
     """
-    dropped = {"_start", "_core", *drop}
-    fields = [f for f in blocks.schema.fields if f.name not in dropped]
-    schema = T.StructType([*fields, *added])
-    numbers = {f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)}
+    limit = ROWS_PER_CALL
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         def finish(table):
-            def column(name):
-                return table[name].to_numpy()
-
-            starts = np.flatnonzero(column("_start"))
-            arrays = work(column, starts)
-            core = table["_core"].combine_chunks()
-            out = {}
-            for f in schema.fields:
-                if f.name in arrays:
-                    a = pa.array(arrays[f.name], from_pandas=f.name in numbers)
-                else:
-                    a = table[f.name].combine_chunks()
-                out[f.name] = a.filter(core)
-            return pa.RecordBatch.from_pydict(out)
+            starts = np.flatnonzero(table["_start"].to_numpy())
+            rows = table[size].to_numpy() if size else np.ones(len(table), dtype="int64")
+            before = np.cumsum(rows) - rows
+            call = before[starts] // limit
+            cuts = starts[np.flatnonzero(np.diff(call, prepend=-1))]
+            for lo, hi in zip(cuts, np.append(cuts[1:], len(table))):
+                part = table.slice(lo, hi - lo).combine_chunks()
+                inside = starts[(starts >= lo) & (starts < hi)] - lo
+                source, made = work(lambda name: part[name].to_numpy(), inside)  # noqa: B023
+                out = []
+                for f in schema.fields:
+                    if f.name in made:
+                        # A float NaN is a missing value.
+                        out.append(pa.array(made[f.name], from_pandas=made[f.name].dtype.kind == "f"))
+                    else:
+                        out.append(part[f.name].take(source).combine_chunks())
+                yield pa.RecordBatch.from_arrays(out, names=schema.fieldNames())
 
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             if held is not None:
                 table = pa.concat_tables([held, table])
-            starts = np.flatnonzero(table["_start"].to_numpy())
-            cut = int(starts[-1])
+            cut = int(np.flatnonzero(table["_start"].to_numpy())[-1])
             if cut:
-                yield finish(table.slice(0, cut))
+                yield from finish(table.slice(0, cut))
             held = table.slice(cut)
         if held is not None and len(held):
-            yield finish(held)
+            yield from finish(held)
+
+    return blocks.sortWithinPartitions(*order).mapInArrow(run, schema)
+
+
+def expander(block_rows: int) -> Callable:
+    """Grid points of segments: source segment, grid index, time and whether it is a core point."""
+
+    def expand(column):
+        import numpy as np
+
+        lo, block = column("_lo"), column("_b")
+        length = column("_hi") - lo + 1
+        first = np.cumsum(length) - length
+        row = np.repeat(np.arange(len(lo)), length)
+        k = lo[row] + np.arange(len(row)) - first[row]
+        n = column("_n")[row]
+        t = np.where(
+            (k == n - 1) & (n > 1), column("_t1")[row], k * column("_step")[row] + column("_t0")[row]
+        )
+        return first, row, k, t, k // block_rows == block[row]
+
+    return expand
+
+
+def line_values() -> Callable:
+    """Values at times ``t`` of lines given by start time, start value and slope."""
+
+    def on_line(start, base, slope, t):
+        import numpy as np
+
+        with np.errstate(invalid="ignore"):
+            return np.where(t == start, base, slope * (t - start) + base)
 
-    ordered = blocks.sortWithinPartitions(*keys, "_b", index)
-    return ordered.mapInArrow(run, schema)
+    return on_line
 
 
 def padded_median(window: int) -> Callable:

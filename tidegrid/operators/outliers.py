@@ -95,6 +95,8 @@ def _rolling_in_arrow(
     blocks: DataFrame, keys: Sequence[str], value: str, window: int, block_rows: int
 ) -> DataFrame:
     reach = 2 * frame_reach(window)[0]
+    kept = [f for f in blocks.schema.fields if f.name not in ("_b", "_core")]
+    added = [T.StructField(c, T.DoubleType()) for c in ("local_median", "local_mad")]
     blocks = blocks.selectExpr("*", f"_i = greatest(_b * {block_rows} - {reach}, 0L) AS _start")
     median = padded_median(window)
 
@@ -104,7 +106,8 @@ def _rolling_in_arrow(
         v = column(value).astype(float)
         local = median(v, starts)
         with np.errstate(invalid="ignore"):
-            return {"local_median": local, "local_mad": median(np.abs(v - local), starts)}
+            mad = median(np.abs(v - local), starts)
+        core = np.flatnonzero(column("_core"))
+        return core, {"local_median": local[core], "local_mad": mad[core]}
 
-    added = [T.StructField(c, T.DoubleType()) for c in ("local_median", "local_mad")]
-    return map_blocks(blocks, keys, "_i", roll, drop=[], added=added)
+    return map_blocks(blocks, [*keys, "_b", "_i"], T.StructType([*kept, *added]), roll)

@@ -32,12 +32,11 @@ def resample_to_grid(
     block_rows: int = GRID_BLOCK_ROWS,
 ) -> DataFrame:
     """Linear interpolation of every value column on the uniform grid of its series."""
-    return grid_blocks(df, keys, time, values, hz, tie, split_rows, block_rows, halo=0).select(
-        *keys, F.col("_k"), time, *values
-    )
+    segments = grid_segments(df, keys, time, values, hz, tie, split_rows, block_rows)
+    return grid_points(segments, keys, time, values, block_rows).select(*keys, "_k", time, *values)
 
 
-def grid_blocks(
+def grid_segments(
     df: DataFrame,
     keys: Sequence[str],
     time: str,
@@ -48,14 +47,14 @@ def grid_blocks(
     block_rows: int = GRID_BLOCK_ROWS,
     halo: int = 0,
 ) -> DataFrame:
-    """Resample and deliver the grid in blocks of ``block_rows`` points, hash-partitioned.
-
-    Columns: keys, ``_b`` block, ``_core`` (false for the ``halo`` points copied from the
-    neighbouring blocks), ``_k`` grid index, time, values, ``_n`` grid size and
-    ``_valid_<value>`` (source points of the whole series).
-
-    Each source row owns the grid points up to the next source row, so its segment is known
-    once it sees its neighbours. Segments, not grid points, are what the second shuffle moves.
+    """Each source row with the grid points it determines, hash-partitioned by grid block.
+
+    A source row owns the grid points up to the next source row, ``_lo`` to ``_hi``, on which
+    every signal is a line. Rows that own none are dropped, and a segment is cut at the edges of
+    the blocks of ``block_rows`` points, so the second shuffle moves segments, not points. A
+    block also receives the ``halo`` points on each side of it. Columns beside these: keys,
+    ``_b`` block, ``_t0 _t1 _step _n`` the grid, per signal ``_from _base _slope`` the line and
+    ``_valid`` the number of valid source points in the whole series.
     """
     order = [time, *tie]
     rows = df.select(*dict.fromkeys([*keys, *order, *values])).where(F.col(time).isNotNull())
@@ -101,7 +100,7 @@ def grid_blocks(
         "_k0",
         "_k1",
         *carried,
-        *[f"`_{side}_{v}`" for v in values for side in ("prev", "next")],
+        *[line for v in values for line in _line(v)],
         f"explode(sequence(greatest((_k0 - {halo}) div {block_rows}, 0L),"
         f" least((_k1 + {halo}) div {block_rows}, (_n - 1) div {block_rows}))) AS _b",
     )
@@ -109,8 +108,24 @@ def grid_blocks(
         "*",
         f"greatest(_k0, _b * {block_rows} - {halo}) AS _lo",
         f"least(_k1, (_b + 1) * {block_rows} - 1 + {halo}) AS _hi",
-    ).where("_lo <= _hi")
-    points = repartition_blocks(segments, keys).selectExpr("*", "explode(sequence(_lo, _hi)) AS _k")
+    )
+    segments = segments.where("_lo <= _hi").drop("_k0", "_k1")
+    return repartition_blocks(segments, keys)
+
+
+def grid_points(
+    segments: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    values: Sequence[str],
+    block_rows: int = GRID_BLOCK_ROWS,
+) -> DataFrame:
+    """The grid points of segments, one row each, in the partitioning of the segments.
+
+    Adds ``_k`` grid index, time, values and ``_core``, which is false for the halo points copied
+    from neighbouring blocks.
+    """
+    points = segments.selectExpr("*", "explode(sequence(_lo, _hi)) AS _k")
     points = points.selectExpr("*", f"{_grid_time('_k')} AS _x")
     return points.selectExpr(
         *[f"`{k}`" for k in keys],
@@ -118,9 +133,9 @@ def grid_blocks(
         f"_k div {block_rows} = _b AS _core",
         "_k",
         f"_x AS `{time}`",
-        *[f"{_interpolate(v)} AS `{v}`" for v in values],
+        *[f"{_on_line(v)} AS `{v}`" for v in values],
         "_n",
-        *carried,
+        *[f"`_valid_{v}`" for v in values],
     )
 
 
@@ -146,20 +161,26 @@ def _point(time: str, value: str) -> str:
     return f"if(`{value}` IS NULL, NULL, named_struct('t', `{time}`, 'v', `{value}`))"
 
 
-def _interpolate(value: str) -> str:
-    """The line between the neighbouring points, constant beyond the first and the last one.
+def _line(value: str) -> list[str]:
+    """Start time, start value and slope of a signal on one segment.
 
-    Infinite neighbours can make the line from the left NaN where the one from the right is not.
+    Before the first valid point and after the last one the line is flat. From an infinite start
+    it stays there, unless it leads to the opposite infinity, which leaves it undefined.
     """
     a, b = f"`_prev_{value}`", f"`_next_{value}`"
-    slope = f"({b}.v - {a}.v) / ({b}.t - {a}.t)"
-    left, right = f"{slope} * (_x - {a}.t) + {a}.v", f"{slope} * (_x - {b}.t) + {b}.v"
-    return f"""CASE
-        WHEN `_valid_{value}` < 2 THEN NULL
-        WHEN {b} IS NULL OR _x = {a}.t THEN {a}.v
-        WHEN {a} IS NULL THEN {b}.v
-        ELSE nullif(nanvl({left}, nanvl({right}, if({a}.v = {b}.v, {a}.v, double('NaN')))), double('NaN'))
-        END"""
+    return [
+        f"coalesce({a}.t, {b}.t) AS `_from_{value}`",
+        f"if(`_valid_{value}` < 2, NULL, coalesce({a}.v, {b}.v)) AS `_base_{value}`",
+        f"""CASE
+        WHEN {a} IS NULL OR {b} IS NULL THEN 0D
+        WHEN abs({a}.v) = double('Infinity') THEN if({b}.v = -{a}.v, double('NaN'), 0D)
+        ELSE ({b}.v - {a}.v) / ({b}.t - {a}.t) END AS `_slope_{value}`""",
+    ]
+
+
+def _on_line(value: str) -> str:
+    start, base = f"`_from_{value}`", f"`_base_{value}`"
+    return f"if(_x = {start}, {base}, nanvl(`_slope_{value}` * (_x - {start}) + {base}, NULL))"
 
 
 def _with_edges(
