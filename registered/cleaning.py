@@ -23,9 +23,9 @@ z AS (SELECT *, n_valid >= 101 AND coalesce(
         abs(0.6745e0 * (v - local_median) / (local_mad + 1e-9)) > 6, FALSE) AS is_outlier FROM d)"""
 _ROUNDED_SIGNALS = ", ".join(f"round({s}, 6) AS {s}" for s in SIGNALS)
 _CLEANED_SQL = f"""WITH {USER_SERIES_SQL}, {CLEANED}
-SELECT shot_id, k, round(time_s, 3) AS time_s, {_ROUNDED_SIGNALS}, outlier_mask FROM cleaned"""
+SELECT shot_id, k, time_s, {_ROUNDED_SIGNALS}, outlier_mask FROM cleaned"""
 _RESAMPLED_SQL = f"""WITH {USER_SERIES_SQL}, {RESAMPLED}
-SELECT shot_id, k, round(any_value(x), 3) AS time_s,
+SELECT shot_id, k, any_value(x) AS time_s,
        {", ".join(f"round(max(CASE WHEN j = {j} THEN v END), 6) AS {s}" for j, s in enumerate(SIGNALS))}
 FROM resampled GROUP BY shot_id, k"""
 

@@ -176,7 +176,7 @@ _SHOTS = """layouts AS (
 
 ORACLES = {
     "ingest_mixed_roundtrip": f"""SELECT user_id % 12 AS shot_id,
-  round((epoch_us(ts) - {ORIGIN_MICROS}) / 1e6, 3) AS time_s, round(value / 100, 6) AS plasma_current_MA,
+  (epoch_us(ts) - {ORIGIN_MICROS}) / 1e6 AS time_s, round(value / 100, 6) AS plasma_current_MA,
   round(CASE WHEN event_id % 11 <> 0 THEN value * 0.5e0 END, 6) AS electron_density,
   round((event_id % 97) / 10e0, 6) AS electron_temperature, round((event_id % 13) * 1e-1, 6) AS loop_voltage
 FROM events""",

@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registered.inputs import (
-    SUPPLIER_SERIES_SQL, rounded, supplier_facts, supplier_series, table, user_mart,
+    SIGNALS, SUPPLIER_SERIES_SQL, rounded, supplier_facts, supplier_series, table, user_mart,
 )
 from registered.sql import META
 from tidegrid.config import MartConfig
@@ -12,7 +12,7 @@ from tidegrid.session import scratch_dir
 from tidegrid.sinks.mart import write_metadata, write_signals
 from tidegrid.sources import mart
 
-_COLUMNS = "shot_id, round(time_s, 3) AS time_s, plasma_current_MA, electron_density, electron_temperature, loop_voltage"
+_COLUMNS = "shot_id, time_s, " + ", ".join(f"round({s}, 6) AS {s}" for s in SIGNALS)
 _FACTS = f"WITH {SUPPLIER_SERIES_SQL} SELECT {_COLUMNS} FROM series"
 _META = f"WITH {META}"
 _SOME = [1, 5, 7]
@@ -158,9 +158,10 @@ ORACLES = {
     "mart_write_read": _FACTS,
     "mart_pruned_read": f"{_FACTS} WHERE shot_id IN (1, 5, 7)",
     "mart_overwrite_dynamic": f"""WITH {SUPPLIER_SERIES_SQL}
-SELECT shot_id, round(time_s, 3) AS time_s,
-       CASE WHEN s_acctbal < 0 THEN plasma_current_MA * 2 ELSE plasma_current_MA END AS plasma_current_MA,
-       electron_density, electron_temperature, loop_voltage
+SELECT shot_id, time_s,
+       round(CASE WHEN s_acctbal < 0 THEN plasma_current_MA * 2 ELSE plasma_current_MA END, 6)
+         AS plasma_current_MA,
+       {", ".join(f"round({s}, 6) AS {s}" for s in SIGNALS[1:])}
 FROM series LEFT JOIN supplier ON s_suppkey = shot_id""",
     "mart_semi_select": f"""{_FACTS} WHERE EXISTS (
   SELECT 1 FROM supplier WHERE s_suppkey = shot_id AND s_acctbal > 5000 AND s_nationkey < 10)""",
@@ -187,14 +188,14 @@ long AS (
         for s in ("plasma_current_MA", "electron_density", "electron_temperature", "loop_voltage")
     )
     + """)
-SELECT shot_id, round(time_s, 3) AS time_s, signal, round(value, 6) AS value, machine_config, quality_flag,
+SELECT shot_id, time_s, signal, round(value, 6) AS value, machine_config, quality_flag,
        round(overall_completeness, 6) AS overall_completeness,
        round(CASE WHEN declared_disruption AND event_time <> 0 THEN event_time END, 6) AS event_time_s
 FROM long JOIN chosen USING (shot_id)""",
     "rep_comparison": f"""WITH {SUPPLIER_SERIES_SQL}, {_DIMENSION},
 chosen AS (SELECT *, row_number() OVER (ORDER BY shot_id) AS position FROM dimension
            WHERE declared_disruption ORDER BY shot_id LIMIT 10)
-SELECT shot_id, round(time_s, 3) AS time_s, round(plasma_current_MA, 6) AS value,
+SELECT shot_id, time_s, round(plasma_current_MA, 6) AS value,
        'Shot ' || shot_id || ' (' || quality_flag || ', disrupt)' AS label,
        CASE quality_flag WHEN 'OK' THEN '#2ca02c' WHEN 'DEGRADED' THEN '#ff7f0e' ELSE '#d62728' END AS colour,
        position

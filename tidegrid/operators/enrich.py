@@ -118,10 +118,9 @@ def _optional(df: DataFrame, name: str, kind: str) -> Column:
 
 
 def _feature(name: str) -> Column:
-    if name == "n_samples_after_cleaning":
-        return F.coalesce(F.col(name), F.lit(0)).cast("long")
-    if name == "disruption_detected":
-        return F.coalesce(F.col(name), F.lit(False))
-    if name.startswith("disruption") or name == "plasma_current_max_MA":
+    """A feature; a recording without a single row has neutral values instead."""
+    neutral = {"disruption_detected": F.lit(False), "n_samples_after_cleaning": F.lit(0).cast("long")}
+    if name in ("plasma_current_max_MA", "disruption_time_detected_s"):
         return F.col(name)
-    return F.coalesce(F.col(name), F.lit(0.0))
+    absent = F.col("n_samples_after_cleaning").isNull()
+    return F.when(absent, neutral.get(name, F.lit(0.0))).otherwise(F.col(name))
