@@ -59,7 +59,7 @@ QUERIES = {
     "mart_manifest_stats": statistics,
 }
 
-_SUPPLIER_FEATURES = f"WITH {SUPPLIER_SERIES_SQL}, {features_sql('series', 'i', 'round', 6)}"
+_SUPPLIER_FEATURES = f"WITH {SUPPLIER_SERIES_SQL}, {features_sql('series', 'i', 'round({}, 6)'.format)}"
 
 ORACLES = {
     "feat_duration_peak": f"""WITH {USER_SERIES_SQL}

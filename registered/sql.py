@@ -95,7 +95,15 @@ flags AS (
   FROM quality)"""
 
 
-def features_sql(source: str, index: str, rounding: str = "round_even", digits: int = 4) -> str:
+def _exact(x: str) -> str:
+    """Half-even rounding to 4 places on the exact binary value."""
+    high = f"(134217729e0 * {x} - (134217729e0 * {x} - {x}))"
+    rest = f"(({high} * 20000e0 - (2 * floor({x} * 10000e0) + 1)) + ({x} - {high}) * 20000e0)"
+    up = f"{rest} > 0 OR ({rest} = 0 AND floor({x} * 10000e0) % 2 <> 0)"
+    return f"(floor({x} * 10000e0) + CASE WHEN {up} THEN 1 ELSE 0 END) / 10000e0"
+
+
+def features_sql(source: str, index: str, rounded=_exact) -> str:
     """Features of a wide table; the lag and the end margin follow from the first time step."""
     return f"""scale AS (
   SELECT shot_id, count(*) AS n, max(time_s) - min(time_s) AS duration, max(plasma_current_MA) AS peak,
@@ -117,21 +125,15 @@ plateau AS (
   FROM {source} a JOIN scale s ON a.shot_id = s.shot_id
   WHERE s.peak > 0 AND a.plasma_current_MA > 0.7e0 * s.peak GROUP BY a.shot_id),
 features AS (
-  SELECT s.shot_id, {rounding}(s.duration, {digits}) AS duration_effective_s, s.n AS n_samples_after_cleaning,
-         {rounding}(s.peak, {digits}) AS plasma_current_max_MA,
-         {rounding}(CASE WHEN p.shot_id IS NULL THEN 0 ELSE p.c END, {digits}) AS plasma_current_mean_MA,
-         {rounding}(CASE WHEN p.shot_id IS NULL THEN 0 ELSE p.d END, {digits}) AS electron_density_mean,
-         {rounding}(CASE WHEN p.shot_id IS NULL THEN 0 ELSE p.t END, {digits}) AS electron_temperature_mean,
-         r.drop_time IS NOT NULL AS disruption_detected, {rounding}(r.drop_time, {digits}) AS disruption_time_detected_s
-  FROM scale s LEFT JOIN plateau p USING (shot_id) LEFT JOIN drops r USING (shot_id))"""
-
-
-def _exact(x: str) -> str:
-    """Half-even rounding to 4 places on the exact binary value."""
-    high = f"(134217729e0 * {x} - (134217729e0 * {x} - {x}))"
-    rest = f"(({high} * 20000e0 - (2 * floor({x} * 10000e0) + 1)) + ({x} - {high}) * 20000e0)"
-    up = f"{rest} > 0 OR ({rest} = 0 AND floor({x} * 10000e0) % 2 <> 0)"
-    return f"(floor({x} * 10000e0) + CASE WHEN {up} THEN 1 ELSE 0 END) / 10000e0"
+  SELECT shot_id, {rounded('duration')} AS duration_effective_s, n AS n_samples_after_cleaning,
+         {rounded('peak')} AS plasma_current_max_MA, {rounded('c')} AS plasma_current_mean_MA,
+         {rounded('d')} AS electron_density_mean, {rounded('t')} AS electron_temperature_mean,
+         drop_time IS NOT NULL AS disruption_detected, {rounded('drop_time')} AS disruption_time_detected_s
+  FROM (SELECT s.shot_id, s.duration, s.n, s.peak, r.drop_time,
+               CASE WHEN p.shot_id IS NULL THEN 0e0 ELSE p.c END AS c,
+               CASE WHEN p.shot_id IS NULL THEN 0e0 ELSE p.d END AS d,
+               CASE WHEN p.shot_id IS NULL THEN 0e0 ELSE p.t END AS t
+        FROM scale s LEFT JOIN plateau p USING (shot_id) LEFT JOIN drops r USING (shot_id)))"""
 
 
 META = f"""{USER_SERIES_SQL},
