@@ -108,14 +108,14 @@ _DIMENSION = """dimension AS (
 def shot_detail(spark, sf_dir):
     dimension = _supplier_dimension(spark, sf_dir)
     shot = reports.default_shot(dimension).first().shot_id
-    facts = mart.read_signals(spark, supplier_facts(spark, sf_dir))
+    facts = mart.read_signals(spark, supplier_facts(spark, sf_dir), [shot])
     return rounded(reports.shot_detail(facts, dimension, shot))
 
 
 def comparison(spark, sf_dir):
     dimension = _supplier_dimension(spark, sf_dir)
     shots = [r.shot_id for r in reports.first_disrupted(dimension).collect()]
-    facts = mart.read_signals(spark, supplier_facts(spark, sf_dir))
+    facts = mart.read_signals(spark, supplier_facts(spark, sf_dir), shots)
     return rounded(reports.comparison(facts, dimension, shots))
 
 

@@ -141,7 +141,7 @@ def first_disrupted(metadata: DataFrame, n: int = 10) -> DataFrame:
 
 def write_standard_reports(spark: SparkSession, mart_dir: str, out_dir: str) -> dict[str, str]:
     """Write every report table of a mart; returns their paths."""
-    metadata, signals = read_metadata(spark, mart_dir), read_signals(spark, mart_dir)
+    metadata = read_metadata(spark, mart_dir)
     tables = {
         "flag_distribution": flag_distribution(metadata),
         "sensor_completeness": sensor_completeness(metadata),
@@ -150,10 +150,12 @@ def write_standard_reports(spark: SparkSession, mart_dir: str, out_dir: str) ->
     }
     shot = default_shot(metadata).first()
     if shot:
-        tables["shot_detail"] = shot_detail(signals, metadata, shot.shot_id)
+        facts = read_signals(spark, mart_dir, [shot.shot_id])
+        tables["shot_detail"] = shot_detail(facts, metadata, shot.shot_id)
     ids = [r.shot_id for r in first_disrupted(metadata).collect()]
     if ids:
-        tables["shots_comparison"] = comparison(signals, metadata, ids)
+        facts = read_signals(spark, mart_dir, ids)
+        tables["shots_comparison"] = comparison(facts, metadata, ids)
     paths = {name: f"{out_dir}/{name}.parquet" for name in tables}
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(paths[name])
