@@ -113,6 +113,7 @@ def test_mixed_formats_schemas_and_errors(spark, tmp_path):
         "shot_i": dict(sid=58, kind="json", frame=good[["time_s"]]),
         "shot_j": dict(sid=59, frame=good, drop=["column_naming_scheme"]),
         "shot_l": dict(sid=61, frame=good.assign(time_s=np.nan)),
+        "shot_o": dict(sid=64, frame=good.assign(time_s=[*good.time_s[:-1], np.inf])),
     }
     for name, spec in bad.items():
         write_shot(tmp_path, spec.pop("sid"), name=name, **spec)
@@ -146,7 +147,7 @@ def test_mixed_formats_schemas_and_errors(spark, tmp_path):
         "shot_e": "non-numeric text in plasma_current_MA", "shot_f": "no file_format",
         "shot_g": "shot_id", "shot_h": "has no value", "shot_i": "missing columns",
         "shot_j": "insufficient metadata", "shot_k": "metadata.yaml is missing",
-        "shot_l": "row without a time", "shot_m": "not valid YAML", "shot_n": "malformed record",
+        "shot_l": "row without a time", "shot_o": "row without a time", "shot_m": "not valid YAML", "shot_n": "malformed record",
         "shot_0000": "used by a later directory",
     }
     assert set(errors) == set(texts)

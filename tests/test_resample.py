@@ -74,7 +74,8 @@ def test_infinite_points_follow_interp(spark):
 
 
 def test_empty_and_null_time(spark):
-    df = spark.createDataFrame([(1, None, 1.0)], "sid int, t double, v double")
+    rows = [(1, None, 1.0), (1, float("inf"), 1.0), (1, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "sid int, t double, v double")
     assert resample_to_grid(df, ["sid"], "t", ["v"], 10).count() == 0
 
 
@@ -95,3 +96,25 @@ def test_row_index_of_bursty_and_tied_series(spark, split_rows):
     assert len(merged) == len(pdf)
     assert (merged._i_x == merged._i_y).all()
     assert (merged._valid_v_x == merged._valid_v_y).all()
+
+
+def test_more_long_series_than_may_be_listed(spark, monkeypatch):
+    def unlisted(df, max_rows=0):
+        return df, None if df.limit(1).collect() else 0
+
+    monkeypatch.setattr("tidegrid.operators.series.broadcast_if_small", unlisted)
+    rng = np.random.default_rng(6)
+    frames = [random_series(rng, s) for s in range(6)]
+    df = spark.createDataFrame(pd.concat(frames))
+    got = resample_to_grid(
+        df, ["sid"], "t", ["a", "b"], 50, tie=["src"], split_rows=9, block_rows=32
+    ).toPandas()
+    indexed = with_row_index(df, ["sid"], ["t", "src"], count_valid=["a"], split_rows=9).toPandas()
+    for frame in frames:
+        sid = frame.sid.iloc[0]
+        want = expected_grid(frame.t.values, {"a": frame.a.values, "b": frame.b.values}, 50)
+        have = got[got.sid == sid].sort_values("_k")
+        np.testing.assert_array_equal(have.a.to_numpy(float), want.a.to_numpy(float))
+        np.testing.assert_array_equal(have.b.to_numpy(float), want.b.to_numpy(float))
+        rows = indexed[indexed.sid == sid].sort_values("src")
+        assert rows._i.tolist() == list(range(len(frame)))

@@ -135,7 +135,8 @@ def _with_scale(df, keys, config, tie, index) -> tuple[DataFrame, DataFrame]:
 def _points(seconds: float) -> Column:
     """Rows in ``seconds`` at the recording's first time step, truncated, at least one."""
     ratio = F.lit(seconds) / F.when(F.col("_dt") > 0, F.col("_dt"))
-    return F.greatest(F.coalesce(ratio.cast("long"), F.lit(1)), F.lit(1))
+    rows = F.least(ratio, F.lit(1e15)).cast("long")
+    return F.greatest(F.coalesce(rows, F.lit(1)), F.lit(1))
 
 
 def _with_earlier_current(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -58,7 +58,8 @@ def grid_segments(
     """
     order = [time, *tie]
     rows = df.select(*dict.fromkeys([*keys, *order, *values])).where(F.col(time).isNotNull())
-    rows = clean_doubles(rows, [time, *values]).where(F.col(time).isNotNull())
+    rows = clean_doubles(rows, [time, *values])
+    rows = rows.where(F.abs(time) < float("inf"))  # neither missing nor infinite
     rows, path = split_series(rows, keys, order, split_rows)
     rows = rows.withColumn("_rank", F.lit(0))
     points = {v: _point(time, v) for v in values}

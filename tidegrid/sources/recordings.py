@@ -431,9 +431,8 @@ def _typed(rows, texts, registry, extra, defect) -> DataFrame:
         for j, name in enumerate([*names, *extra])
     ]
     rows = rows.select("shot_dir", "shot_id", *value, *SOURCE_ORDER, "defect")
-    return rows.withColumn(
-        "defect", F.coalesce("defect", F.when(F.col(names[0]).isNull(), "row without a time"))
-    )
+    timed = F.coalesce(F.abs(names[0]) < float("inf"), F.lit(False))
+    return rows.withColumn("defect", F.coalesce("defect", F.when(~timed, "row without a time")))
 
 
 def _cell(text: Column) -> Column:
