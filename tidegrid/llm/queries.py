@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import mixing, near_dedup, sharding
+from tidegrid.llm import (
+    chat,
+    decontamination,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality,
+    repeats,
+    sharding,
+    token_counts,
+    topk,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,10 +50,95 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render_chats(table(spark, sf_dir, "conversations"))
+
+
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def token_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.read_vocabulary())
+
+
+def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    cleaned = line_dedup.drop_site_lines(
+        pages, line_dedup.host_of(F.col("url")), line_dedup.html_lines(F.col("html"))
+    )
+    return cleaned.select(
+        "page_id", "host", "n_lines", F.size("kept_lines").cast("long").alias("n_kept"),
+        F.md5(F.array_join("kept_lines", "\n")).alias("kept_md5"),
+    )
+
+
+#: The same steps; the patterns are those of ``line_dedup.html_lines`` and ``host_of``.
+LINE_DEDUP_SQL = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS r, page_id,
+    coalesce(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1), '') AS host,
+    regexp_replace(regexp_replace(regexp_replace(html,
+      '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', ' ', 'g'),
+      '(?i)</?(p|div|li|ul|ol|nav|br|h[1-6]|tr|td|th|table|article|section|header|footer|title|head|body)[^a-z0-9>]*[^>]*>', chr(10), 'g'),
+      '<[^>]*>', '', 'g') AS plain
+  FROM pages),
+l AS (
+  SELECT r, page_id, host, list_filter(list_transform(coalesce(string_split(plain, chr(10)), []),
+      x -> regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')), x -> x <> '') AS lines
+  FROM p),
+h AS (SELECT host, count(*) AS n FROM l GROUP BY host),
+c AS (
+  SELECT host, line, count(*) AS n FROM (SELECT DISTINCT r, host, unnest(lines) AS line FROM l)
+  GROUP BY host, line),
+b AS (
+  SELECT c.host, list(line) AS dropped FROM c JOIN h USING (host)
+  WHERE c.n >= 3 AND c.n > 0.3 * h.n GROUP BY c.host)
+SELECT page_id, l.host AS host, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(kept) AS BIGINT) AS n_kept,
+  md5(array_to_string(kept, chr(10))) AS kept_md5
+FROM (SELECT l.*, CASE WHEN dropped IS NULL THEN lines
+        ELSE list_filter(lines, x -> NOT list_contains(dropped, x)) END AS kept
+      FROM l LEFT JOIN b USING (host)) l
+"""
+
+
+def topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_scores(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 QUERIES = {
+    "op1_repeats": repeats_query,
+    "op2_chat": chat_query,
+    "op3_decontamination": decontamination_query,
     "op4_sharding": shard_query,
     "op5_mixing": mixing_query,
+    "op6_token_counts": token_query,
+    "op7_quality": quality_query,
     "op8_near_dedup": near_dedup_query,
+    "op9_line_dedup": line_dedup_query,
+    "op10_topk": topk_query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_line_dedup": LINE_DEDUP_SQL, "op10_topk": TOPK_SQL}
