@@ -52,7 +52,7 @@ def _clean(spark, sf_dir, **changes):
 
 def row_order(spark, sf_dir):
     """Sort by time and renumber, with the series cut into small blocks."""
-    return with_row_index(type_series(spark, sf_dir), TYPE, ORDER, split_rows=100).select(
+    return with_row_index(type_series(spark, sf_dir), TYPE, ORDER, split_rows=450).select(
         "event_type", "event_id", F.col("_i").alias("row_index")
     )
 

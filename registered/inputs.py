@@ -114,7 +114,7 @@ def user_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("shot_id")
     naming = F.element_at(F.array(*map(F.lit, ("canonical", "raw", "verbose"))), (s % 3 + 1).cast("int"))
     unit = F.when(s % 2 == 0, "MA").otherwise("A")
-    return users.join(customer, s == F.col("c_custkey")).select(
+    return users.join(customer, s == F.col("c_custkey"), "left").select(
         "shot_id",
         F.col("c_name").alias("operator"),
         F.col("c_mktsegment").alias("machine_config"),
@@ -138,7 +138,7 @@ USER_METADATA_SQL = """described AS (
          CAST(1 AS INTEGER) AS source_sampling_hz, user_id % 5 = 0 AS declared_disruption,
          CASE WHEN user_id % 5 = 0 THEN user_id * 1.5e0 END AS declared_disruption_time_s,
          2592000e0 AS declared_duration_s
-  FROM (SELECT DISTINCT user_id FROM events) JOIN customer ON c_custkey = user_id)"""
+  FROM (SELECT DISTINCT user_id FROM events) LEFT JOIN customer ON c_custkey = user_id)"""
 
 
 def cleaned_users(spark: SparkSession, sf_dir: str, **changes) -> DataFrame:
@@ -147,9 +147,10 @@ def cleaned_users(spark: SparkSession, sf_dir: str, **changes) -> DataFrame:
     )
 
 
-def user_mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_mart_table(spark: SparkSession, sf_dir: str, cleaned: DataFrame | None = None) -> DataFrame:
     raw = user_series(spark, sf_dir)
-    cleaned = materialize(cleaned_users(spark, sf_dir), "cleaned")
+    if cleaned is None:
+        cleaned = materialize(cleaned_users(spark, sf_dir), "cleaned")
     return enrich(
         user_metadata(spark, sf_dir),
         quality_report(raw, cleaned, SHOT, CLEANING),
@@ -175,8 +176,9 @@ def user_mart(spark: SparkSession, sf_dir: str) -> str:
     """The mart of the cleaned user recordings, which the reports read."""
 
     def write(path):
-        facts = cleaned_users(spark, sf_dir).drop("_k", "outlier_mask")
-        write_mart(user_mart_table(spark, sf_dir), facts, MartConfig(path), block="_b")
+        cleaned = materialize(cleaned_users(spark, sf_dir), "cleaned")
+        dimension = materialize(user_mart_table(spark, sf_dir, cleaned), "metadata")
+        write_mart(dimension, cleaned.drop("outlier_mask"), MartConfig(path), index="_k")
 
     return _once(spark, sf_dir, "usermart", write)
 

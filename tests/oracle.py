@@ -47,3 +47,12 @@ def compare(df, con, sql):
         return f"{len(have)} rows != {len(want)}"
     wrong = [(a, b) for a, b in zip(have, want) if a != b]
     return f"{len(wrong)} of {len(have)} rows differ, first {wrong[0]}" if wrong else None
+
+
+def over_series(series, sql):
+    """A pandas frame named ``series`` queried in DuckDB; rows as a pandas frame."""
+    con = duckdb.connect()
+    con.register("frame", series)
+    columns = ", ".join(f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS {c}" if series[c].dtype.kind == "f" else c for c in series)
+    con.execute(f"CREATE TABLE series AS SELECT {columns} FROM frame")
+    return con.execute(sql).df()

@@ -59,26 +59,54 @@ def test_registry_from_yaml(tmp_path):
 
 
 def test_apply_schema(spark):
-    raw = pd.DataFrame({"t": [0.2, 0.0, 0.1], "Ip": 1.5e6, "ne": [3.0, 3.1, 3.0], "Te": 2.5, "Vl": 1.0, "aux": 7.0})
-    df = spark.createDataFrame(raw)
+    """Columns are picked by name, converted and put in canonical order."""
+    df = spark.range(4).selectExpr(
+        "id * 3 AS Vl", "'k' || id AS station", "CAST(id AS FLOAT) / 2 AS t", "(id + 1) * 250000 AS Ip",
+        "CAST(id AS STRING) AS ne", "CAST('NaN' AS DOUBLE) AS Te",
+    )
     got = rec.apply_schema(df, SourceRegistry.default(), "raw_A")
     assert got.columns == list(CANONICAL)
-    assert np.allclose(got.toPandas().plasma_current_MA, 1.5, atol=1e-9)
-    assert "aux" in rec.apply_schema(df, SourceRegistry.default(), "raw_A", keep_extra=True).columns
+    assert [tuple(r) for r in got.orderBy("time_s").collect()] == [
+        (i / 2, (i + 1) / 4, float(i), None, 3.0 * i) for i in range(4)
+    ]
+    assert rec.apply_schema(df, SourceRegistry.default(), "raw_A", keep_extra=True).columns == [*CANONICAL, "station"]
     with pytest.raises(ValueError, match="missing columns"):
-        rec.apply_schema(df.select("t", "Ip"), SourceRegistry.default(), "raw_A")
+        rec.apply_schema(df.drop("Te"), SourceRegistry.default(), "raw_A")
 
 
 def test_one_csv_recording(spark, tmp_path):
-    frame = pd.DataFrame({"t": np.linspace(0, 1, 100), "Ip": 1.2e6, "ne": 4.0, "Te": 3.0, "Vl": 0.5})
-    folder = write_shot(tmp_path, 999, "raw", "A", frame=frame)
-    out = rec.load_recording(spark, folder)
-    got = out.signals.toPandas()
-    assert list(got.columns) == ["shot_id", *CANONICAL, *rec.SOURCE_ORDER]
-    assert len(got) == 100 and np.allclose(got.plasma_current_MA, 1.2)
+    frame = pd.DataFrame({"t": [2.0, 0.5, 1.0], "Ip": [5e5, 2e6, 7.5e5], "ne": [1.0, None, 3.0], "Te": 6.0, "Vl": [-1, 0, 1]})
+    out = rec.load_recording(spark, write_shot(tmp_path, 31, "raw", "A", frame=frame))
+    assert out.signals.columns == ["shot_id", *CANONICAL, *rec.SOURCE_ORDER]
+    rows = [tuple(r)[:6] for r in out.signals.orderBy("time_s").collect()]
+    assert rows == [(31, 0.5, 2.0, None, 6.0, 0.0), (31, 1.0, 0.75, 3.0, 6.0, 1.0), (31, 2.0, 0.5, 1.0, 6.0, -1.0)]
     assert out.metadata.first().schema_applied == "raw_A"
-    rows, n = rec.preview(out)
-    assert n == 100 and rows.count() == 3
+    first, n = rec.preview(out, 2)
+    assert n == 3 and [r.time_s for r in first.collect()] == [0.5, 1.0]
+
+
+NOTES = ['a}b', '}', '{', '"}, {"', '\\"}', '}\\', "line\nend}", '}, {"x": 1', "]", "", "é}{é", '\\\\"}{']
+
+
+@pytest.mark.parametrize("indent", [None, 2, "lines"])
+def test_json_text_may_hold_anything(spark, tmp_path, indent):
+    """Braces, quotes and line ends inside texts, over many small tasks."""
+    rows = [{"note": NOTES[i % len(NOTES)] * (1 + i % 5), "time_s": i / 4, "plasma_current": 1.0, "electron_density": None,
+             "electron_temperature": i, "loop_voltage": -i, "aux": i} for i in range(90)]
+    folder = write_shot(tmp_path, 8, kind="json")
+    text = "\n".join(map(json.dumps, rows)) if indent == "lines" else json.dumps(rows, indent=indent, ensure_ascii=False)
+    with open(f"{folder}/signals.json", "w") as f:
+        f.write(text)
+    for size in ("128m", "1k", "173b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            out = rec.load_recording(spark, folder)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        got = out.signals.orderBy(*rec.SOURCE_ORDER).select("time_s", "electron_temperature").collect()
+        assert [tuple(r) for r in got] == [(i / 4, float(i)) for i in range(90)], size
 
 
 def test_one_bad_recording_raises(spark, tmp_path):
@@ -98,7 +126,7 @@ def test_mixed_formats_schemas_and_errors(spark, tmp_path):
                 if sid % 3 == 0:
                     frame = frame[frame.columns[::-1]]  # permuted header
                 if sid % 4 == 0:
-                    frame.insert(2, "note", "text}" if kind == "csv" else 1)  # extra column
+                    frame.insert(2, "note", 'te"xt},{"' if kind == "json" else "text}")  # extra column
                 write_shot(tmp_path, sid, naming, unit, kind, frame, indent=[2, None][sid % 2])
     good = raw_frame("canonical", "MA")
     bad = {

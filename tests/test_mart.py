@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tests.test_enrichment import drop_at_two, ramp
+from tests.test_enrichment import pulse
 from tests.test_ingestion import write_shot
 from tidegrid.config import SIGNAL_COLUMNS, MartConfig
 from tidegrid.plans import ml, reports
@@ -15,37 +15,38 @@ from tidegrid.sources import mart as source
 from tidegrid.sources.registry import CURRENT_UNITS, NAMING_SCHEMES
 
 
-def meta_frame(spark, n=5):
-    return spark.createDataFrame(
-        pd.DataFrame(
-            {
-                "shot_id": range(1, n + 1), "operator": "Op1", "machine_config": ["A", "B", "A", "B", None][:n],
-                "quality_flag": ["OK"] * (n - 1) + ["DEGRADED"], "overall_completeness": [0.99, 0.98, 0.99, 1.0, 0.95][:n],
-                "completeness_plasma_current": 1.0, "completeness_density": 0.98,
-                "completeness_temperature": 0.99, "completeness_vloop": 1.0,
-                "declared_disruption": [False, True, False, True, False][:n],
-                "disruption_detected": [False, True, False, True, False][:n],
-                "disruption_time_detected_s": [None, 0.5, None, 0.0, None][:n],
-            }
-        )
-    ).withColumn("disruption_time_detected_s", F.when(~F.isnan("disruption_time_detected_s"), F.col("disruption_time_detected_s")))
+META = """
+1 | Ada | A    | OK       | 0.99 | false | false | null
+2 | Ada | B    | OK       | 0.98 | true  | true  | 0.5
+3 | Bob | A    | OK       | 0.99 | false | false | null
+4 | Bob | B    | OK       | 1.0  | true  | true  | 0.0
+5 | Bob | null | DEGRADED | 0.95 | false | false | null
+"""
+
+
+def meta_frame(spark):
+    """Five recordings, two of them with a declared and detected event."""
+    cells = [[None if x.strip() == "null" else x.strip() for x in line.split("|")] for line in META.strip().splitlines()]
+    names = ["shot_id", "operator", "machine_config", "quality_flag", "overall_completeness", "declared_disruption",
+             "disruption_detected", "disruption_time_detected_s"]
+    kinds = ["bigint", "string", "string", "string", "double", "boolean", "boolean", "double"]
+    table = spark.createDataFrame(cells, ", ".join(f"{n} string" for n in names))
+    table = table.selectExpr(*[f"CAST({n} AS {k}) AS {n}" for n, k in zip(names, kinds)])
+    sensors = {"plasma_current": 1.0, "density": 0.98, "temperature": 0.99, "vloop": 1.0}
+    return table.withColumns({f"completeness_{s}": F.lit(v) for s, v in sensors.items()})
 
 
 def signals_frame(spark, n=5, points=100):
-    t = np.linspace(0, 1, points)
-    return spark.createDataFrame(
-        pd.concat(
-            pd.DataFrame({"shot_id": s, "time_s": t, **dict(zip(SIGNAL_COLUMNS, (1.5, 4.0, 3.0, 0.5)))})
-            for s in range(1, n + 1)
-        )
-    )
+    """Recordings 1 to ``n``, whose signals tell recording and point."""
+    rows = spark.range(n * points).selectExpr(f"id div {points} + 1 AS shot_id", f"(id % {points}) / 64 AS time_s")
+    return rows.withColumns({s: F.col("shot_id") * 10.0 + j + F.col("time_s") for j, s in enumerate(SIGNAL_COLUMNS)})
 
 
 @pytest.fixture(scope="module")
 def mart(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("mart"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # show the spread
-    paths = sink.write_mart(meta_frame(spark), signals_frame(spark), MartConfig(path, split_rows=10), "2026-01-01T00:00:00+00:00")
+    paths = sink.write_mart(meta_frame(spark), signals_frame(spark), MartConfig(path, file_rows=10), "2026-01-01T00:00:00+00:00")
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert all(os.path.exists(p) for p in paths.values())
     return path
@@ -96,9 +97,10 @@ def test_shared_directories(spark, tmp_path):
 
 
 def test_dimension_driven_selection(spark, mart):
-    facts = source.select_signals(spark, mart, "quality_flag = 'OK' and declared_disruption")
-    assert {r.shot_id for r in facts.select("shot_id").distinct().collect()} == {2, 4}
-    assert "dynamicpruning" in facts._jdf.queryExecution().toString().lower()
+    for condition in ("quality_flag = 'OK' and declared_disruption", "declared_disruption"):
+        facts = source.select_signals(spark, mart, condition)
+        assert {r.shot_id for r in facts.select("shot_id").distinct().collect()} == {2, 4}
+        assert "dynamicpruning" in facts._jdf.queryExecution().toString().lower()
 
 
 def test_overwrite_modes(spark, tmp_path):
@@ -156,26 +158,53 @@ def test_shot_reports(spark, mart, tmp_path):
 
 
 def test_build_from_raw(spark, tmp_path):
-    sid = 0
-    for naming in NAMING_SCHEMES:
-        for unit in CURRENT_UNITS:
-            sid += 1
-            f = (drop_at_two if sid % 3 == 0 else ramp)(sid).drop(columns="shot_id")
-            f["plasma_current_MA"] /= CURRENT_UNITS[unit]
-            f.loc[100, "electron_density"] = 1e4
-            f.loc[2000:2500, "loop_voltage"] = np.nan
-            f.columns = NAMING_SCHEMES[naming]
-            write_shot(tmp_path / "raw", sid, naming, unit, "json" if sid % 2 else "csv", f, meta={"disruption": sid % 3 == 0})
-    write_shot(tmp_path / "raw", 99, unit="kA", frame=f)
-    out = build_mart(spark, str(tmp_path / "raw"), MartConfig(str(tmp_path / "out")), processed_at="2026-01-01T00:00:00+00:00")
-    assert out.errors.count() == 1
-    assert out.verification["n_shots"] == 6 and out.verification["sample_points"] == 3 * 5001
-    table = {r.shot_id: r for r in source.read_metadata(spark, str(tmp_path / "out")).collect()}
-    for s, r in table.items():
-        assert r.declared_disruption == r.disruption_detected == (s % 3 == 0)
-        assert r.quality_flag == "OK" and r.outliers_density >= 1
-        assert abs(r.plasma_current_max_MA - 1.5) < 1e-3
-    assert table[3].disruption_time_detected_s == pytest.approx(2.0, abs=0.05)
+    """All layouts, one recording that is kept out, and a column beyond the canonical ones."""
+    layouts = [(naming, unit) for naming in NAMING_SCHEMES for unit in CURRENT_UNITS]
+    for sid, (naming, unit) in enumerate(layouts, 1):
+        f = pulse(sid, falls_at=1.5 if sid in (2, 5) else None).drop(columns="shot_id")
+        f["plasma_current_MA"] /= CURRENT_UNITS[unit]
+        f.loc[700, "electron_density"] = -7e3
+        f.columns = NAMING_SCHEMES[naming]
+        f["probe"] = np.arange(len(f)) / 8
+        write_shot(tmp_path / "raw", sid, naming, unit, ("csv", "json")[sid % 2], f, meta={"disruption": sid in (2, 5)})
+    write_shot(tmp_path / "raw", 40, unit="kA", frame=f)
+    path = str(tmp_path / "out")
+    out = build_mart(spark, str(tmp_path / "raw"), MartConfig(path), processed_at="2026-01-01T00:00:00+00:00", extra_columns=["probe"])
+    assert [r.error[:14] for r in out.errors.collect()] == ["unknown schema"]
+    assert out.verification["n_shots"] == 6 and out.verification["sample_points"] == 3 * 3000
+    assert out.verification["signal_columns"] == ["time_s", *SIGNAL_COLUMNS, "probe", "shot_id"]
+    for r in source.read_metadata(spark, path).collect():
+        falls = r.shot_id in (2, 5)
+        assert r.declared_disruption == r.disruption_detected == falls
+        assert r.disruption_time_detected_s == (1.5 if falls else None)
+        assert r.quality_flag == "OK" and r.outliers_density >= 1 and abs(r.plasma_current_max_MA - 1.2) < 1e-3
+    facts = source.read_signals(spark, path, [3])
+    assert facts.agg(F.max("probe")).first()[0] == pytest.approx(2999 / 8)
+    assert source.select_signals(spark, path, "declared_disruption").columns == facts.columns
+    files = [f for f in os.listdir(f"{path}/signals/shot_id=3") if f.endswith(".parquet")]
+    assert len(files) == 1
+
+
+def test_named_columns_must_be_there(spark, mart):
+    assert source.read_signals(spark, mart, [1], ["time_s"]).columns == ["time_s", "shot_id"]
+    with pytest.raises(Exception, match="no_such"):
+        source.read_signals(spark, mart, [1], ["no_such"])
+
+
+def test_manifest_names_every_flag(spark):
+    table = spark.range(450).selectExpr("id AS shot_id", "concat('flag', id % 150) AS quality_flag", "id < 28 AS declared_disruption")
+    card = sink.manifest(table)
+    assert card["statistics"]["quality_flags"] == {f"flag{i}": 3 for i in range(150)}
+    sixteen = sink.manifest_statistics(spark.range(16).selectExpr("id = 3 AS declared_disruption")).first()
+    assert sixteen.disruption_rate_declared == 0.062  # 0.0625 goes to the even digit
+
+
+def test_long_ids_in_comparison(spark, mart):
+    big = 3_000_000_000
+    meta = meta_frame(spark).withColumn("shot_id", F.col("shot_id") + big)
+    facts = signals_frame(spark).withColumn("shot_id", F.col("shot_id") + big)
+    rows = reports.comparison(facts, meta, [big + 4, big + 1]).collect()
+    assert [(r.shot_id, r.position) for r in rows][::100] == [(big + 4, 1), (big + 1, 2)]
 
 
 def test_folds_and_classifier(spark):

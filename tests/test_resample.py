@@ -3,21 +3,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from registered.inputs import HZ, SIGNALS
+from registered.sql import RESAMPLED
+from tests.oracle import over_series
 from tidegrid.operators.resample import resample_to_grid
-from tidegrid.operators.series import with_row_index
-
-
-def expected_grid(t, values, hz):
-    order = np.argsort(t, kind="stable")
-    t = t[order]
-    n = int(round((t[-1] - t[0]) * hz)) + 1
-    x = np.linspace(t[0], t[-1], n)
-    out = {"t": x}
-    for name, v in values.items():
-        v = v[order]
-        ok = ~np.isnan(v)
-        out[name] = np.interp(x, t[ok], v[ok]) if ok.sum() >= 2 else np.full(n, np.nan)
-    return pd.DataFrame(out)
+from tidegrid.operators.series import split_series, with_row_index
 
 
 def random_series(rng, sid):
@@ -37,21 +27,62 @@ def random_series(rng, sid):
     return pd.DataFrame({"sid": sid, "t": t, "src": np.arange(n), "a": a, "b": b})
 
 
-@pytest.mark.parametrize("split_rows,block_rows", [(250_000, 16_384), (7, 16), (2, 5)])
-def test_matches_interp_on_random_series(spark, split_rows, block_rows):
+def on_grid(spark, df, split_rows=250_000, block_rows=16_384):
+    got = resample_to_grid(df, ["sid"], "t", ["a", "b"], 50, tie=["src"], split_rows=split_rows, block_rows=block_rows)
+    return got.toPandas().sort_values(["sid", "_k"], ignore_index=True)
+
+
+@pytest.fixture(scope="module")
+def many(spark):
     rng = np.random.default_rng(5)
     frames = [random_series(rng, s) for s in range(40)]
     df = spark.createDataFrame(pd.concat(frames))
-    got = resample_to_grid(
-        df, ["sid"], "t", ["a", "b"], 50, tie=["src"], split_rows=split_rows, block_rows=block_rows
-    ).toPandas()
-    for frame in frames:
-        sid = frame.sid.iloc[0]
-        want = expected_grid(frame.t.values, {"a": frame.a.values, "b": frame.b.values}, 50)
-        have = got[got.sid == sid].sort_values("_k")
-        assert list(have._k) == list(range(len(want)))
-        for c in ("t", "a", "b"):
-            np.testing.assert_array_equal(have[c].to_numpy(float), want[c].to_numpy(float))
+    return frames, df, on_grid(spark, df)
+
+
+def test_grid_and_lines_of_random_series(many):
+    """Even steps from the first to the last time; every value on the line between its neighbours."""
+    frames, _, got = many
+    for f in frames:
+        have = got[got.sid == f.sid.iloc[0]]
+        f = f.sort_values(["t", "src"])
+        first, last = f.t.iloc[0], f.t.iloc[-1]
+        assert have._k.tolist() == list(range(len(have))) and abs(len(have) - 1 - (last - first) * 50) <= 0.5
+        assert have.t.iloc[0] == first and (len(have) == 1 or have.t.iloc[-1] == last)
+        assert np.allclose(np.diff(have.t), (last - first) / max(len(have) - 1, 1), atol=1e-9)
+        for c in ("a", "b"):
+            points = f[["t", c]].dropna()
+            if f[c].count() < 2:
+                assert have[c].isna().all()
+                continue
+            for x, y in zip(have.t, have[c]):
+                left, right = points[points.t <= x].tail(1), points[points.t > x].head(1)
+                if left.empty or right.empty:
+                    assert y == (right if left.empty else left)[c].iloc[0]
+                    continue
+                share = (x - left.t.iloc[0]) / (right.t.iloc[0] - left.t.iloc[0])
+                assert y == pytest.approx((1 - share) * left[c].iloc[0] + share * right[c].iloc[0], abs=1e-7)
+
+
+@pytest.mark.parametrize("split_rows,block_rows", [(7, 16), (25, 5)])
+def test_grid_does_not_change_with_blocks(spark, many, split_rows, block_rows):
+    _, df, want = many
+    pd.testing.assert_frame_equal(on_grid(spark, df, split_rows, block_rows), want)
+
+
+def test_grid_equals_its_sql(spark):
+    rng = np.random.default_rng(9)
+    raw = pd.DataFrame({"shot_id": rng.integers(0, 5, 300), "time_s": rng.uniform(0, 90, 300) / HZ})
+    for c in SIGNALS:
+        raw[c] = np.where(rng.random(300) < 0.3, np.nan, rng.normal(size=300))
+    got = resample_to_grid(spark.createDataFrame(raw), ["shot_id"], "time_s", SIGNALS, HZ).toPandas()
+    want = over_series(raw, f"WITH {RESAMPLED} SELECT shot_id, k, x, signal, v FROM resampled")
+    long = got.melt(["shot_id", "_k", "time_s"], SIGNALS, "signal", "value").merge(
+        want, left_on=["shot_id", "_k", "signal"], right_on=["shot_id", "k", "signal"]
+    )
+    assert len(long) == len(want) == 4 * len(got)
+    np.testing.assert_allclose(long.time_s, long.x, rtol=1e-12)
+    np.testing.assert_allclose(long.value.astype(float), long.v.astype(float), rtol=0, atol=1e-9)
 
 
 def test_uniform_spacing(spark):
@@ -70,7 +101,7 @@ def test_infinite_points_follow_interp(spark):
     v = np.array([1.0, np.inf, 3.0, 4.0])
     df = spark.createDataFrame(pd.DataFrame({"sid": 1, "t": t, "v": v}))
     got = resample_to_grid(df, ["sid"], "t", ["v"], 2).toPandas().sort_values("_k")
-    np.testing.assert_array_equal(got.v.to_numpy(float), np.interp(got.t, t, v))
+    assert got.v.tolist() == [1.0, np.inf, np.inf, np.inf, 3.0, 3.5, 4.0]
 
 
 def test_empty_and_null_time(spark):
@@ -98,23 +129,40 @@ def test_row_index_of_bursty_and_tied_series(spark, split_rows):
     assert (merged._valid_v_x == merged._valid_v_y).all()
 
 
-def test_more_long_series_than_may_be_listed(spark, monkeypatch):
+def test_more_long_series_than_may_be_listed(spark, many, monkeypatch):
     def unlisted(df, max_rows=0):
         return df, None if df.limit(1).collect() else 0
 
     monkeypatch.setattr("tidegrid.operators.series.broadcast_if_small", unlisted)
-    rng = np.random.default_rng(6)
-    frames = [random_series(rng, s) for s in range(6)]
-    df = spark.createDataFrame(pd.concat(frames))
-    got = resample_to_grid(
-        df, ["sid"], "t", ["a", "b"], 50, tie=["src"], split_rows=9, block_rows=32
-    ).toPandas()
+    frames, df, want = many
+    pd.testing.assert_frame_equal(on_grid(spark, df, 9, 32), want)
     indexed = with_row_index(df, ["sid"], ["t", "src"], count_valid=["a"], split_rows=9).toPandas()
-    for frame in frames:
-        sid = frame.sid.iloc[0]
-        want = expected_grid(frame.t.values, {"a": frame.a.values, "b": frame.b.values}, 50)
-        have = got[got.sid == sid].sort_values("_k")
-        np.testing.assert_array_equal(have.a.to_numpy(float), want.a.to_numpy(float))
-        np.testing.assert_array_equal(have.b.to_numpy(float), want.b.to_numpy(float))
-        rows = indexed[indexed.sid == sid].sort_values("src")
-        assert rows._i.tolist() == list(range(len(frame)))
+    for f in frames:
+        rows = indexed[indexed.sid == f.sid.iloc[0]].sort_values("src")
+        assert rows._i.tolist() == list(range(len(f)))
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("double", [None, float("-inf"), float("inf"), float("nan"), 0.0, 1e300, 5e-324]),
+    ("string", [None, "", "ä", "zz", "a" * 1000]),
+    ("timestamp", [None, "2024-01-01", "1900-01-01"]),
+    ("long", [None, -(2**63), 2**63 - 1, 7]),
+])
+def test_row_index_does_not_depend_on_splitting(spark, kind, values):
+    """Missing, infinite and textual order values, and a series without a key."""
+    rng = np.random.default_rng(2)
+    rows = [(["hot", None, "cold"][int(k)], values[int(rng.integers(len(values)))], i)
+            for i, k in enumerate(rng.choice(3, 900, p=[0.6, 0.3, 0.1]))]
+    df = spark.createDataFrame([(k, None if v is None else str(v), i) for k, v, i in rows], "sid string, text string, id int")
+    df = df.withColumn("v", F.col("text").cast(kind)).drop("text")
+    whole, path = split_series(df, ["sid"], ["v", "id"])
+    assert path == []
+    cut, path = split_series(df, ["sid"], ["v", "id"], split_rows=20)
+    assert path == ["_blk0"] and cut.count() == 900
+    sizes = [r["count"] for r in cut.where("_blk0 is not null").groupBy("sid", "_blk0").count().collect()]
+    assert max(sizes) <= 80
+    indices = [
+        {r.id: (r._i, r._valid_v) for r in with_row_index(df, ["sid"], ["v", "id"], count_valid=["v"], split_rows=n).collect()}
+        for n in (250_000, 20)
+    ]
+    assert indices[0] == indices[1]

@@ -24,6 +24,9 @@ SPLIT_ROWS = 250_000
 GRID_BLOCK_ROWS = 16_384
 # Largest table that is listed on the driver and broadcast; beyond it Spark joins by shuffle.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
+# Rows of one recording that go into one file of the mart, about 128 MB of five doubles.
+FILE_ROWS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -63,7 +66,7 @@ class MartConfig:
     output_dir: str = "data/processed"
     compression: str = "snappy"
     overwrite: bool = True
-    split_rows: int = SPLIT_ROWS
+    file_rows: int = FILE_ROWS
     # One directory per recording is the contract; with very many short recordings a directory
     # may hold several, sorted by id, so that files keep a useful size.
     shots_per_directory: int = 1

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def null_if_nan(c: Column) -> Column:
@@ -16,16 +15,6 @@ def clean_doubles(df: DataFrame, cols: list[str] | tuple[str, ...]) -> DataFrame
     return df.withColumns({c: null_if_nan(F.col(c).cast("double")) for c in cols})
 
 
-def as_position(df: DataFrame, name: str) -> Column | None:
-    """``name`` as a double that keeps its order, or None for types without one."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    return None
-
-
 def round_exactly(x: str, digits: int) -> str:
     """SQL for ``x`` rounded half to even on its exact binary value.
 

@@ -14,10 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.config import BROADCAST_ROWS, SPLIT_ROWS
-from tidegrid.functions.numeric import as_position
-from tidegrid.session import broadcast_if_small
-
-MAX_LEVELS = 5
+from tidegrid.session import broadcast_if_small, materialize
 
 
 def split_series(
@@ -29,74 +26,38 @@ def split_series(
 ) -> tuple[DataFrame, list[str]]:
     """Cut series of more than ``4 * split_rows`` rows into blocks ordered like ``order``.
 
-    Returns the frame and the block columns it gained: none when every series is short,
-    otherwise ``_blk0`` (NULL for short series), ``_blk1`` ... plus ``_first`` and ``_last``,
-    the range of ``order[0]`` in each long series. Blocks have equal width in the first order
-    column that varies; a block that is still too full is cut again inside its own range.
-    Only long series are listed, at most one per ``4 * split_rows`` input rows.
+    Returns the frame and the block column it gained: none when every series is short, otherwise
+    ``_blk0`` (NULL for short series) plus ``_first`` and ``_last``, the range of ``order[0]`` in each
+    long series. The rows of long series are dealt by ranges of keys and order, so that a block has
+    about ``split_rows`` rows whatever the values are: missing and infinite ones, texts and ties
+    included. Only these rows are moved, and written once, as a range is not the same twice.
+    Long series are listed if they are few: there is at most one per ``4 * split_rows`` input rows.
     """
-    path: list[str] = []
-    if fits_one_block(df, split_rows):
-        return df, path
-    positions = {c: p for c in order if (p := as_position(df, c)) is not None}
-    for level in range(MAX_LEVELS):
-        pool = df.where(F.col(path[-1]).isNotNull()) if path else df
-        groups = [*keys, *path]
-        ranges = [
-            agg
-            for i, p in enumerate(positions.values())
-            for agg in (F.min(p).alias(f"_lo{i}"), F.max(p).alias(f"_hi{i}"))
-        ]
-        varies = reduce(
-            lambda a, b: a | b,
-            [F.col(f"_lo{i}") < F.col(f"_hi{i}") for i in range(len(positions))],
-            F.lit(False),
-        )
-        crowded = (
-            pool.groupBy(*groups)
-            .agg(
-                F.count(F.lit(1)).alias("_rows"),
-                *ranges,
-                F.min(order[0]).alias("_first"),
-                F.max(order[0]).alias("_last"),
-            )
-            .where((F.col("_rows") > 4 * split_rows) & varies)
-        )
-        if level:
-            crowded = crowded.drop("_first", "_last")
-        crowded, listed = broadcast_if_small(crowded, max_listed)
-        if listed == 0:
-            break
-        share = F.coalesce(
-            *[
-                F.when(
-                    F.col(f"_lo{i}") < F.col(f"_hi{i}"),
-                    (p - F.col(f"_lo{i}")) / (F.col(f"_hi{i}") - F.col(f"_lo{i}")),
-                )
-                for i, p in enumerate(positions.values())
-            ]
-        )
-        blocks = F.ceil(F.col("_rows") / split_rows)
-        block = F.least(blocks - 1, F.floor(share * blocks))
-        name = f"_blk{level}"
-        df = df.join(crowded, groups, "left").withColumn(
-            name,
-            F.when(F.col("_rows").isNotNull(), F.coalesce(block, F.lit(0)))
-            if not level
-            else F.when(F.col(path[0]).isNotNull(), F.coalesce(block, F.lit(0))),
-        )
-        df = df.drop("_rows", *[f"_{e}{i}" for i in range(len(positions)) for e in ("lo", "hi")])
-        path.append(name)
-    return df, path
-
+    long = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(order[0]).alias("_first"), F.max(order[0]).alias("_last")
+    )
+    long, listed = broadcast_if_small(long.where(F.col("_rows") > 4 * split_rows), max_listed)
+    total = long.agg(F.sum("_rows")).first()[0] if listed != 0 else None
+    if not total:
+        return df, []
+    rows = join_null_safe(df, long, keys)
+    is_long = F.col("_rows").isNotNull()
+    ranged = (
+        rows.where(is_long)
+        .withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(-(-total // split_rows), *keys, *order, "_tie")
+        .withColumn("_blk0", F.spark_partition_id().cast("long"))
+        .drop("_tie", "_rows")
+    )
+    short = rows.where(~is_long).drop("_rows").withColumn("_blk0", F.lit(None).cast("long"))
+    return materialize(ranged, "blocks").unionByName(short), ["_blk0"]
 
-def fits_one_block(df: DataFrame, split_rows: int) -> bool:
-    """Whether the whole input is too small to contain a long series.
 
-    Judged by Spark's size estimate at 16 bytes per row; it only saves the listing of long series.
-    """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) < 4 * split_rows * 16
+def join_null_safe(df: DataFrame, other: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Left join on ``names``, where missing keys are equal to each other."""
+    other = other.withColumnsRenamed({c: f"_key_{i}" for i, c in enumerate(names)})
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(other[f"_key_{i}"]) for i, c in enumerate(names)])
+    return df.join(other, same, "left").drop(*[f"_key_{i}" for i in range(len(names))])
 
 
 def with_row_index(
@@ -141,7 +102,7 @@ def with_row_index(
             )
         )
         offsets, _ = broadcast_if_small(offsets)
-        out = out.join(offsets, [*keys, *path], "left").withColumns(
+        out = join_null_safe(out, offsets, [*keys, *path]).withColumns(
             {
                 index: F.col(index) + F.coalesce("_offset", F.lit(0)),
                 **{name: F.coalesce(f"{name}_s", name) for name in valid},

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,14 +37,17 @@ def build_mart(
     cleaning: CleaningConfig = CleaningConfig(),
     features: FeatureConfig = FeatureConfig(),
     processed_at: str | None = None,
+    extra_columns: Sequence[str] = (),
 ) -> MartBuild:
     """Ingest, clean, enrich, write and verify.
 
     The cleaned series are landed once: the quality counts, the features and the fact table all
-    read them.
+    read them. ``extra_columns`` names raw columns that the fact table carries as well, resampled
+    but not cleaned.
     """
-    recordings = load_recordings(spark, raw_dir, registry)
-    cleaned = materialize(clean_series(recordings.signals, KEYS, cleaning, SOURCE_ORDER), "cleaned")
+    recordings = load_recordings(spark, raw_dir, registry, extra_columns)
+    cleaned = clean_series(recordings.signals, KEYS, cleaning, SOURCE_ORDER, keep_extra=bool(extra_columns))
+    cleaned = materialize(cleaned, "cleaned")
     table = materialize(
         enrich(
             recordings.metadata,
@@ -53,8 +57,7 @@ def build_mart(
         ),
         "metadata",
     )
-    facts = cleaned.drop("_k", "outlier_mask")
-    paths = write_mart(table, facts, mart, processed_at, block="_b")
+    paths = write_mart(table, cleaned.drop("outlier_mask"), mart, processed_at, index="_k")
     return MartBuild(paths, recordings.errors, verify_mart(spark, mart.output_dir))
 
 

@@ -119,7 +119,7 @@ def comparison(
     about = metadata.where(chosen).select(
         "shot_id", series_label().alias("label"), flag_colour().alias("colour")
     )
-    position = F.array_position(F.array(*[F.lit(i) for i in ids]), F.col("shot_id").cast("int"))
+    position = F.array_position(F.array(*[F.lit(i).cast("long") for i in ids]), F.col("shot_id").cast("long"))
     return (
         signals.where(chosen)
         .select("shot_id", TIME_COLUMN, F.col(signal).alias("value"))

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.config import BROADCAST_ROWS
+from tidegrid.config import BROADCAST_BYTES, BROADCAST_ROWS
 
 
 def scratch_dir(spark: SparkSession, label: str = "run") -> str:
@@ -51,13 +51,19 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int | None]:
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> tuple[DataFrame, int | None]:
     """List a small table on the driver and broadcast it; leave a larger one to a shuffle join.
 
-    Returns the table and its row count, or ``None`` for the count when it exceeds ``max_rows``.
+    Returns the table and its row count, or ``None`` for the count when it exceeds ``max_rows`` rows or
+    ``max_bytes`` bytes of text. Reading stops at the limit.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df, None
+    rows, size = [], 0
+    for row in df.limit(max_rows + 1).toLocalIterator():
+        rows.append(row)
+        size += len(repr(row))
+        if len(rows) > max_rows or size > max_bytes:
+            return df, None
     local = df.sparkSession.createDataFrame(rows, df.schema)
     return F.broadcast(local), len(rows)

@@ -7,7 +7,8 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.config import PIPELINE_VERSION, SIGNAL_COLUMNS, TIME_COLUMN, MartConfig
+from tidegrid.config import FILE_ROWS, PIPELINE_VERSION, SIGNAL_COLUMNS, TIME_COLUMN, MartConfig
+from tidegrid.functions.numeric import round_exactly
 from tidegrid.operators.enrich import utc_now
 from tidegrid.operators.series import split_series
 
@@ -27,21 +28,22 @@ def write_metadata(table: DataFrame, config: MartConfig) -> str:
     return path
 
 
-def write_signals(signals: DataFrame, config: MartConfig, block: str | None = None) -> str:
+def write_signals(signals: DataFrame, config: MartConfig, index: str | None = None) -> str:
     """The fact table, one directory per ``shot_id``, sorted by time inside each file.
 
-    A long recording is spread over several tasks and files: by its ``block`` column if it has
-    one, else by time. ``overwrite`` replaces the whole tree; without it only the recordings
-    being written are replaced, which needs a directory for each.
+    A recording is written by one task, into one file, unless it is long: then every ``file_rows``
+    rows in a row go to a task and a file of their own. They are told apart by the row number
+    ``index``, if there is one, else by time. ``overwrite`` replaces the whole tree; without it only
+    the recordings being written are replaced, which needs a directory for each.
     """
     path = f"{config.output_dir}/{SIGNALS}"
     n = config.shots_per_directory
     if n > 1 and not config.overwrite:
         raise ValueError("replacing single recordings needs one directory per recording")
-    if block:
-        blocks = [block]
+    if index:
+        signals, blocks = signals.withColumn("_file", F.expr(f"{index} div {config.file_rows}")), ["_file"]
     else:
-        signals, blocks = split_series(signals, ["shot_id"], [TIME_COLUMN], config.split_rows)
+        signals, blocks = split_series(signals, ["shot_id"], [TIME_COLUMN], config.file_rows)
     helpers = [c for c in signals.columns if c.startswith("_")]
     directory = "shot_id"
     if n > 1:
@@ -63,17 +65,24 @@ def write_signals(signals: DataFrame, config: MartConfig, block: str | None = No
 
 def manifest_statistics(table: DataFrame) -> DataFrame:
     """One row of data set statistics; NULL where the table lacks the column or has no rows."""
-    def mean(name, digits):
+    def mean(name):
         if name not in table.columns:
             return F.lit(None).cast("double")
-        return F.round(F.avg(F.col(name).cast("double")), digits)
+        return F.avg(F.col(name).cast("double"))
 
-    return table.agg(
+    digits = {"disruption_rate_declared": 3, "disruption_rate_detected": 3, "mean_completeness": 4}
+    means = table.agg(
         F.count(F.lit(1)).alias("total_shots"),
-        mean("declared_disruption", 3).alias("disruption_rate_declared"),
-        mean("disruption_detected", 3).alias("disruption_rate_detected"),
-        mean("overall_completeness", 4).alias("mean_completeness"),
+        mean("declared_disruption").alias("disruption_rate_declared"),
+        mean("disruption_detected").alias("disruption_rate_detected"),
+        mean("overall_completeness").alias("mean_completeness"),
     )
+    return means.selectExpr("total_shots", *[f"{round_exactly(c, n)} AS {c}" for c, n in digits.items()])
+
+
+def flag_counts(table: DataFrame) -> DataFrame:
+    """Number of recordings of every quality flag."""
+    return table.where("quality_flag is not null").groupBy("quality_flag").agg(F.count("*").alias("n_shots"))
 
 
 def manifest(
@@ -82,12 +91,12 @@ def manifest(
     name: str = "recordings-mart",
     shots_per_directory: int = 1,
 ) -> dict:
-    """The data card. Only aggregates reach the driver."""
+    """The data card. Only aggregates reach the driver: one row, and one for each kind of flag."""
     statistics = manifest_statistics(table).first().asDict()
     flags = {}
     if "quality_flag" in table.columns:
-        counts = table.where("quality_flag is not null").groupBy("quality_flag").count()
-        flags = {r["quality_flag"]: r["count"] for r in counts.orderBy(F.desc("count")).limit(100).collect()}
+        rows = flag_counts(table).orderBy(F.desc("n_shots"), "quality_flag").collect()
+        flags = {r.quality_flag: r.n_shots for r in rows}
     n = statistics["total_shots"]
     return {
         "name": name,
@@ -136,11 +145,14 @@ def write_mart(
     signals: DataFrame,
     config: MartConfig = MartConfig(),
     created_at: str | None = None,
-    block: str | None = None,
+    index: str | None = None,
 ) -> dict[str, str]:
-    """Write all three parts and return their paths."""
+    """Write all three parts and return their paths.
+
+    ``table`` is read several times; pass a written one if it is costly to compute.
+    """
     return {
         "metadata_table": write_metadata(table, config),
-        "signals_dir": write_signals(signals, config, block),
+        "signals_dir": write_signals(signals, config, index),
         "manifest": write_manifest(table, config, created_at),
     }

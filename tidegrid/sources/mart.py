@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tidegrid.config import SIGNAL_COLUMNS, TIME_COLUMN
 from tidegrid.session import existing_paths, first_directory
@@ -24,16 +25,18 @@ def read_signals(
     spark: SparkSession,
     mart_dir: str,
     shot_ids: Sequence[int] | None = None,
-    columns: Sequence[str] = (TIME_COLUMN, *SIGNAL_COLUMNS),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """The facts of all recordings, or of those listed; only their directories are read.
 
-    For a short list only their directories are looked up; otherwise Spark lists the tree and
-    prunes it. The stated schema spares the inference of types from files and directory names.
+    All columns of the files are returned, or those named, which must be there. For a short list
+    only their directories are looked up; otherwise Spark lists the tree and prunes it. The
+    columns are those of one directory, as all are written alike.
     """
-    root, directory, span, schema = _layout(spark, mart_dir, columns)
+    root, directory, span, schema = _layout(spark, mart_dir)
     reader = spark.read.schema(schema).option("basePath", root)
-    out = [*columns, "shot_id"]
+    out = [f.name for f in schema if f.name not in ("shot_id", directory)] if columns is None else list(columns)
+    out.append("shot_id")
     if shot_ids is None:
         return reader.parquet(root).select(out)
     ids = [int(i) for i in shot_ids]
@@ -49,12 +52,13 @@ def read_signals(
 def select_signals(spark: SparkSession, mart_dir: str, condition: str | Column) -> DataFrame:
     """The facts of the recordings whose metadata meet ``condition``.
 
-    Spark prunes the fact partitions at run time when the condition contains a comparison.
+    Spark prunes the fact partitions at run time if it takes the condition for selective, which it
+    does for comparisons only; hence the one that every id meets.
     """
-    columns = (TIME_COLUMN, *SIGNAL_COLUMNS)
-    root, directory, span, schema = _layout(spark, mart_dir, columns)
+    root, directory, span, schema = _layout(spark, mart_dir)
+    columns = [f.name for f in schema if f.name not in ("shot_id", directory)]
     facts = spark.read.schema(schema).option("basePath", root).parquet(root)
-    chosen = read_metadata(spark, mart_dir).where(condition).select("shot_id")
+    chosen = read_metadata(spark, mart_dir).where(condition).where(F.col("shot_id") > -(2**63)).select("shot_id")
     if span > 1:
         chosen = chosen.withColumn(directory, F.expr(f"shot_id div {span}"))
     return facts.join(chosen, [*dict.fromkeys([directory, "shot_id"])], "left_semi").select(
@@ -62,14 +66,18 @@ def select_signals(spark: SparkSession, mart_dir: str, condition: str | Column)
     )
 
 
-def _layout(spark: SparkSession, mart_dir: str, columns: Sequence[str]) -> tuple[str, str, int, str]:
+def _layout(spark: SparkSession, mart_dir: str) -> tuple[str, str, int, StructType]:
     """Root, partition column, ids per directory and schema of the fact table."""
     root = f"{mart_dir}/{SIGNALS}"
-    schema = ", ".join(f"`{c}` double" for c in columns) + ", shot_id bigint"
-    directory = (first_directory(spark, root) or "shot_id=").split("=")[0]
-    if directory == "shot_id":
-        return root, directory, 1, schema
-    return root, directory, int(directory[len(SHARED_DIRECTORY):]), f"{schema}, {directory} bigint"
+    found = first_directory(spark, root)
+    directory = (found or "shot_id=").split("=")[0]
+    schema = StructType([StructField(c, DoubleType()) for c in (TIME_COLUMN, *SIGNAL_COLUMNS)])
+    if found:
+        schema = spark.read.parquet(f"{root}/{found}").schema
+    for name in dict.fromkeys(["shot_id", directory]):
+        schema = StructType([f for f in schema if f.name != name]).add(name, LongType())
+    span = 1 if directory == "shot_id" else int(directory[len(SHARED_DIRECTORY):])
+    return root, directory, span, schema
 
 
 def read_manifest(spark: SparkSession, mart_dir: str) -> dict:
