@@ -63,9 +63,10 @@ def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_share: fl
     )
     joined = rows.join(broadcast_if_small(by_host)[0], F.col("_host").eqNullSafe(F.col("_of")), "left")
     stays = F.filter("_lines", lambda x: ~F.array_contains(F.col("_drop"), F.unhex(F.md5(x))))
-    return joined.select(
-        "_doc.*",
-        F.col("_host").alias("host"),
-        F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(stays).alias("kept_lines"),
-        F.size("_lines").cast("long").alias("n_lines"),
+    done = joined.select(
+        "_doc",
+        "_host",
+        F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(stays).alias("_kept"),
+        F.size("_lines").cast("long").alias("_n"),
     )
+    return done.select("_doc.*", F.col("_host").alias("host"), F.col("_kept").alias("kept_lines"), F.col("_n").alias("n_lines"))

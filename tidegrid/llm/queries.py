@@ -93,8 +93,8 @@ WITH p AS (
       '<[^>]*>', '', 'g') AS plain
   FROM pages),
 l AS (
-  SELECT r, page_id, host, list_filter(list_transform(coalesce(string_split(plain, chr(10)), []),
-      x -> regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')), x -> x <> '') AS lines
+  SELECT r, page_id, host, [x for x in [regexp_replace(y, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')
+      for y in coalesce(string_split(plain, chr(10)), [])] if x <> ''] AS lines
   FROM p),
 h AS (SELECT host, count(*) AS n FROM l GROUP BY host),
 c AS (
@@ -106,7 +106,7 @@ b AS (
 SELECT page_id, l.host AS host, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(kept) AS BIGINT) AS n_kept,
   md5(array_to_string(kept, chr(10))) AS kept_md5
 FROM (SELECT l.*, CASE WHEN dropped IS NULL THEN lines
-        ELSE list_filter(lines, x -> NOT list_contains(dropped, x)) END AS kept
+        ELSE [x for x in lines if NOT list_contains(dropped, x)] END AS kept
       FROM l LEFT JOIN b USING (host)) l
 """
 
@@ -117,8 +117,8 @@ def topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
