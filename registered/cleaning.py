@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from registered.inputs import (
     CLEANING, HZ, SHOT, SIGNALS, TYPE_SERIES_SQL, USER_SERIES_SQL, cleaned_users, rounded,
-    type_series, user_series,
+    table, type_series, user_series,
 )
-from registered.sql import CLEANED, GRID, QUALITY, RESAMPLED
+from registered.sql import CLEANED, GRID, QUALITY, RESAMPLED, _exact
 from tidegrid.operators.impute import gap_islands, impute_short_gaps
 from tidegrid.operators.outliers import detect_outliers, nullify_outliers, rolling_mad
 from tidegrid.operators.quality import quality_report, quality_summary, signal_quality
@@ -57,6 +57,33 @@ def row_order(spark, sf_dir):
     )
 
 
+def _odd_order():
+    """Missing, infinite and repeated order values."""
+    e = F.col("event_id")
+    return F.when(e % 10 == 0, F.lit(None)).when(e % 97 == 1, float("inf")).when(e % 89 == 2, float("-inf")).otherwise(
+        F.floor(F.col("value"))
+    )
+
+
+def row_order_odd(spark, sf_dir):
+    """Numbers of rows whose order column has no even scale, with the series cut into blocks."""
+    events = table(spark, sf_dir, "events").select("event_type", "event_id", _odd_order().alias("at"))
+    numbered = with_row_index(events, TYPE, ["at", "event_id"], split_rows=450)
+    return numbered.select("event_type", "event_id", F.col("_i").alias("row_index"))
+
+
+def quality_maps(spark, sf_dir):
+    """The exported report: maps per signal with rounded completeness."""
+    report = quality_report(user_series(spark, sf_dir), cleaned_users(spark, sf_dir), SHOT, CLEANING, rounded=True)
+    return report.select(
+        "shot_id", "overall_completeness", F.explode("completeness_per_signal").alias("signal", "completeness"),
+        "outliers_per_signal",
+    ).select(
+        "shot_id", "overall_completeness", "signal", "completeness",
+        F.element_at("outliers_per_signal", F.col("signal")).alias("n_outliers"),
+    )
+
+
 def grid(spark, sf_dir):
     return rounded(grid_bounds(user_series(spark, sf_dir), SHOT, "time_s", HZ))
 
@@ -128,6 +155,8 @@ def summary(spark, sf_dir):
 
 
 QUERIES = {
+    "ts_row_order_odd": row_order_odd,
+    "ts_quality_maps": quality_maps,
     "ts_row_order": row_order,
     "ts_grid_bounds": grid,
     "ts_resample_linear": _resample,
@@ -155,6 +184,14 @@ i AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id
 g AS (SELECT *, i - row_number() OVER (PARTITION BY event_type ORDER BY i) AS run FROM i WHERE v IS NULL)"""
 
 ORACLES = {
+    "ts_row_order_odd": """SELECT event_type, event_id, row_number() OVER (
+  PARTITION BY event_type ORDER BY CASE WHEN event_id % 10 = 0 THEN NULL
+    WHEN event_id % 97 = 1 THEN CAST('inf' AS DOUBLE) WHEN event_id % 89 = 2 THEN CAST('-inf' AS DOUBLE)
+    ELSE floor(value) END NULLS FIRST, event_id) - 1 AS row_index FROM events""",
+    "ts_quality_maps": f"""WITH {USER_SERIES_SQL}, {CLEANED}, {QUALITY}
+SELECT s.shot_id, {_exact('f.overall_completeness')} AS overall_completeness, s.signal,
+       {_exact('s.completeness')} AS completeness, s.n_outliers
+FROM signal_quality s JOIN flags f USING (shot_id)""",
     "ts_row_order": """SELECT event_type, event_id,
   row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS row_index FROM events""",
     "ts_grid_bounds": f"""WITH {USER_SERIES_SQL}, {GRID}

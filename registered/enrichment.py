@@ -3,13 +3,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registered.inputs import (
-    SHOT, SUPPLIER_SERIES_SQL, USER_SERIES_SQL, rounded, supplier_series, user_mart_table,
+    SHOT, SUPPLIER_SERIES_SQL, USER_SERIES_SQL, rounded, supplier_series, table, user_mart_table,
     user_series,
 )
-from registered.sql import META, features_sql
-from tidegrid.operators.enrich import agreement, confusion
+from registered.sql import META, exactly, features_sql
+from tidegrid.config import MartConfig
+from tidegrid.operators.enrich import PREVIEW, agreement, confusion, preview, sort_metadata
 from tidegrid.operators.features import derived_features, detect_disruption, duration_and_peak
-from tidegrid.sinks.mart import manifest_statistics
+from tidegrid.session import scratch_dir
+from tidegrid.sinks.mart import MANIFEST, flag_counts, manifest_statistics, write_manifest
 
 _META = f"WITH {META}"
 
@@ -48,7 +50,46 @@ def statistics(spark, sf_dir):
     return manifest_statistics(user_mart_table(spark, sf_dir))
 
 
+def previewed(spark, sf_dir):
+    """The sorted dimension table in its preview columns."""
+    table = sort_metadata(user_mart_table(spark, sf_dir))
+    return preview(table, rows=1 << 30)
+
+
+def manifest_flags(spark, sf_dir):
+    """Counts of more kinds of flags than fit a short list."""
+    return flag_counts(_many_flags(spark, sf_dir))
+
+
+def _many_flags(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer")
+    return customers.select(
+        F.col("c_custkey").alias("shot_id"),
+        F.concat(F.lit("flag"), (F.col("c_custkey") % 120).cast("string")).alias("quality_flag"),
+        (F.col("c_custkey") % 16 == 0).alias("declared_disruption"),
+        (F.col("c_custkey") % 3 == 0).alias("disruption_detected"),
+        (F.col("c_acctbal") / 10000).alias("overall_completeness"),
+    )
+
+
+def manifest_document(spark, sf_dir):
+    """The written manifest, read back: one row for each of its flags."""
+    path = scratch_dir(spark, "manifest")
+    write_manifest(_many_flags(spark, sf_dir), MartConfig(path), "2026-01-01T00:00:00+00:00")
+    kind = (
+        "statistics struct<total_shots: bigint, disruption_rate_declared: double, disruption_rate_detected: double,"
+        " mean_completeness: double, quality_flags: map<string, bigint>>, tables struct<metadata: struct<columns: array<string>>>"
+    )
+    card = spark.read.text(f"{path}/{MANIFEST}", wholetext=True).select(F.from_json("value", kind).alias("c"))
+    card = card.select("c.statistics.*", F.size("c.tables.metadata.columns").alias("n_columns"))
+    rest = [c for c in card.columns if c != "quality_flags"]
+    return card.select(*rest, F.explode("quality_flags").alias("quality_flag", "n_shots"))
+
+
 QUERIES = {
+    "meta_preview": previewed,
+    "mart_manifest_flags": manifest_flags,
+    "mart_manifest_doc": manifest_document,
     "feat_duration_peak": duration_peak,
     "feat_plateau_means": plateau_means,
     "feat_disruption": disruption,
@@ -79,7 +120,18 @@ FROM scale LEFT JOIN drops USING (shot_id)""",
     "meta_confusion": f"""{_META} SELECT declared_disruption, disruption_detected, count(*) AS n_shots
 FROM meta GROUP BY ALL""",
     "mart_manifest_stats": f"""{_META} SELECT count(*) AS total_shots,
-  round(avg(CAST(declared_disruption AS INTEGER)), 3) AS disruption_rate_declared,
-  round(avg(CAST(disruption_detected AS INTEGER)), 3) AS disruption_rate_detected,
-  round(avg(overall_completeness), 4) AS mean_completeness FROM meta""",
+  any_value(a) AS disruption_rate_declared, any_value(b) AS disruption_rate_detected,
+  any_value(c) AS mean_completeness FROM meta, (
+    SELECT {exactly('a', 3)} AS a, {exactly('b', 3)} AS b, {exactly('c', 4)} AS c FROM (
+      SELECT avg(CAST(declared_disruption AS INTEGER)) AS a, avg(CAST(disruption_detected AS INTEGER)) AS b,
+             avg(overall_completeness) AS c FROM meta))""",
+    "meta_preview": f"{_META} SELECT {', '.join(PREVIEW)} FROM meta",
+    "mart_manifest_flags": """SELECT 'flag' || c_custkey % 120 AS quality_flag, count(*) AS n_shots
+FROM customer GROUP BY ALL""",
+    "mart_manifest_doc": f"""SELECT total_shots, {exactly('a', 3)} AS disruption_rate_declared,
+  {exactly('b', 3)} AS disruption_rate_detected, {exactly('c', 4)} AS mean_completeness,
+  CAST(5 AS INTEGER) AS n_columns, quality_flag, n_shots
+FROM (SELECT count(*) AS total_shots, avg(CAST(c_custkey % 16 = 0 AS INTEGER)) AS a,
+             avg(CAST(c_custkey % 3 = 0 AS INTEGER)) AS b, avg(c_acctbal / 10000) AS c FROM customer),
+     (SELECT 'flag' || c_custkey % 120 AS quality_flag, count(*) AS n_shots FROM customer GROUP BY ALL)""",
 }

@@ -2,10 +2,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registered.inputs import ORIGIN_MICROS, _once, rounded, table
+from registered.inputs import CLEANING, ORIGIN_MICROS, _once, rounded, table
+from registered.sql import GRID, exactly
+from tidegrid.config import MartConfig
+from tidegrid.plans.build import build_mart
 from tidegrid.plans.ml import cross_validate, stratified_folds
+from tidegrid.session import scratch_dir
+from tidegrid.sources import mart
 from tidegrid.sources import recordings as rec
-from tidegrid.sources.registry import CURRENT_UNITS, NAMING_SCHEMES
+from tidegrid.sources.registry import CURRENT_UNITS, NAMING_SCHEMES, SourceRegistry
 
 # Every event belongs to one of twelve recordings, one for each combination of naming scheme,
 # current unit and file format.
@@ -61,7 +66,7 @@ def _raw_dir(spark, sf_dir):
             if shot % 2:
                 columns = columns[::-1]
             if shot % 4 == 0:
-                columns.insert(1, F.col("event_type").alias("note"))
+                columns.insert(1, F.concat("event_type", F.lit('}, {"\\" ]{')).alias("note") if kind == "json" else F.col("event_type").alias("note"))
             mine = events.where(F.col("shot") == shot).select(*columns)
             folder = f"{root}/shot_{shot:04d}"
             if kind == "csv":
@@ -156,7 +161,55 @@ def forest(spark, sf_dir):
     )
 
 
+def forest_check(spark, sf_dir):
+    """Rows and positives of each fold, and whether the forest tells the labels apart on it."""
+    return forest(spark, sf_dir).select("fold", "n_rows", "n_positive", (F.col("auc") > 0.8).alias("separates"))
+
+
+def one_recording(spark, sf_dir):
+    """A single recording, loaded by its directory."""
+    shot = rec.load_recording(spark, f"{_raw_dir(spark, sf_dir)}/shot_0007")
+    return rounded(shot.signals.drop(*rec.SOURCE_ORDER))
+
+
+def yaml_registry(spark, sf_dir):
+    """All recordings under a registry that a YAML text describes, with own names and factors."""
+    registry = SourceRegistry.from_text(_REGISTRY)
+    out = rec.load_recordings(spark, _raw_dir(spark, sf_dir), registry)
+    return out.signals.groupBy("shot_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("current_kA"), 3).alias("sum_current")
+    )
+
+
+def build_verify(spark, sf_dir):
+    """The whole way from raw recordings to a mart that is read back: points of every recording."""
+    path = scratch_dir(spark, "mart")
+    built = build_mart(
+        spark, _raw_dir(spark, sf_dir), MartConfig(path), cleaning=CLEANING, processed_at="2026-01-01T00:00:00+00:00"
+    )
+    points = mart.read_signals(spark, path).groupBy("shot_id").agg(F.count(F.lit(1)).alias("n_points"))
+    seen = built.verification
+    sample = F.col("shot_id").isin([int(i) for i in seen["sample_ids"]])
+    return mart.read_metadata(spark, path).join(points, "shot_id").select(
+        "shot_id", "n_points", "n_samples_after_cleaning", sample.alias("in_sample"),
+        F.lit(seen["n_shots"]).cast("long").alias("n_shots"), F.lit(seen["sample_points"]).cast("long").alias("sample_points"),
+        F.lit(seen["size_mb"] > 0).alias("has_size"),
+        F.lit(built.errors.count()).cast("long").alias("n_errors"),
+    )
+
+
+_REGISTRY = """
+canonical_columns: {time: time_s, current: current_kA}
+schemas:
+  raw_A: {column_mapping: {t: time, Ip: current}, expected_columns: [t, Ip], unit_conversions: {current: 0.001}}
+  verbose_MA: {column_mapping: {timestamp_seconds: time, Ip_plasma_MA: current}, expected_columns: [Ip_plasma_MA], unit_conversions: {current: 1000.0}}
+resolution: {pattern: "{column_naming_scheme}_{current_unit}"}
+"""
+
 QUERIES = {
+    "ingest_one": one_recording,
+    "ingest_yaml_registry": yaml_registry,
+    "mart_build_verify": build_verify,
     "ingest_mixed_roundtrip": roundtrip,
     "ingest_quarantine": quarantine,
     "ingest_error_sample": error_sample,
@@ -165,6 +218,7 @@ QUERIES = {
     "ingest_format_check": format_check,
     "ml_stratified_folds": folds,
     "ml_rf_cv": forest,
+    "ml_rf_cv_check": forest_check,
 }
 
 _SHOTS = """layouts AS (
@@ -174,12 +228,26 @@ _SHOTS = """layouts AS (
          CASE s // 6 WHEN 0 THEN 'csv' ELSE 'json' END AS kind
   FROM (SELECT DISTINCT user_id % 12 AS s FROM events))"""
 
-ORACLES = {
-    "ingest_mixed_roundtrip": f"""SELECT user_id % 12 AS shot_id,
+_ROUNDTRIP = f"""SELECT user_id % 12 AS shot_id,
   (epoch_us(ts) - {ORIGIN_MICROS}) / 1e6 AS time_s, round(value / 100, 6) AS plasma_current_MA,
   round(CASE WHEN event_id % 11 <> 0 THEN value * 0.5e0 END, 6) AS electron_density,
   round((event_id % 97) / 10e0, 6) AS electron_temperature, round((event_id % 13) * 1e-1, 6) AS loop_voltage
-FROM events""",
+FROM events"""
+
+ORACLES = {
+    "ingest_one": f"SELECT * FROM ({_ROUNDTRIP}) WHERE shot_id = 7",
+    "ingest_yaml_registry": f"""WITH {_SHOTS}
+SELECT shot_id, count(*) AS n_rows, round(sum(value * 10), 3) AS sum_current
+FROM events JOIN layouts ON shot_id = user_id % 12
+WHERE naming || '_' || unit IN ('raw_A', 'verbose_MA') GROUP BY shot_id""",
+    "mart_build_verify": f"""WITH series AS (
+  SELECT user_id % 12 AS shot_id, (epoch_us(ts) - {ORIGIN_MICROS}) / 1e6 AS time_s FROM events), {GRID},
+ranked AS (SELECT shot_id, n_grid, row_number() OVER (ORDER BY shot_id) <= 3 AS in_sample FROM bounds)
+SELECT shot_id, n_grid AS n_points, n_grid AS n_samples_after_cleaning, in_sample, count(*) OVER () AS n_shots,
+  CAST(sum(CASE WHEN in_sample THEN n_grid END) OVER () AS BIGINT) AS sample_points, TRUE AS has_size,
+  CAST({len(_BROKEN)} AS BIGINT) AS n_errors
+FROM ranked""",
+    "ingest_mixed_roundtrip": _ROUNDTRIP,
     "ingest_quarantine": """SELECT printf('shot_%04d', user_id % 12) AS recording, count(*) AS n_rows,
   CAST(NULL AS VARCHAR) AS error FROM events GROUP BY user_id % 12
 UNION ALL FROM (VALUES """
@@ -193,9 +261,11 @@ SELECT CASE grouping(kind, unit, naming) WHEN 7 THEN 'total' WHEN 3 THEN 'file_f
          WHEN 5 THEN 'current_unit' ELSE 'column_naming_scheme' END AS dimension,
        coalesce(kind, unit, naming) AS value, count(*) AS n_shots,
        count(*) FILTER (shot_id % 5 = 0) AS n_disruptions,
-       round(count(*) FILTER (shot_id % 5 = 0) / count(*), 3) AS disruption_rate
+       {exactly("(count(*) FILTER (shot_id % 5 = 0) / count(*))", 3)} AS disruption_rate
 FROM layouts GROUP BY GROUPING SETS ((), (kind), (unit), (naming))""",
     "ingest_format_check": "SELECT count(DISTINCT user_id % 12) AS n_shots, FALSE AS is_homogeneous FROM events",
     "ml_stratified_folds": """SELECT doc_id, quality, CAST((row_number() OVER (
   PARTITION BY quality ORDER BY md5('42:' || doc_id), doc_id) - 1) % 5 AS INTEGER) AS fold FROM labels""",
 }
+ORACLES["ml_rf_cv_check"] = f"""SELECT fold, count(*) AS n_rows, CAST(sum(quality) AS BIGINT) AS n_positive, TRUE AS separates
+FROM ({ORACLES["ml_stratified_folds"]}) WHERE doc_id IN (SELECT doc_id FROM documents) GROUP BY fold"""

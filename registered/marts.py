@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registered.inputs import (
@@ -16,6 +19,7 @@ _COLUMNS = "shot_id, time_s, " + ", ".join(f"round({s}, 6) AS {s}" for s in SIGN
 _FACTS = f"WITH {SUPPLIER_SERIES_SQL} SELECT {_COLUMNS} FROM series"
 _META = f"WITH {META}"
 _SOME = [1, 5, 7]
+BIG = 3_000_000_000
 
 
 def write_read(spark, sf_dir):
@@ -50,6 +54,49 @@ def semi_select(spark, sf_dir):
     return rounded(mart.select_signals(spark, path, "s_acctbal > 5000 and s_nationkey < 10"))
 
 
+def semi_select_flag(spark, sf_dir):
+    """The same by a bare truth value."""
+    path = supplier_facts(spark, sf_dir)
+    dimension = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("shot_id"), (F.col("s_nationkey") % 2 == 0).alias("chosen")
+    )
+    write_metadata(dimension, MartConfig(path))
+    return rounded(mart.select_signals(spark, path, "chosen"))
+
+
+def shared_directories(spark, sf_dir):
+    """Several recordings in a directory, read as a whole."""
+    path = scratch_dir(spark, "facts")
+    write_signals(supplier_series(spark, sf_dir).drop("_i"), MartConfig(path, shots_per_directory=8))
+    return rounded(mart.read_signals(spark, path))
+
+
+def extra_columns(spark, sf_dir):
+    """A column beyond the canonical ones comes back as it was written."""
+    path = scratch_dir(spark, "facts")
+    facts = supplier_series(spark, sf_dir).withColumn("place", F.col("_i") * 2).drop("_i")
+    write_signals(facts, MartConfig(path))
+    return rounded(mart.read_signals(spark, path))
+
+
+def comparison_long_ids(spark, sf_dir):
+    """The comparison of recordings whose ids need 64 bits."""
+    dimension = _supplier_dimension(spark, sf_dir).withColumn("shot_id", F.col("shot_id") + BIG)
+    facts = supplier_series(spark, sf_dir).drop("_i").withColumn("shot_id", F.col("shot_id") + BIG)
+    shots = [r.shot_id for r in reports.first_disrupted(dimension).collect()]
+    return rounded(reports.comparison(facts, dimension, shots))
+
+
+def standard_set(spark, sf_dir):
+    """Rows of every table of the report set."""
+    paths = reports.write_standard_reports(spark, user_mart(spark, sf_dir), scratch_dir(spark, "reports"))
+    counts = [
+        spark.read.parquet(path).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("report"), "n_rows")
+        for name, path in sorted(paths.items())
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 def _meta(spark, sf_dir):
     return mart.read_metadata(spark, user_mart(spark, sf_dir))
 
@@ -128,6 +175,11 @@ def top10(spark, sf_dir):
 
 
 QUERIES = {
+    "mart_semi_select_flag": semi_select_flag,
+    "mart_shared_directories": shared_directories,
+    "mart_extra_columns": extra_columns,
+    "rep_comparison_long_ids": comparison_long_ids,
+    "rep_standard_set": standard_set,
     "mart_write_read": write_read,
     "mart_pruned_read": pruned_read,
     "mart_overwrite_dynamic": overwrite_dynamic,
@@ -200,6 +252,24 @@ SELECT shot_id, time_s, round(plasma_current_MA, 6) AS value,
        CASE quality_flag WHEN 'OK' THEN '#2ca02c' WHEN 'DEGRADED' THEN '#ff7f0e' ELSE '#d62728' END AS colour,
        position
 FROM series JOIN chosen USING (shot_id)""",
+    "mart_semi_select_flag": f"""{_FACTS} WHERE EXISTS (
+  SELECT 1 FROM supplier WHERE s_suppkey = shot_id AND s_nationkey % 2 = 0)""",
+    "mart_shared_directories": _FACTS,
+    "mart_extra_columns": f"WITH {SUPPLIER_SERIES_SQL} SELECT {_COLUMNS}, i * 2 AS place FROM series",
+    "rep_standard_set": f"""{_META},
+first AS (SELECT shot_id FROM meta ORDER BY declared_disruption DESC, shot_id LIMIT 1),
+ten AS (SELECT shot_id FROM meta WHERE declared_disruption ORDER BY shot_id LIMIT 10),
+v AS (SELECT overall_completeness * 100 AS x FROM meta), e AS (SELECT min(x) AS lo, max(x) AS hi FROM v)
+SELECT 'flag_distribution' AS report, count(DISTINCT quality_flag) AS n_rows FROM meta
+UNION ALL SELECT 'sensor_completeness', 4
+UNION ALL SELECT 'rate_by_machine_config', count(DISTINCT machine_config) FROM meta
+UNION ALL SELECT 'completeness_histogram', count(DISTINCT CASE WHEN lo = hi THEN 1
+  ELSE least(30, floor(30 * (x - lo) / (hi - lo)) + 1) END) FROM v, e
+UNION ALL SELECT 'shot_detail', 4 * count(*) FROM cleaned JOIN first USING (shot_id)
+UNION ALL SELECT 'shots_comparison', count(*) FROM cleaned JOIN ten USING (shot_id)""",
     "rep_default_shot": f"{_META} SELECT shot_id FROM meta ORDER BY declared_disruption DESC, shot_id LIMIT 1",
     "rep_top10": f"{_META} SELECT shot_id FROM meta WHERE declared_disruption ORDER BY shot_id LIMIT 10",
 }
+ORACLES["rep_comparison_long_ids"] = f"""SELECT * REPLACE (shot_id + {BIG} AS shot_id,
+  replace(label, 'Shot ' || shot_id || ' ', 'Shot ' || (shot_id + {BIG}) || ' ') AS label)
+FROM ({ORACLES["rep_comparison"]})"""

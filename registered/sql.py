@@ -95,12 +95,17 @@ flags AS (
   FROM quality)"""
 
 
-def _exact(x: str) -> str:
-    """Half-even rounding to 4 places on the exact binary value."""
+def exactly(x: str, digits: int) -> str:
+    """Half-even rounding to ``digits`` places on the exact binary value."""
+    n = 10**digits
     high = f"(134217729e0 * {x} - (134217729e0 * {x} - {x}))"
-    rest = f"(({high} * 20000e0 - (2 * floor({x} * 10000e0) + 1)) + ({x} - {high}) * 20000e0)"
-    up = f"{rest} > 0 OR ({rest} = 0 AND floor({x} * 10000e0) % 2 <> 0)"
-    return f"(floor({x} * 10000e0) + CASE WHEN {up} THEN 1 ELSE 0 END) / 10000e0"
+    rest = f"(({high} * {2 * n}e0 - (2 * floor({x} * {n}e0) + 1)) + ({x} - {high}) * {2 * n}e0)"
+    up = f"{rest} > 0 OR ({rest} = 0 AND floor({x} * {n}e0) % 2 <> 0)"
+    return f"(floor({x} * {n}e0) + CASE WHEN {up} THEN 1 ELSE 0 END) / {n}e0"
+
+
+def _exact(x: str) -> str:
+    return exactly(x, 4)
 
 
 def features_sql(source: str, index: str, rounded=_exact) -> str:
