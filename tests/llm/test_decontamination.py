@@ -30,6 +30,8 @@ def brute(docs, items):
             if n < size:
                 continue
             own = Counter(tuple(ps[i : i + size]) for i in range(len(ps) - size + 1))
+            if not own.keys() & {tuple(ws[i : i + size]) for i in range(len(ws) - size + 1)}:
+                continue
             for s in range(len(ws) - n + 1):
                 there = Counter(tuple(ws[s + i : s + i + size]) for i in range(n - size + 1))
                 both = (own & there).total()

@@ -18,6 +18,8 @@ SAMPLE_PIECES = 4000
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 THRESHOLD = 0.3
+#: So many bytes of a typical text are added to each, as a few bytes alone say little.
+PRIOR_BYTES = 64
 FOLDS = 5
 
 
@@ -33,10 +35,10 @@ def pieces(text: str | None) -> list[bytes]:
 
 
 class CompressionClassifier:
-    """Scores texts by how much smaller the dictionary of one class makes them than the other's."""
+    """Scores texts by how much smaller the dictionary of good ones makes them than that of bad ones."""
 
-    def __init__(self, bad: bytes, good: bytes, slope: float = 0.0, offset: float = 0.0):
-        self.dictionaries, self.slope, self.offset = (bad, good), slope, offset
+    def __init__(self, bad: bytes, good: bytes, slope: float = 0.0, offset: float = 0.0, typical: float = 0.0):
+        self.dictionaries, self.slope, self.offset, self.typical = (bad, good), slope, offset, typical
         self._ready = None
 
     def __getstate__(self):
@@ -57,13 +59,18 @@ class CompressionClassifier:
                 )
         return self._ready
 
-    def difference(self, text: str | None) -> float:
-        """(size by the bad dictionary - size by the good one) / their sum, over all pieces."""
+    def gain(self, text: str | None) -> tuple[int, int]:
+        """Bytes that the good dictionary saves over the bad one, and bytes of the whole text."""
         bad, good = self._compressors()
         parts = pieces(text)
-        b = sum(len(bad.compress(p)) for p in parts)
-        g = sum(len(good.compress(p)) for p in parts)
-        return (b - g) / (b + g) if parts else 0.0
+        return sum(len(bad.compress(p)) - len(good.compress(p)) for p in parts), sum(map(len, parts))
+
+    def normalised(self, gain, size):
+        """Gain for each byte, with a prior of ``PRIOR_BYTES`` typical ones."""
+        return (np.asarray(gain) + PRIOR_BYTES * self.typical) / (np.asarray(size) + PRIOR_BYTES)
+
+    def difference(self, text: str | None) -> float:
+        return float(self.normalised(*self.gain(text)))
 
     def probability(self, differences) -> np.ndarray:
         z = self.slope * np.asarray(differences, dtype=float) + self.offset
@@ -144,14 +151,17 @@ def fit(
         samples.append([bytes(r.piece) for r in drawn.orderBy("_order").limit(sample_pieces).collect()])
     model = CompressionClassifier(_dictionary(samples[0]), _dictionary(samples[1]))
 
-    @F.pandas_udf("double")
-    def difference(text: pd.Series) -> pd.Series:
-        return pd.Series([model.difference(t) for t in text], dtype=float)
+    @F.pandas_udf("gain long, size long")
+    def measure(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([model.gain(t) for t in text], columns=["gain", "size"], dtype="int64")
 
-    measured = texts((3, 4)).select("_label", difference("_text").alias("x"), F.xxhash64("_id", "_text").alias("_order"))
+    measured = texts((3, 4)).select("_label", measure("_text").alias("m"), F.xxhash64("_id", "_text").alias("_order"))
     rated = measured.orderBy("_order").limit(4 * sample_docs).collect()
-    x, y = np.array([r.x for r in rated], dtype=float), np.array([r["_label"] for r in rated], dtype=float)
-    model.slope, model.offset = _calibrate(x, y)
+    gain, size = (np.array([r.m[i] for r in rated], dtype=float) for i in (0, 1))
+    model.typical = float(gain.sum() / max(size.sum(), 1))
+    model.slope, model.offset = _calibrate(
+        model.normalised(gain, size), np.array([r["_label"] for r in rated], dtype=float)
+    )
     return model
 
 
