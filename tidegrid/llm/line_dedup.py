@@ -57,6 +57,7 @@ def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_share: fl
     """
     pages_in = pages.drop("host", "kept_lines", "n_lines")
     rows = pages.select(wrapped(pages_in), host.alias("_host"), F.coalesce(lines, F.array().cast("array<string>")).alias("_lines"))
+    rows = materialize(rows, "lines")  # lines are worked out once
     found = site_lines(rows, F.col("_host"), F.col("_lines"), max_share, min_pages)
     by_host = materialize(
         found.groupBy(F.col("host").alias("_of")).agg(F.collect_list("line_hash").alias("_drop")), "sitelines"

@@ -72,10 +72,10 @@ def token_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    cleaned = line_dedup.drop_site_lines(
-        pages, line_dedup.host_of(F.col("url")), line_dedup.html_lines(F.col("html"))
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", line_dedup.host_of(F.col("url")).alias("site"), line_dedup.html_lines(F.col("html")).alias("lines")
     )
+    cleaned = line_dedup.drop_site_lines(pages, F.col("site"), F.col("lines"))
     return cleaned.select(
         "page_id", "host", "n_lines", F.size("kept_lines").cast("long").alias("n_kept"),
         F.md5(F.array_join("kept_lines", "\n")).alias("kept_md5"),
