@@ -47,11 +47,25 @@ def test_taken_words_meet_the_targets(spark):
         by.setdefault(r.source, []).append(r)
     for group in by.values():
         target, rate = group[0].target, group[0].target / group[0].source_size
-        assert target * 0.99 <= sum(r.copies * r.size for r in group) <= target
+        assert target * 0.995 <= sum(r.copies * r.size for r in group) <= target * 1.005
         assert all(int(rate) <= r.copies <= min(3, int(rate) + 1) for r in group)
         assert all(r.source_size == sum(x.size for x in group) for r in group)
 
 
+def test_a_large_document_may_take_the_place_of_others(spark):
+    """Without the large document of source b its words can't be reached."""
+    rows = [(i, "a", 10) for i in range(400)] + [(1000 + i, "b", 5) for i in range(100)] + [(2000, "b", 500), (3000, "c", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    for seed in range(3):
+        by = {}
+        for r in mix_sources(docs, ["doc_id"], seed=seed).collect():
+            by.setdefault(r.source, []).append(r)
+        for group in by.values():
+            whole = int(group[0].target / group[0].source_size)
+            assert abs(sum(r.copies * r.size for r in group) - group[0].target) <= 5
+            assert all(whole <= r.copies <= min(3, whole + 1) for r in group)
+
+
 def test_reruns_agree_and_seeds_differ(spark):
     docs = documents(spark)
 

@@ -76,7 +76,8 @@ def mix_sources(
     left and ``u`` a random number made from ``keys`` and ``seed``; the first of them are taken
     as long as the source stays within its target. What is then missing is filled in the same order
     with the documents that still fit, until less than ``tolerance`` of the target is missing or
-    none fits. Only whole documents are taken.
+    none fits. If none does, the smallest one left goes in, and others that fit the excess go out,
+    last ranks first, if that brings the source nearer to its target. Only whole documents are taken.
 
     Rows equal in ``keys`` are ranked in any way, so that reruns agree up to their order. A null
     source is a source of its own, a null size counts as 0, a null or negative inclusion as 0.
@@ -107,29 +108,68 @@ def mix_sources(
     order = [F.col("_s").asc(), F.col("_rank").asc_nulls_last(), F.col("_h")]
     ordered = in_order(planned, order, "_at")
     state = ordered.select(
-        "_at", "_s", "_size", "copies", "target", ((F.col("_p") > 0) & (F.col("_size") > 0)).alias("_open")
+        "_at", "_s", "_size", "target", "copies",
+        ((F.col("_p") > 0) & (F.col("_size") > 0)).alias("_out"), F.lit(False).alias("_in"),
     )
-    while True:
-        taken = state.groupBy(F.col("_s").alias("_of")).agg(
-            (F.first("target") - F.sum(F.col("copies") * F.col("_size"))).alias("_gap"), F.first("target").alias("_t")
-        )
-        short = materialize(taken.where(F.col("_gap") > F.lit(tolerance) * F.col("_t")).drop("_t"), "gaps")
-        near = F.col("_s").eqNullSafe(F.col("_of")) & (F.col("_size") <= F.col("_gap"))
-        fits = state.where("_open").join(broadcast_if_small(short)[0], near).drop("_of")
-        chosen = sum_before(fits, "_at", "_s", "_size", "_sum").where("_sum + _size <= _gap")
-        chosen = materialize(chosen.select(F.col("_at").alias("_chosen")), "chosen")
-        if chosen.isEmpty():
-            break
-        picked = F.col("_chosen").isNotNull()
-        state = materialize(
-            state.join(chosen, F.col("_at") == F.col("_chosen"), "left").select(
-                "_at", "_s", "_size", "target",
-                (F.col("copies") + picked.cast("long")).alias("copies"),
-                (F.col("_open") & ~picked).alias("_open"),
-            ),
-            "state",
-        )
+    state = _move(state, "_out", tolerance)
+    # Where no document fits any more, the smallest left goes in and others that fit go out for it.
+    least = F.min(F.when(F.col("_out"), F.struct("_size", "_at")))["_at"].alias("_chosen")
+    last = _gaps(state, tolerance, least).where("_chosen IS NOT NULL").select("_chosen")
+    last = materialize(last, "last")
+    if not last.isEmpty():
+        tried = _move(_taken(state, last, "_out"), "_in", tolerance)
+        state = materialize(_nearer(state, tried), "state")
     counts = state.select(F.col("_at").alias("_row"), F.col("copies").alias("_copies"))
     return ordered.join(counts, F.col("_at") == F.col("_row")).select(
         "_doc.*", "source_size", "target", F.col("_copies").alias("copies")
     )
+
+
+def _gaps(state: DataFrame, tolerance: float, *more: Column) -> DataFrame:
+    """``(_of, _gap)`` of the sources from which more than ``tolerance`` of the target is missing.
+
+    A negative gap is what a source has too much.
+    """
+    words = F.sum(F.col("copies") * F.col("_size"))
+    sums = state.groupBy(F.col("_s").alias("_of")).agg((F.first("target") - words).alias("_gap"), F.first("target").alias("_t"), *more)
+    return sums.where(F.abs("_gap") > F.lit(tolerance) * F.col("_t")).drop("_t")
+
+
+def _taken(state: DataFrame, chosen: DataFrame, column: str) -> DataFrame:
+    """``state`` after one copy of the rows ``_chosen`` has come in from ``_out`` or gone out of ``_in``."""
+    picked = F.col("_chosen").isNotNull()
+    step = F.lit(1 if column == "_out" else -1)
+    moved = state.join(chosen, F.col("_at") == F.col("_chosen"), "left").select(
+        "_at", "_s", "_size", "target",
+        (F.col("copies") + F.when(picked, step).otherwise(0)).cast("long").alias("copies"),
+        (F.col("_out") & ~picked if column == "_out" else F.col("_out")).alias("_out"),
+        (F.col("_in") | picked if column == "_out" else F.col("_in") & ~picked).alias("_in"),
+    )
+    return materialize(moved, "state")
+
+
+def _move(state: DataFrame, column: str, tolerance: float) -> DataFrame:
+    """Rows move in, first ranks first, or out, last ranks first, as long as they fit the gaps."""
+    adds = column == "_out"
+    while True:
+        gap = F.col("_gap") if adds else -F.col("_gap")
+        short = materialize(_gaps(state, tolerance).select("_of", gap.alias("_gap")).where("_gap > 0"), "gaps")
+        near = F.col("_s").eqNullSafe(F.col("_of")) & (F.col("_size") <= F.col("_gap"))
+        fits = state.where(column).join(broadcast_if_small(short)[0], near).drop("_of")
+        ranked = fits.withColumn("_rank", F.col("_at") if adds else -F.col("_at"))
+        chosen = sum_before(ranked, "_rank", "_s", "_size", "_sum").where("_sum + _size <= _gap")
+        chosen = materialize(chosen.select(F.col("_at").alias("_chosen")), "chosen")
+        if chosen.isEmpty():
+            return state
+        state = _taken(state, chosen, column)
+
+
+def _nearer(first: DataFrame, second: DataFrame) -> DataFrame:
+    """For each source, of two states the one that is nearer to its target."""
+    miss = F.abs(F.first("target") - F.sum(F.col("copies") * F.col("_size"))).alias("_miss")
+    one, two = (x.groupBy(F.col("_s").alias(n)).agg(miss.alias(f"{n}_miss")) for x, n in ((first, "_a"), (second, "_b")))
+    better = one.join(two, F.col("_a").eqNullSafe(F.col("_b"))).select("_a", (F.col("_b_miss") < F.col("_a_miss")).alias("_better"))
+    copies = second.select(F.col("_at").alias("_row"), F.col("copies").alias("_tried"))
+    joined = first.join(copies, F.col("_at") == F.col("_row"))
+    joined = joined.join(broadcast_if_small(better)[0], F.col("_s").eqNullSafe(F.col("_a")))
+    return joined.select("_at", F.when(F.col("_better"), F.col("_tried")).otherwise(F.col("copies")).alias("copies"))
