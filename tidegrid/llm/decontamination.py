@@ -155,8 +155,8 @@ class Items:
             row = np.searchsorted(firsts, hit, "right") - 1
             inside = hit + size <= firsts[row + 1]
             hit, at, row = hit[inside], at[inside], row[inside]
-            edges = np.flatnonzero(np.diff(row, prepend=-1))
-            for s, e in zip(edges, [*edges[1:], len(row)], strict=True):
+            edges = [*np.flatnonzero(np.diff(row, prepend=-1)), len(row)]
+            for s, e in zip(edges[:-1], edges[1:], strict=True):
                 r = int(row[s])
                 lo, hi = int(firsts[r]), int(firsts[r + 1])
                 found += [(r, *m) for m in self._in_row(own[lo : hi - size + 1], hit[s:e] - lo, at[s:e], size)]
@@ -261,9 +261,7 @@ def find_items(
         for block in _blocks(benchmark, item_col, item_text_col)
     ]
     if not passes:
-        return docs.sparkSession.createDataFrame([], docs.select(id_col).schema.add("_", "int")).select(
-            id_col, *[F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in MATCH.split(", ")]
-        )
+        return docs.limit(0).select(id_col, *[F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in MATCH.split(", ")])
     return reduce(DataFrame.unionAll, passes)
 
 
