@@ -58,7 +58,6 @@ class FeatureConfig:
     min_rows: int = 10
     end_margin_s: float = 0.2
     split_rows: int = SPLIT_ROWS
-    chain_rows: int = 4096
 
 
 @dataclass(frozen=True)

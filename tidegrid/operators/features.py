@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.config import SIGNAL_COLUMNS, TIME_COLUMN, FeatureConfig
 from tidegrid.functions.numeric import clean_doubles, round_exactly
-from tidegrid.operators.series import with_row_index
+from tidegrid.operators.series import join_null_safe, with_row_index
 from tidegrid.session import broadcast_if_small
 
 CURRENT, DENSITY, TEMPERATURE = SIGNAL_COLUMNS[:3]
@@ -31,22 +32,16 @@ def derived_features(
     means = [(CURRENT, "plasma_current_mean_MA"), (DENSITY, "electron_density_mean"),
              (TEMPERATURE, "electron_temperature_mean")]
     plateau = (F.col("_peak") > 0) & (F.col(CURRENT) > config.plateau_fraction * F.col("_peak"))
-    chained = _with_earlier_current(rows, keys)
-    out = chained.groupBy(*keys).agg(
+    out = rows.groupBy(*keys).agg(
         F.first("_duration").alias("duration_effective_s"),
         F.first("_n").alias("n_samples_after_cleaning"),
         F.first("_peak").alias("plasma_current_max_MA"),
         *[
-            F.when(
-                F.count_if(plateau & F.col("_own")) > 0,
-                F.avg(F.when(plateau & F.col("_own"), F.col(c))),
-            )
-            .otherwise(0.0)
-            .alias(name)
+            F.when(F.count_if(plateau) > 0, F.avg(F.when(plateau, F.col(c)))).otherwise(0.0).alias(name)
             for c, name in means
         ],
-        F.min(F.when(_is_drop(config), F.col(TIME_COLUMN))).alias("disruption_time_detected_s"),
     )
+    out = join_null_safe(out, _first_drops(rows, keys, config, "disruption_time_detected_s"), keys)
     out = out.withColumn("disruption_detected", F.col("disruption_time_detected_s").isNotNull())
     measures = [
         "duration_effective_s", "plasma_current_max_MA", "plasma_current_mean_MA",
@@ -73,10 +68,8 @@ def detect_disruption(
     The search starts one window in and leaves out the last ``end_margin_s``. Recordings shorter
     than the window are reported as undisrupted.
     """
-    rows, _ = _with_scale(df, keys, config, tie, index)
-    found = _with_earlier_current(rows, keys).groupBy(*keys).agg(
-        F.min(F.when(_is_drop(config), F.col(TIME_COLUMN))).alias("disruption_time_s")
-    )
+    rows, scale = _with_scale(df, keys, config, tie, index)
+    found = join_null_safe(scale.select(*keys), _first_drops(rows, keys, config, "disruption_time_s"), keys)
     return found.withColumn("disruption_detected", F.col("disruption_time_s").isNotNull())
 
 
@@ -120,16 +113,7 @@ def _with_scale(df, keys, config, tie, index) -> tuple[DataFrame, DataFrame]:
         .drop("_dt")
     )
     small, _ = broadcast_if_small(scale)
-    chain = F.col("_i").cast("long")
-    rows = rows.join(small, list(keys)).withColumns(
-        {
-            "_residue": F.pmod(chain, F.col("_lag")),
-            "_chain": F.floor(chain / F.col("_lag") / config.chain_rows),
-            "_last_of_chain": F.floor(chain / F.col("_lag")) % config.chain_rows
-            == config.chain_rows - 1,
-        }
-    )
-    return rows, scale
+    return join_null_safe(rows, small, keys), scale
 
 
 def _points(seconds: float) -> Column:
@@ -139,33 +123,23 @@ def _points(seconds: float) -> Column:
     return F.greatest(F.coalesce(rows, F.lit(1)), F.lit(1))
 
 
-def _with_earlier_current(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``_earlier``, the current ``_lag`` rows before.
+def _first_drops(rows: DataFrame, keys: Sequence[str], config: FeatureConfig, name: str) -> DataFrame:
+    """Time of the first row whose current is far below that of ``_lag`` rows before.
 
-    The lag differs between recordings, so a window offset cannot express it. Rows whose index
-    has the same remainder modulo the lag form chains in which the wanted row is simply the
-    previous one. A chain is cut into pieces of bounded length, and the last row of a piece is
-    copied to the next one.
+    The lag differs between recordings, so a window offset cannot express it. Rows are joined with
+    those before by their row number. No earlier current exceeds the peak, so only rows far below
+    the peak can have lost enough, and only high ones can be what they are compared with; just
+    these rows, in few columns, are moved.
     """
-    copies = F.when(
-        F.col("_last_of_chain"),
-        F.array(
-            F.struct(F.col("_chain").alias("piece"), F.lit(True).alias("own")),
-            F.struct((F.col("_chain") + 1).alias("piece"), F.lit(False).alias("own")),
-        ),
-    ).otherwise(F.array(F.struct(F.col("_chain").alias("piece"), F.lit(True).alias("own"))))
-    rows = rows.select("*", F.inline(copies).alias("_piece", "_own"))
-    chain = Window.partitionBy(*keys, "_residue", "_piece").orderBy("_i")
-    return rows.withColumn("_earlier", F.lag(CURRENT).over(chain))
-
-
-def _is_drop(config: FeatureConfig) -> Column:
-    limit = F.col("_peak")
-    return (
-        F.col("_own")
-        & F.col("_searched")
-        & (F.col("_i") >= F.col("_lag"))
-        & (F.col("_i") < F.col("_stop"))
-        & (F.col("_earlier") - F.col(CURRENT) > config.drop_fraction * limit)
-        & (F.col("_earlier") > 0.5 * limit)
+    peak, current = F.col("_peak"), F.col(CURRENT)
+    searched = rows.where("_searched")
+    now = searched.where(
+        (F.col("_i") >= F.col("_lag")) & (F.col("_i") < F.col("_stop")) & (peak - current > config.drop_fraction * peak)
+    ).select(*keys, "_i", TIME_COLUMN, current.alias("_now"), "_peak")
+    before = searched.where(current > 0.5 * peak).select(
+        *[F.col(c).alias(f"_key_{c}") for c in keys], (F.col("_i") + F.col("_lag")).alias("_then"), current.alias("_earlier")
     )
+    same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys]
+    pairs = now.join(before, reduce(lambda a, b: a & b, [F.col("_i") == F.col("_then"), *same]))
+    dropped = pairs.where(F.col("_earlier") - F.col("_now") > config.drop_fraction * peak)
+    return dropped.groupBy(*keys).agg(F.min(TIME_COLUMN).alias(name))
