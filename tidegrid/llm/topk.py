@@ -15,11 +15,14 @@ TOP = 20
 SCALE = 64
 PIVOTS = 32
 #: Candidates in a block and queries in a block, each a task's share of the work.
-CANDIDATES = 2048
+CANDIDATES = 8192
 QUERIES = 256
 #: Blocks of queries that meet a block of candidates in one task.
 QUERY_BLOCKS = 8
-STEP = 1024
+#: Candidates evaluated first, before the others that their scores leave over, and queries whose
+#: limits are worked out together.
+STEP = 512
+TOGETHER = 32
 LONG = 2**63 - 1
 EXACT = 2**52
 
@@ -81,32 +84,47 @@ def search(queries: Block, candidates: Block, top: int) -> Iterator[tuple[int, n
 
     For every pivot the distance of query and candidate is at least the difference of their distances
     to it. With both norms the largest of these lower bounds limits the inner product from above.
-    Candidates are evaluated in the order of that limit, until it is below the score of the last
-    place; then no later one can enter.
+    Candidates of the highest limits are evaluated first, then those whose limits reach the score of
+    the last place; no other can enter.
     """
-    # Rounding of the distances must not lower a limit; beyond 2**52 no candidate is left out.
     largest = max(float(x.norms.max(initial=0)) for x in (queries, candidates))
-    slack = 1e-6 * largest + 1 if largest < EXACT else np.inf
-    for i in range(len(queries.rows)):
-        apart = np.zeros(len(candidates.rows))
-        for p in range(queries.to_pivots.shape[1]):
-            np.fmax(apart, np.abs(candidates.to_pivots[:, p] - queries.to_pivots[i, p]), out=apart)
-        if np.isfinite(slack):
-            limit = (queries.norms[i] + candidates.norms - apart * apart) / 2 + slack
-        else:
-            limit = np.full(len(apart), np.inf)
-        order = np.argsort(-limit, kind="stable")
-        order = order[candidates.rows[order] != queries.rows[i]]
-        at, best = np.empty(0, np.int64), np.empty(0, np.int64)
-        for k in range(0, len(order), STEP):
-            if len(best) == top and limit[order[k]] < best[-1]:
-                break
-            more = order[k : k + STEP]
-            at = np.concatenate([at, more])
-            best = np.concatenate([best, exact_scores(queries.vectors[i : i + 1], candidates.vectors[more])[0]])
-            keep = np.lexsort((candidates.rows[at], candidates.ids[at], ~best))[:top]  # ~x falls as x rises, without overflow
-            at, best = at[keep], best[keep]
-        yield i, at, best
+    exact = largest < EXACT  # then sums of products are whole numbers that doubles hold
+    near, far = candidates.to_pivots.astype(np.float32).T.copy(), queries.to_pivots.astype(np.float32)
+    for first in range(0, len(queries.rows), TOGETHER):
+        here = slice(first, first + TOGETHER)
+        apart = np.zeros((len(queries.rows[here]), len(candidates.rows)), dtype=np.float32)
+        for p in range(len(near) if exact else 0):
+            gap = near[p] - far[here, p, None]
+            np.maximum(apart, np.abs(gap, out=gap), out=apart)
+        # Rounding of the distances must not lower a limit; beyond 2**52 no candidate is left out.
+        apart = apart.astype(np.float64)
+        limits = (queries.norms[here, None] + candidates.norms - apart * apart) / 2 + (1e-5 * largest + 1)
+        limits = limits if exact else np.full_like(apart, np.inf)
+        for j, limit in enumerate(limits):
+            i = first + j
+            limit[candidates.rows == queries.rows[i]] = -np.inf
+            rest, step = np.flatnonzero(limit > -np.inf), STEP
+            at, best = np.empty(0, np.int64), np.empty(0, np.int64)
+            while len(rest):
+                more = np.arange(len(rest))
+                if len(rest) > step:  # those of the highest limits
+                    more = np.argpartition(-limit[rest], step - 1)[:step]
+                chosen, rest, step = rest[more], np.delete(rest, more), len(limit)
+                if not exact:
+                    scores = exact_scores(queries.vectors[i : i + 1], candidates.vectors[chosen])[0]
+                elif 4 * len(chosen) < len(limit):
+                    scores = (candidates.vectors[chosen] @ queries.vectors[i]).astype(np.int64)
+                else:  # reading all rows in place is cheaper than copying so many of them
+                    scores = (candidates.vectors @ queries.vectors[i])[chosen].astype(np.int64)
+                at, best = np.concatenate([at, chosen]), np.concatenate([best, scores])
+                if len(best) > top:
+                    enough = best >= np.partition(best, len(best) - top)[len(best) - top]
+                    at, best = at[enough], best[enough]
+                keep = np.lexsort((candidates.rows[at], candidates.ids[at], ~best))[:top]  # ~x falls as x rises
+                at, best = at[keep], best[keep]
+                if len(best) == top:
+                    rest = rest[limit[rest] >= best[-1]]
+            yield i, at, best
 
 
 def _blocks(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
