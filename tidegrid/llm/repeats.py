@@ -257,7 +257,9 @@ class Corpus:
         return long_enough.mapInArrow(lambda b: _anchor_batches(b, min_bytes, core, with_context), schema)
 
     def _candidates(self) -> None:
+        # Written first: Spark splits a crowded core only where it joins two tables as they are.
         repeated = self._anchors(False).groupBy("core").count().where("count > 1").select("core")
+        repeated = materialize(repeated, "cores")
         self.candidates = materialize(self._anchors(True).join(repeated, "core", "left_semi"), "candidates")
         first = F.min(F.struct("tid", "packed")).alias("first")
         classes = self.candidates.groupBy("core", "context").agg(first, F.count("*").alias("members"))
@@ -266,6 +268,7 @@ class Corpus:
     def mixed(self) -> DataFrame:
         """First positions of the contexts whose core is in another one as well."""
         several = self.classes.groupBy("core").agg(F.count("*").alias("classes")).where("classes > 1")
+        several = materialize(several, "several")
         return self.classes.join(several, "core").select("core", "first.tid", "first.packed", "classes")
 
     def contexts(self) -> DataFrame:
