@@ -122,3 +122,35 @@ def test_the_index_returns_all_within_the_radius():
         for w, p in enumerate(prints) for i, q in enumerate(items.prints) if (int(p) ^ int(q)).bit_count() <= 19
     }
     assert set(zip(window.tolist(), item.tolist(), distance.tolist(), strict=True)) == want
+
+
+def test_runs_of_equal_words_do_not_hide_a_long_item(spark):
+    rng = random.Random(4)
+
+    def passage(n):
+        return [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+    docs, items = [], []
+    for i, (size, run) in enumerate([(160, 12), (200, 15), (274, 25), (400, 30), (90, 60), (40, 25)] * 4):
+        ws = passage(size)
+        at = rng.randrange(size - run)
+        blanks = [*ws[:at], *["_"] * run, *ws[at + run :]]
+        pair = (ws, blanks) if i % 2 else (blanks, ws)
+        items.append((i, " ".join(pair[0])))
+        docs.append((i, " ".join(passage(20) + pair[1] + passage(rng.choice([0, 30])))))
+    # Both have the run, which is most of their weight, and hardly a word besides.
+    for i in range(100, 104):
+        items.append((i, " ".join(["_"] * 100 + passage(4))))
+        docs.append((i, " ".join(passage(9) + ["_"] * 104 + passage(3))))
+    docs += [(200, "_ " * 500), (201, "_ " * 60 + " ".join(passage(5)))]
+    want = brute(docs, items)
+    assert len({d for d, _ in want}) >= 14
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = D.find_items(frame, bench).collect()
+    assert {(r.doc_id, r.item_id): (r.start_word, round(r.similarity, 9)) for r in found} == {
+        k: (s, round(v, 9)) for k, (s, v) in want.items()
+    }
+    assert len(found) == len(want) and any(r.distance > D.RADIUS for r in found)
+    left = {r.doc_id for r in D.drop_contaminated(frame, bench).collect()}
+    assert left == {d for d, _ in docs} - {d for d, _ in want}

@@ -18,7 +18,8 @@ from tidegrid.llm.ordering import wrapped
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: Two texts at the least similarity have shingle vectors at an angle of 27 degrees, so that each of
-#: 64 bits differs with probability 0.15: 9.7 bits on average, with a deviation of 2.9.
+#: 64 bits differs with probability 0.15: 9.7 bits on average, with a deviation of 2.9. That holds only
+#: if no shingle repeats; what lies beyond the radius is found by counting (``Items._counted``).
 RADIUS = 19
 BLOCKS = 4
 BITS = 64
@@ -88,8 +89,18 @@ class Items:
                     for at in np.searchsorted(self.known[size], self.counts[i][0]):
                         holds[at].append(int(n))
             self.holders[size] = [sorted(set(h)) for h in holds]
+        self.postings = {size: self._postings(size) for size in by_size}
         self.blocks, self._tables = blocks, None
 
+    def _postings(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each known shingle's items begin, the items, and how often each has the shingle."""
+        items = np.flatnonzero(np.minimum(self.sizes, self.shingle) == size)
+        at = np.searchsorted(self.known[size], np.concatenate([self.counts[i][0] for i in items]))
+        order = np.argsort(at, kind="stable")
+        owner = np.repeat(items, [len(self.counts[i][0]) for i in items])
+        weight = np.concatenate([self.counts[i][1] for i in items])
+        return np.searchsorted(at[order], np.arange(len(self.known[size]) + 1)), owner[order], weight[order]
+
     def __getstate__(self):
         return self.__dict__ | {"_tables": None}
 
@@ -181,11 +192,53 @@ class Items:
             for part in np.split(window, np.flatnonzero(np.diff(window) > span) + 1):
                 for k in range(0, len(part), 1 << 14):
                     self._in_windows(own, part[k : k + (1 << 14)], span, n, best)
+        self._counted(own, hits, at, size, best)
         return [
             (self.ids[i], start, int(min(self.sizes[i], words)), distance, -worse)
             for i, (worse, start, distance) in best.items()
         ]
 
+    def _counted(self, own: np.ndarray, hits: np.ndarray, at: np.ndarray, size: int, best: dict) -> None:
+        """The best window of every item that is similar enough, whatever the fingerprints are.
+
+        A place counts in the windows that hold it and fewer later places of its shingle than the item
+        has, so the shared shingles of all windows are the running sum of one step up and one down.
+        """
+        words = len(own) + size - 1
+        edges, items, weights = self.postings[size]
+        places = hits[np.argsort(at, kind="stable")]
+        present, begins, times = np.unique(np.sort(at), return_index=True, return_counts=True)
+        n = edges[present + 1] - edges[present]
+        which = np.repeat(np.arange(len(present)), n)
+        posting = np.repeat(edges[present] - (np.cumsum(n) - n), n) + np.arange(len(which))
+        order = np.argsort(items[posting], kind="stable")
+        which, who, weight = which[order], items[posting][order], weights[posting][order]
+        # No window shares more than the whole row does.
+        most = np.bincount(who, np.minimum(weight, times[which]), len(self.ids))
+        for i in np.flatnonzero(most).tolist():
+            full, span = int(self.sizes[i]) - size + 1, min(int(self.sizes[i]), words) - size + 1
+            if most[i] / (full + span - most[i]) < self.similarity:
+                continue
+            lo, hi = np.searchsorted(who, [i, i + 1])
+            mine, limit = which[lo:hi], np.repeat(weight[lo:hi], times[which[lo:hi]])
+            count = times[mine]
+            rank = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            flat = np.repeat(begins[mine], count) + rank
+            later = places[np.minimum(flat + limit, len(places) - 1)]
+            later = np.where(rank + limit < np.repeat(count, count), later, len(own))
+            first, last = np.maximum(places[flat] - span + 1, 0), np.minimum(places[flat], later - span)
+            inside = first <= last
+            steps = np.concatenate([first[inside], last[inside] + 1])
+            signs = np.repeat([1, -1], int(inside.sum()))
+            starts, step = np.unique(steps, return_inverse=True)
+            shared = np.cumsum(np.bincount(step, signs)).astype(np.int64)
+            start, both = int(starts[shared.argmax()]), int(shared.max())
+            similarity = both / (full + span - both)
+            if similarity >= self.similarity:
+                window = simhash(bit_votes(own[start : start + span]).sum(axis=0))
+                entry = (-similarity, start, int(np.bitwise_count(window ^ self.prints[i])))
+                best[i] = min(best.get(i, entry), entry)
+
     def _in_windows(self, own: np.ndarray, window: np.ndarray, span: int, n: int, best: dict) -> None:
         first, last = int(window[0]), int(window[-1]) + span
         votes = np.zeros((last - first + 1, BITS), dtype=np.int32)
@@ -246,9 +299,10 @@ def find_items(
 ) -> DataFrame:
     """One row for each document and benchmark item found in it, with the most similar window.
 
-    A window has as many words as the item (the whole text, if that has fewer). Its shingle
-    fingerprint must be within ``radius`` bits of the item's and the weighted similarity
-    (repeated shingles count) at least ``similarity``; ties go to the earliest window. Letters A to Z are lowered; an
+    A window has as many words as the item (the whole text, if that has fewer). Its weighted
+    similarity (repeated shingles count) must be at least ``similarity``; ties go to the earliest window.
+    Windows whose shingle fingerprint is within ``radius`` bits of the item's are found by it, all others
+    by counting the shared shingles, so that ``distance`` may be above ``radius``. Letters A to Z are lowered; an
     item shorter than a shingle is one shingle. Null and empty texts and items match nothing.
     Repeated rows of either table give repeated matches. Other columns are ignored.
     The items are read to the driver in bounded blocks, each with a pass over the documents.
