@@ -122,6 +122,35 @@ def test_groups_hold_all_occurrences(spark):
             assert all(places <= covered.get(x, set()) for x in places)
 
 
+def test_groups_of_crowded_cores_are_the_same(spark):
+    """Counted instead of sorted: the same maximal repeats, with the members of all classes."""
+    rng = random.Random(11)
+
+    def noise(k):
+        return "".join(rng.choice("abcdefgh") for _ in range(k))
+
+    phrase, ends = noise(140), [noise(30) for _ in range(3)]
+    inner = phrase[20:125]
+    texts = [noise(150) + rng.choice(ends) + rng.choice([phrase, inner]) + rng.choice(ends) + noise(150) for _ in range(12)]
+    # One class of many equal contexts, which stand in different documents.
+    texts += [noise(20 + i) + ends[0] + "x" * 40 + phrase + "y" * 40 + noise(130) for i in range(20)]
+    rows = corpus(4, n=30)
+    rows += [(len(rows) + i, t) for i, t in enumerate(texts)]
+    found = []
+    for limit in (R.SORT_LIMIT, 1):
+        whole = R.Corpus(spark.createDataFrame(rows, SCHEMA), sort_limit=limit)
+        ids = {r.tid: r["first"]["id"] for r in whole.firsts.collect()}
+        found.append(sorted((r.repeat, r.n_bytes, ids[r.tid], r.start) for r in whole.repeat_groups().collect()))
+    data = {i: (t or "").encode() for i, t in rows}
+    assert found[1] == found[0] and len(found[0]) == len(set(found[0]))
+    groups = {}
+    for repeat, length, doc, start in found[1]:
+        if "/" not in repeat:
+            assert hashlib.md5(data[doc][start : start + length]).hexdigest() == repeat
+            groups.setdefault((repeat, length), set()).add((doc, start))
+    assert any(length > 100 and len(places) > 20 for (_, length), places in groups.items())
+
+
 def test_intervals_are_maximal_and_complete():
     texts = [b"xabcabcabcy", b"qabcabcr", b"abcabc", b"zabcz"]
     found = R.suffix_intervals(texts, 3)

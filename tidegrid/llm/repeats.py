@@ -309,6 +309,39 @@ class Corpus:
             F.unhex(F.md5(window)).alias("string"), "tid", (F.col("start") + F.col("i")).alias("start")
         )
 
+    def _counted_repeats(self, contexts: DataFrame) -> DataFrame:
+        """What ``_maximal_repeats`` finds, for the cores that are in very many classes.
+
+        An interval of the suffix array is a prefix of several suffixes that do not all go on with the
+        same byte. Here the prefixes are counted, so that no task holds all suffixes of a core.
+        """
+        size = self.min_bytes
+
+        def byte(at: Column) -> Column:
+            return F.conv(F.hex(F.substring(F.col("bytes"), at, F.lit(1))), 16, 10).cast("int")
+
+        many = contexts.where(F.col("classes") > self.sort_limit)
+        at = F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - size)).alias("i")
+        suffixes = many.select("bytes", "tid", F.col("start").alias("begin"), at).withColumn(
+            "string", F.unhex(F.md5(F.substring(F.col("bytes"), F.col("i") + 1, F.lit(size))))
+        )
+        often = suffixes.groupBy("string").count().where("count > 1").select("string")
+        suffixes = materialize(suffixes.join(often, "string", "left_semi").drop("string"), "suffixes")
+        n_bytes = F.explode(F.sequence(F.lit(size), F.octet_length("bytes") - F.col("i"))).alias("n_bytes")
+        prefixes = suffixes.select("*", n_bytes).select(
+            F.unhex(F.md5(F.substring(F.col("bytes"), F.col("i") + 1, F.col("n_bytes")))).alias("string"),
+            "n_bytes", "tid", "begin", (F.col("begin") + F.col("i")).alias("start"),
+            # The ends of a context have unknown neighbours, which differ from any other.
+            F.when(F.col("i") > 0, byte(F.col("i"))).alias("left"),
+            F.when(F.col("i") + F.col("n_bytes") < F.octet_length("bytes"), byte(F.col("i") + F.col("n_bytes") + 1)).alias("right"),
+        )
+        differs = [F.max(F.col(c).isNull()) | (F.min(c) < F.max(c)) for c in ("left", "right")]
+        counted = prefixes.groupBy("string", "n_bytes").agg(F.count("*").alias("n"), (differs[0] & differs[1]).alias("maximal"))
+        repeats = counted.where("n > 1 AND maximal").select("string", "n_bytes")
+        return prefixes.join(repeats, ["string", "n_bytes"]).select(
+            F.lower(F.hex("string")).alias("repeat"), F.col("n_bytes").cast("long"), "tid", "start", "begin"
+        )
+
     def superfluous(self) -> DataFrame:
         """Spans ``(tid, start, end)`` of strings that also stand earlier; they may overlap."""
         same = self.candidates.join(self.classes, ["core", "context"]).where("struct(tid, packed) <> first")
@@ -330,7 +363,7 @@ class Corpus:
 
         ``repeat`` is the same for all occurrences of one string within one context, of which the
         repeat is the longest part that all of them share and that no byte to the left extends.
-        Strings of cores in very many classes are listed one by one, each with ``min_bytes``.
+        Cores in very many classes have the same repeats, found by counting instead of sorting.
         """
         member = self.candidates.join(self.classes, ["core", "context"])
         begin = F.shiftright("packed", 16) - F.shiftright("packed", 8).bitwiseAND(F.lit(255))
@@ -352,6 +385,8 @@ class Corpus:
                 )
 
         parts = self._sorted(contexts).mapInArrow(scan, "repeat string, n_bytes long, tid long, start long, begin long")
+        if not self.classes.groupBy("core").count().where(F.col("count") > self.sort_limit).isEmpty():
+            parts = parts.unionAll(self._counted_repeats(contexts))
         # The members of a class stand for its first one.
         first = member.select(F.col("first.tid").alias("tid"), F.struct("first.packed").alias("f"), "packed", F.col("tid").alias("own"))
         first_begin = F.shiftright("f.packed", 16) - F.shiftright("f.packed", 8).bitwiseAND(F.lit(255))
@@ -359,12 +394,7 @@ class Corpus:
         spread = parts.join(stands, ["tid", "begin"]).select(
             "repeat", "n_bytes", F.col("own").alias("tid"), (F.col("own_begin") + F.col("start") - F.col("begin")).alias("start")
         )
-        windows = self._windows(contexts)
-        often = windows.groupBy("string").count().where("count > 1").select("string")
-        listed = windows.join(often, "string").select(
-            F.hex("string").alias("repeat"), F.lit(self.min_bytes).cast("long").alias("n_bytes"), "tid", "start"
-        )
-        return whole.unionAll(spread).unionAll(listed)
+        return whole.unionAll(spread)
 
     def cleaned(self, keep_text: bool = False) -> DataFrame:
         """One row for each row of the table; see :func:`remove_repeats`."""
