@@ -52,7 +52,7 @@ def _clean(spark, sf_dir, **changes):
 
 def row_order(spark, sf_dir):
     """Sort by time and renumber, with the series cut into small blocks."""
-    return with_row_index(type_series(spark, sf_dir), TYPE, ORDER, split_rows=450).select(
+    return with_row_index(type_series(spark, sf_dir), TYPE, ORDER, split_rows=100).select(
         "event_type", "event_id", F.col("_i").alias("row_index")
     )
 
@@ -68,7 +68,7 @@ def _odd_order():
 def row_order_odd(spark, sf_dir):
     """Numbers of rows whose order column has no even scale, with the series cut into blocks."""
     events = table(spark, sf_dir, "events").select("event_type", "event_id", _odd_order().alias("at"))
-    numbered = with_row_index(events, TYPE, ["at", "event_id"], split_rows=450)
+    numbered = with_row_index(events, TYPE, ["at", "event_id"], split_rows=100)
     return numbered.select("event_type", "event_id", F.col("_i").alias("row_index"))
 
 

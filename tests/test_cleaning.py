@@ -5,10 +5,12 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from registered import cleaning
 from registered.inputs import CLEANING, HZ, SIGNALS
 from registered.sql import CLEANED
 from tests.oracle import over_series
 from tidegrid.config import CleaningConfig
+from tidegrid.operators import series
 from tidegrid.operators.clean import clean_series
 from tidegrid.operators.impute import gap_islands, impute_short_gaps
 from tidegrid.operators.outliers import detect_outliers
@@ -174,3 +176,16 @@ def test_extra_columns(spark):
     assert "aux" not in clean_series(df, ["sid"], config).columns
     kept = clean_series(df.drop("i"), ["sid"], config, keep_extra=True).orderBy("_k").toPandas()
     assert kept.aux.tolist() == [0.0, 1.0, 2.0]
+
+
+def test_row_order_queries_cut_series_into_small_blocks(spark, monkeypatch):
+    cut = []
+    monkeypatch.setattr(cleaning, "table", lambda *_: spark.range(4000).selectExpr(
+        "id AS event_id", "'a' AS event_type", "timestamp_micros(id * 7919 % 4001) AS ts", "double(id % 50) AS value"))
+    monkeypatch.setattr(cleaning, "type_series", lambda *_: cleaning.table().select("event_type", "ts", "event_id"))
+    split = series.split_series
+    monkeypatch.setattr(series, "split_series", lambda *a: cut.append(split(*a)) or cut[-1])
+    for query in (cleaning.row_order, cleaning.row_order_odd):
+        assert sorted(r.row_index for r in query(spark, "").collect()) == list(range(4000))
+        rows, path = cut.pop()
+        assert rows.select(*path).distinct().count() >= 30
