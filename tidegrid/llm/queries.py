@@ -15,8 +15,10 @@ from tidegrid.llm import (
     repeats,
     sharding,
     token_counts,
+    token_files,
     topk,
 )
+from tidegrid.session import scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -128,6 +130,16 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = scratch_dir(spark, "tokens")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), folder, path, end_id=2)
+    read = token_files.read_tokens(spark, folder)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_repeats": repeats_query,
     "op2_chat": chat_query,
@@ -139,6 +151,7 @@ QUERIES = {
     "op8_near_dedup": near_dedup_query,
     "op9_line_dedup": line_dedup_query,
     "op10_topk": topk_query,
+    "op11_token_files": token_files_query,
 }
 
 ORACLES: dict[str, str] = {"op9_line_dedup": LINE_DEDUP_SQL, "op10_topk": TOPK_SQL}
