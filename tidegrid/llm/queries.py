@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.llm import (
+    alignment,
     chat,
     decontamination,
     line_dedup,
@@ -140,6 +141,15 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def alignment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    left = alignment.Side("byte_level", public_tokenizers.path("byte_bpe_50k.json"))
+    right = alignment.Side("pieces", public_tokenizers.path("piece_bpe_32k.model"))
+    aligned = alignment.align(table(spark, sf_dir, "documents"), left, right, digest=True)
+    return aligned.documents().withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     "op1_repeats": repeats_query,
     "op2_chat": chat_query,
@@ -152,6 +162,7 @@ QUERIES = {
     "op9_line_dedup": line_dedup_query,
     "op10_topk": topk_query,
     "op11_token_files": token_files_query,
+    "op12_alignment": alignment_query,
 }
 
 ORACLES: dict[str, str] = {"op9_line_dedup": LINE_DEDUP_SQL, "op10_topk": TOPK_SQL}
