@@ -9,6 +9,7 @@ from tidegrid.llm import (
     alignment,
     chat,
     decontamination,
+    filter_audit,
     line_dedup,
     mixing,
     near_dedup,
@@ -150,6 +151,53 @@ def alignment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.documents().withColumnRenamed("groups", "groups_sha256")
 
 
+def filter_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+FILTER_AUDIT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS ws
+  FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, [len(ws) < 100, 100 * len(list_distinct(ws)) < 80 * len(ws),
+      100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t),
+      regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails,
+    coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM d LEFT JOIN l USING (doc_id)),
+c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM m GROUP BY part, fails),
+f(letter, i) AS (VALUES ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)),
+o AS (
+  SELECT concat(a.letter, b.letter, c.letter, d.letter, e.letter) AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS filters
+  FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (
+  SELECT filter_order, step, filters[step] AS own, [x for x in filters if list_position(filters, x) < step] AS earlier
+  FROM o, generate_series(1, 5) AS g(step)),
+j AS (
+  SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS bad,
+    len([x for x in earlier if fails[x]]) = 0 AS here, len([x for x in fails if x]) AS failed
+  FROM c, s),
+r AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN here AND NOT bad THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN here AND bad THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN bad AND NOT here THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN bad AND failed = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN here AND bad THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN here AND bad THEN toxic ELSE 0 END) AS toxic_lost
+  FROM j GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r
+"""
+
+
 QUERIES = {
     "op1_repeats": repeats_query,
     "op2_chat": chat_query,
@@ -163,6 +211,11 @@ QUERIES = {
     "op10_topk": topk_query,
     "op11_token_files": token_files_query,
     "op12_alignment": alignment_query,
+    "op13_filter_audit": filter_audit_query,
 }
 
-ORACLES: dict[str, str] = {"op9_line_dedup": LINE_DEDUP_SQL, "op10_topk": TOPK_SQL}
+ORACLES: dict[str, str] = {
+    "op9_line_dedup": LINE_DEDUP_SQL,
+    "op10_topk": TOPK_SQL,
+    "op13_filter_audit": FILTER_AUDIT_SQL,
+}
