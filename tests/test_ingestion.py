@@ -88,10 +88,13 @@ def test_one_csv_recording(spark, tmp_path):
 NOTES = ['a}b', '}', '{', '"}, {"', '\\"}', '}\\', "line\nend}", '}, {"x": 1', "]", "", "é}{é", '\\\\"}{']
 
 
+NESTED = [{"gain": 1}, {}, [], [[{"}": "{"}, "]"], {"a": {"b": ["}, {", None]}}], {"x": {"y": {}}, "z": "\\"}, None, 3, [1, [2, [3]]]]
+
+
 @pytest.mark.parametrize("indent", [None, 2, "lines"])
 def test_json_text_may_hold_anything(spark, tmp_path, indent):
     """Braces, quotes and line ends inside texts, over many small tasks."""
-    rows = [{"note": NOTES[i % len(NOTES)] * (1 + i % 5), "time_s": i / 4, "plasma_current": 1.0, "electron_density": None,
+    rows = [{"note": NOTES[i % len(NOTES)] * (1 + i % 5), "cal": NESTED[i % len(NESTED)], "time_s": i / 4, "plasma_current": 1.0, "electron_density": None,
              "electron_temperature": i, "loop_voltage": -i, "aux": i} for i in range(90)]
     folder = write_shot(tmp_path, 8, kind="json")
     text = "\n".join(map(json.dumps, rows)) if indent == "lines" else json.dumps(rows, indent=indent, ensure_ascii=False)

@@ -7,7 +7,6 @@ cleaning steps make several passes over that table, not over the text.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -19,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidegrid.functions.numeric import null_if_nan, round_exactly
 from tidegrid.session import broadcast_if_small, materialize
+from tidegrid.sources.json_text import read_records
 from tidegrid.sources.registry import SourceRegistry
 
 # Tie-breakers for rows of one recording with equal times: their place in the source file.
@@ -222,7 +222,9 @@ def _load(spark: SparkSession, read, schema: str) -> DataFrame:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        meta = "_metadata struct<file_path: string, file_block_start: bigint>"
+        meta = (
+            "_metadata struct<file_path: string, file_block_start: bigint, file_block_length: bigint, file_size: bigint>"
+        )
         return spark.createDataFrame([], f"{schema}, {meta}")
 
 
@@ -252,87 +254,22 @@ def _csv_headers(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-# How the text after a closing brace goes on if that brace ended a record that another one follows.
-_NEXT_RECORD = re.compile(r'\s*,?\s*\{\s*("(?:[^"\\]|\\.)*("\s*:|$)|$)', re.DOTALL)
-_ESCAPE = re.compile(r"\\.", re.DOTALL)
-
-
 def _json_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of every JSON file, as a map of texts, written once.
+    """One row per record of every JSON file, as a map of texts.
 
-    Records are flat, so a closing brace outside of quotes ends one. The text is cut at all closing
-    braces, which lets Spark split a large file between tasks; pieces whose end is inside quotes
-    are put together again. Where a task begins in the middle of a file, what follows tells
-    whether the brace before it was inside quotes; records over such an edge are joined from two
-    fragments. An array of records is accepted, indented or not, as well as one record per line.
+    Text cut at closing braces lets Spark split a large file between tasks.
     """
     text = _load(spark, lambda: spark.read.option("lineSep", "}").text(path), "value string")
-    pieces = text.select(
-        _shot_dir().alias("shot_dir"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("source_block"),
-        "value",
+    meta = F.col("_metadata")
+    return read_records(
+        text.select(
+            _shot_dir().alias("shot_dir"),
+            meta["file_path"].alias("file"),
+            meta["file_block_start"].alias("source_block"),
+            (meta["file_block_length"] >= meta["file_size"]).alias("whole"),
+            "value",
+        )
     )
-    schema = "shot_dir string, file string, source_block bigint, text string, part int"
-    whole = pieces.mapInArrow(_join_pieces, schema).withColumn("source_row", F.monotonically_increasing_id())
-    landed = materialize(whole, "records")
-    # A record begins with its part 1; parts 3 go on, and part 2 ends it. What follows the last
-    # record of a file may look like a part 3 and belongs to none.
-    along = Window.partitionBy("file").orderBy("source_block", F.desc("part"))
-    fragments = landed.where("part > 0").withColumn("record", F.count_if(F.col("part") == 1).over(along))
-    before = along.partitionBy("file", "record").rowsBetween(Window.unboundedPreceding, -1)
-    ended = F.coalesce(F.count_if(F.col("part") == 2).over(before), F.lit(0))
-    grouped = fragments.withColumn("ended", ended).where("ended = 0").groupBy("shot_dir", "file", "record")
-    order = F.array_sort(F.collect_list(F.struct("source_block", (-F.col("part")).alias("at"), "text")))
-    joined = grouped.agg(
-        F.min("source_block").alias("source_block"), F.min("source_row").alias("source_row"),
-        F.regexp_extract(F.array_join(F.transform(order, lambda x: x.text), ""), r"(?s)\{.*$", 0).alias("text"),
-    ).where("text <> ''")
-    columns = ["shot_dir", "source_block", "source_row", "text"]
-    records = landed.where("part = 0").select(columns).unionByName(joined.select(columns))
-    return records.withColumn("record", F.from_json("text", "map<string,string>")).drop("text")
-
-
-def _join_pieces(batches):
-    """Records from pieces of text that end before closing braces.
-
-    Part 0 is a whole record, 1 the beginning, 3 the middle and 2 the end of one that spans tasks.
-    """
-    import pyarrow as pa
-
-    names = ["shot_dir", "file", "source_block", "text", "part"]
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32()]
-    key, held, quoted, begun = None, [], False, True
-
-    def batch(rows):
-        columns = zip(*rows, strict=True) if rows else [[]] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    def rest():
-        return [(*key, "".join(held), 1 if begun else 3)] if held else []
-
-    for pieces in batches:
-        out = []
-        for *at, value in zip(*(c.to_pylist() for c in pieces.columns), strict=True):
-            if at != key:
-                out += rest()
-                key, held = at, []
-                begun = at[2] == 0 or bool(_NEXT_RECORD.match(value))
-                quoted = not begun
-            quotes = (_ESCAPE.sub("", value) if "\\" in value else value).count('"')
-            quoted ^= quotes % 2 == 1
-            held.append(value + "}")
-            if not quoted:
-                record = "".join(held)
-                if begun:
-                    start = record.find("{")
-                    if start >= 0:
-                        out.append((*key, record[start:], 0))
-                else:
-                    out.append((*key, record, 2))
-                held, begun = [], True
-        yield batch(out)
-    yield batch(rest())
 
 
 def _json_keys(records: DataFrame) -> DataFrame:
