@@ -49,8 +49,8 @@ def test_falling_values_and_ranges_outside_are_refused():
 
 def texts():
     rng = random.Random(11)
-    out = ["", " ", "Hello, World's <|endoftext|>x it's'll 12345", "É é ǅ ΑΣ ΑΣ. İ ﬁ", "a b　c\x0bd\x0ce\x1cf\x85g", "́ ́a", "!\x0b!", "中文字 😀‍😀\x00\x7f"]
-    alphabet = "abcABC'’s  \n\t\x0b\x0c\r  é́ß0123.,!?#<|>😀中ال"
+    out = ["", " ", "Hello, World's <|endoftext|>x it's'll 12345", "É é ǅ ΑΣ ΑΣ. İ ﬁ", "a b　c\x0bd\x0ce\x1cf\x85g", "́ ́a", "!\x0b!", "J\u030cA\u030a I\u0307.x Ab.Cd,e;f!? .A. don't.'s it,'s Éa.B <|ENDOFTEXT|> ß.ß", "中文字 😀‍😀\x00\x7f"]
+    alphabet = "abcABCJ\u030c'’s  \n\t\x0b\x0c\r  é́ß0123.,!?#<|>😀中ال"
     out += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 60))) for _ in range(600)]
     return out
 
@@ -58,10 +58,13 @@ def texts():
 def test_words_alone_equal_whole_texts():
     tokenizer = Tokenizer.from_file(PATH)
     column = pa.array([*texts(), None])
-    ids, counts = T.encode_texts(*text_bytes(column), T.word_encoder(PATH))
-    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in column.to_pylist()]
-    assert counts.tolist() == [len(w) for w in want]
-    assert ids.tolist() == [i for w in want for i in w]
+    assert T.described(PATH) == (49408, True)
+    plain = pa.array([t for t in column.to_pylist() if "<" not in (t or "")])
+    for texts_of, lower in ((column, True), (column, False), (plain, True), (plain, True)):
+        ids, counts = T.encode_texts(*text_bytes(texts_of), T.word_encoder(PATH), lower)
+        want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts_of.to_pylist()]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
 
 
 def brute(rows):

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.llm.text import slabs, text_bytes
-from tidegrid.llm.units import UnitEncoder, units_at
+from tidegrid.llm.units import UnitEncoder, together, units_at
 from tidegrid.session import materialize
 
 SPACE, MARK = 0x20, "▁"
@@ -81,12 +81,22 @@ KINDS = {"byte_level": _byte_level, "pieces": _pieces}
 
 
 @lru_cache(maxsize=4)
-def load(side: Side) -> tuple[UnitEncoder, list[bytes], pa.Array, pa.Array]:
+def load(side: Side) -> tuple[UnitEncoder, pa.Array, pa.Array, pa.Array]:
     """Encoder, bytes of each id, their number, and the id as text; once in a process."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     encode, spelled = KINDS[side.kind](side.path)
     sizes = pa.array([len(b) for b in spelled], pa.int64())
-    return UnitEncoder(encode), spelled, sizes, pa.array([str(i) for i in range(len(spelled))])
+    lengths = sizes.to_numpy()
+
+    def cut(ids: np.ndarray, units: list[str]) -> np.ndarray | None:
+        """Where the bytes that the ids spell reach the end of each unit; all units begin with a space."""
+        ends, last = np.cumsum(lengths[ids]), np.cumsum([len(u) if u.isascii() else len(u.encode()) for u in units])
+        at = np.searchsorted(ends, last)
+        exact = len(ends) and ends[-1] == last[-1] and (ends[at] == last).all()
+        return at + 1 if exact else None
+
+    encoder = UnitEncoder(together(encode, cut))
+    return encoder, pa.array(spelled, pa.large_binary()), sizes, pa.array([str(i) for i in range(len(spelled))])
 
 
 def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -115,29 +125,50 @@ def with_space(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return out, offsets + np.concatenate([[0], np.cumsum(filled)])
 
 
-def _lists(units: pa.Array, coded: pa.DictionaryArray, bounds: np.ndarray, encoder: UnitEncoder) -> tuple[pa.ListArray, pa.ListArray]:
-    """Token ids of each distinct unit and of each row; ``bounds`` are the rows' first units."""
-    distinct = encoder.ids(coded.dictionary)
+def _lists(coded: pa.DictionaryArray, distinct: pa.ListArray, bounds: np.ndarray) -> pa.ListArray:
+    """Token ids of each row; ``bounds`` are the rows' first units."""
     every = distinct.take(coded.indices)
     starts = every.offsets.to_numpy()
-    return distinct, pa.ListArray.from_arrays(pa.array(starts[bounds], pa.int32()), every.flatten())
+    return pa.ListArray.from_arrays(pa.array(starts[bounds], pa.int32()), every.flatten())
+
+
+def _raw(cells: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all cells (large binary, none null) one after another, and where each cell's begin."""
+    _, offsets, data = cells.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int64)[cells.offset : cells.offset + len(cells) + 1]
+    data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _spelled(lists: pa.ListArray, spelled: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that the lists of ids spell, one after another, and where each list's begin."""
+    data, offsets = _raw(spelled.take(lists.flatten()))
+    return data, offsets[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
 
-def _spelled(lists: pa.ListArray, spelled: list[bytes]) -> list[bytes]:
-    return [b"".join([spelled[i] for i in ids]) for ids in lists.to_pylist()]
+def _spells(lists: pa.ListArray, spelled: pa.Array, units: pa.Array) -> np.ndarray:
+    """Which lists of ids spell their unit."""
+    (have, at), (want, ends) = _spelled(lists, spelled), _raw(units.view(pa.large_binary()))
+    good = np.diff(at) == np.diff(ends)
+    if not good.all():
+        same = pa.array(good)
+        good[good] = _spells(lists.filter(same), spelled, units.filter(same))
+        return good
+    wrong = np.flatnonzero(have != want)
+    good[np.unique(np.searchsorted(ends, wrong, "right") - 1)] = False
+    return good
 
 
-def _valid(coded: pa.DictionaryArray, bounds: np.ndarray, data: bytes, offsets: np.ndarray, sides: list) -> np.ndarray:
+def _valid(coded: pa.DictionaryArray, bounds: np.ndarray, rows: pa.Array, sides: list) -> np.ndarray:
     """Rows whose tokens, on both sides, spell the row. A row is spelled out itself if a unit of it is not."""
-    texts = [t.encode() for t in coded.dictionary.to_pylist()]
-    good = np.ones(len(texts), dtype=bool)
+    good = np.ones(len(coded.dictionary), dtype=bool)
     for distinct, _, spelled in sides:
-        good &= np.array([a == b for a, b in zip(_spelled(distinct, spelled), texts)], dtype=bool)
+        good &= _spells(distinct, spelled, coded.dictionary)
     bad = np.concatenate([[0], np.cumsum(~good[coded.indices.to_numpy()])])
-    valid = np.diff(offsets) > 0
-    for row in np.flatnonzero(np.diff(bad[bounds])):
-        text = data[offsets[row] : offsets[row + 1]]
-        valid[row] = all(_spelled(rows.slice(row, 1), spelled)[0] == text for _, rows, spelled in sides)
+    valid = np.diff(bounds) > 0
+    doubted = np.flatnonzero(np.diff(bad[bounds]))
+    for _, lists, spelled in sides:
+        valid[doubted] &= _spells(lists.take(doubted), spelled, rows.take(doubted))
     return valid
 
 
@@ -200,10 +231,12 @@ def align_slab(data: np.ndarray, offsets: np.ndarray, left: Side, right: Side) -
     sides = [load(left), load(right)]
     data, offsets = with_space(data, offsets)
     starts = unit_starts(data, offsets)
-    units = units_at(data, starts)
-    coded, bounds = units.dictionary_encode(), np.searchsorted(starts, offsets)
-    listed = [(*_lists(units, coded, bounds, encoder), spelled) for encoder, spelled, _, _ in sides]
-    valid = _valid(coded, bounds, data.tobytes(), offsets, listed)
+    coded, bounds = units_at(data, starts).dictionary_encode(), np.searchsorted(starts, offsets)
+    listed, units = [], coded.dictionary.to_pylist()
+    for encoder, spelled, _, _ in sides:
+        distinct = encoder.ids(units)
+        listed.append((distinct, _lists(coded, distinct, bounds), spelled))
+    valid = _valid(coded, bounds, units_at(data, offsets[:-1]), listed)
     emptied = []
     for (_, rows, _), (_, _, sizes, _) in zip(listed, sides):
         if not valid.all():

@@ -15,6 +15,7 @@ is run again writes files of new names, so that readers never see those of a los
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -28,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.llm.elias_fano import EliasFano
-from tidegrid.llm.text import slabs, text_bytes, words
-from tidegrid.llm.units import UnitEncoder, units_at
+from tidegrid.llm.text import joined, slabs, text_bytes, words
+from tidegrid.llm.units import UnitEncoder, one_by_one, together, units_at
 
 IDX_HEADER = struct.Struct("<4sBBxxqqq")
 MAGIC, VERSION = b"TGEF", 1
@@ -37,6 +38,8 @@ MANIFEST = "part long, file string, docs long, tokens long, width int"
 #: Documents for a part on average, and for a row of the reading job.
 PART_DOCS = 250_000
 READ_DOCS = 4_096
+#: Bytes of text that are encoded at a time.
+WRITE_BYTES = 4 << 20
 _LONG_MIN = -(1 << 63)
 
 
@@ -47,37 +50,83 @@ def storage(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
+#: Words of these letters alone stay one word of the tokenizer, whatever stands around them.
+_LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-įı-ɏ]+ ")
+#: A word may be cut before these, behind a plain letter; no special string holds one.
+_STOPS = np.isin(np.arange(256), list(b".,;:!?"))
+_PLAIN = np.isin(np.arange(256) | 0x20, list(range(0x61, 0x7B)))
+
+
 @lru_cache(maxsize=4)
 def word_encoder(path: str) -> UnitEncoder:
-    """Encodes words by the tokenizer in a file whose tokens never reach over ASCII white space."""
+    """Encodes words by the tokenizer in a file whose tokens never reach over ASCII white space.
+
+    Words of letters are encoded many at a time, with spaces between them, if the vocabulary marks the end
+    of a word: then the marked ids tell the words apart.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return UnitEncoder(
-        lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-    )
 
+    def encode(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    if not suffix:
+        return UnitEncoder(one_by_one(encode))
+    size = tokenizer.get_vocab_size(with_added_tokens=True)
+    ends = np.array([(tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+
+    def cut(ids: np.ndarray, units: list[str]) -> np.ndarray | None:
+        found = np.flatnonzero(ends[ids]) + 1
+        return found if len(found) == len(units) and found[-1] == len(ids) else None
 
-def vocabulary_size(path: str) -> int:
+    def mixed(texts: list[str]):
+        plain = [t for t in texts if _LETTERS.fullmatch(t)]
+        yield from together(encode, cut)(plain)
+        yield from one_by_one(encode)([t for t in texts if not _LETTERS.fullmatch(t)])
+
+    return UnitEncoder(mixed)
+
+
+def described(path: str) -> tuple[int, bool]:
+    """Size of a tokenizer's vocabulary, and whether it takes all text in lower case."""
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
+    tokenizer = Tokenizer.from_file(path)
+    lower = tokenizer.normalizer is not None and tokenizer.normalizer.normalize_str("ABC XYZ") == "abc xyz"
+    return tokenizer.get_vocab_size(with_added_tokens=True), lower
+
+
+def lower_plain(data: np.ndarray) -> np.ndarray:
+    """``data`` with A-Z in lower case, but for letters that a combining character may follow."""
+    alone = np.append(data[1:] < 0x80, True)
+    return np.where(alone & (data >= 0x41) & (data <= 0x5A), data + np.uint8(0x20), data)
 
 
-def encode_texts(data: np.ndarray, offsets: np.ndarray, encoder: UnitEncoder) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(data: np.ndarray, offsets: np.ndarray, encoder: UnitEncoder, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows one after another, and the number of each row's ids.
 
-    A unit is a word with the white space behind it, which the tokenizer drops.
+    A unit is a word, or the part of one before or behind a full stop or the like, and a space. With ``lower``
+    the tokenizer takes capitals for small letters, and so may we where no special string can begin.
     """
-    starts, _, firsts = words(data, offsets)
+    starts, ends, firsts = words(data, offsets)
     if not len(starts):
         return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
-    coded = units_at(data, starts).dictionary_encode()
-    lists = encoder.ids(coded.dictionary)
+    text, begins, _ = joined(data, starts, ends)
+    plain = np.frombuffer(text, dtype=np.uint8)
+    stops = np.flatnonzero(_STOPS[plain[1:]] & _PLAIN[plain[:-1]]) + 1
+    cuts = np.sort(np.concatenate([begins, stops]), kind="stable")
+    if lower and b"<" not in text:
+        plain = lower_plain(plain)
+    spaced, at = np.insert(plain, stops, 0x20), cuts + np.searchsorted(stops, cuts, "right")
+    coded = units_at(spaced, at).dictionary_encode()
+    lists = encoder.ids(coded.dictionary.to_pylist())
     sizes = np.diff(lists.offsets.to_numpy())[coded.indices.to_numpy()]
     total = np.concatenate([[0], np.cumsum(sizes)])
-    return lists.take(coded.indices).flatten().to_numpy(), np.diff(total[firsts])
+    words_at = np.append(begins, len(plain))[firsts]
+    return lists.take(coded.indices).flatten().to_numpy(), np.diff(total[np.searchsorted(cuts, words_at)])
 
 
 class PartWriter:
@@ -157,7 +206,8 @@ def write_tokens(
     them. ``tokenizer`` is a file of the ``tokenizers`` library whose tokens never span white space.
     """
     spark = docs.sparkSession
-    width = 2 if max(end_id, vocabulary_size(tokenizer) - 1) < 1 << 16 else 4
+    size, lower = described(tokenizer)
+    width = 2 if max(end_id, size - 1) < 1 << 16 else 4
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // PART_DOCS))
     keys = ["id", "hash", "task"]
@@ -170,11 +220,11 @@ def write_tokens(
         encoder, writer = word_encoder(tokenizer), None
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            for lo, hi in slabs(offsets):
+            for lo, hi in slabs(offsets, WRITE_BYTES):
                 if writer is None:
                     writer = PartWriter(folder, TaskContext.get().partitionId(), width)
                 at = offsets[lo : hi + 1]
-                ids, counts = encode_texts(data[at[0] : at[-1]], at - at[0], encoder)
+                ids, counts = encode_texts(data[at[0] : at[-1]], at - at[0], encoder, lower)
                 ends = np.cumsum(counts)
                 writer.write(batch.column(0).slice(lo, hi - lo), np.insert(ids, ends, end_id), counts + 1)
         if writer is not None:

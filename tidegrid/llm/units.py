@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-#: Units up to this length are remembered, so many of them in a task at a time.
-MEMO_CHARS = 64
-MEMO_UNITS = 400_000
+#: A process forgets the units it knows when they have so many characters in all.
+MEMO_CHARS = 8 << 20
 
 
 def units_at(data: np.ndarray, starts: np.ndarray) -> pa.LargeStringArray:
@@ -20,20 +20,79 @@ def units_at(data: np.ndarray, starts: np.ndarray) -> pa.LargeStringArray:
     )
 
 
+Lists = tuple[np.ndarray, np.ndarray]
+Encode = Callable[[list[str]], Sequence[Sequence[int]]]
+
+
+def flat(lists: Sequence[Sequence[int]]) -> Lists:
+    """The numbers of all lists one after another, and the size of each list."""
+    sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(sizes.sum())), sizes
+
+
+def one_by_one(encode: Encode) -> Callable[[list[str]], Iterable[tuple[list[str], Lists]]]:
+    return lambda units: [(units, flat(encode(units)))]
+
+
+def together(
+    encode: Encode,
+    cut: Callable[[np.ndarray, list[str]], np.ndarray | None],
+    group: int = 64,
+) -> Callable[[list[str]], Iterable[tuple[list[str], Lists]]]:
+    """Encodes units in groups, each as one string, which takes less time than as many short ones.
+
+    ``cut`` tells behind how many of the ids of a group each unit ends, or nothing if they don't
+    fall into that many units; then these are encoded one by one.
+    """
+
+    def run(units: list[str]) -> Iterable[tuple[list[str], Lists]]:
+        groups = [units[i : i + group] for i in range(0, len(units), group)]
+        for mine, ids in zip(groups, encode(["".join(g) for g in groups])):
+            ids = np.asarray(ids, dtype=np.int32)
+            ends = cut(ids, mine)
+            yield mine, flat(encode(mine)) if ends is None else (ids, np.diff(ends, prepend=0))
+
+    return run
+
+
 class UnitEncoder:
-    """``encode`` gives the ids of each of many strings; what it gave lately is remembered."""
+    """The ids of units; what ``encode`` gave lately is remembered.
+
+    ``encode`` gives the ids of each of many strings, in parts of any size and in any order. The ids of
+    remembered units stand one after another in one array, so that those of a text are gathered by array
+    operations, not one by one.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]]):
+    def __init__(self, encode: Callable[[list[str]], Iterable[tuple[list[str], Lists]]]):
         self.encode = encode
-        self._memo: dict[str, Sequence[int]] = {}
-
-    def ids(self, distinct: pa.Array) -> pa.ListArray:
-        """The ids of each of the strings, one list a string."""
-        texts = distinct.to_pylist()
-        fresh = [t for t in texts if t not in self._memo]
-        found = dict(zip(fresh, self.encode(fresh) if fresh else []))
-        out = [self._memo[t] if t in self._memo else found[t] for t in texts]
-        if len(self._memo) + len(found) > MEMO_UNITS:
-            self._memo.clear()
-        self._memo.update((t, ids) for t, ids in found.items() if len(t) <= MEMO_CHARS)
-        return pa.array(out, pa.list_(pa.int32()))
+        self._forget()
+
+    def _forget(self) -> None:
+        self._memo: dict[str, int] = {}
+        self._chars = 0
+        self._ids = np.zeros(0, dtype=np.int32)
+        self._ends = np.zeros(1, dtype=np.int64)
+
+    def _learn(self, texts: list[str]) -> None:
+        ids, sizes = [self._ids], []
+        for units, (found, counts) in self.encode(texts):
+            first = len(self._memo)
+            self._memo.update(zip(units, range(first, first + len(units))))
+            ids.append(found)
+            sizes.append(counts)
+        self._chars += sum(map(len, texts))
+        self._ids = np.concatenate(ids)
+        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def ids(self, units: list[str]) -> pa.ListArray:
+        """The ids of each of the strings (no two alike), one list a string."""
+        if self._chars > MEMO_CHARS:
+            self._forget()
+        at = np.fromiter((self._memo.get(u, -1) for u in units), dtype=np.int64, count=len(units))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            fresh = [units[i] for i in new.tolist()]
+            self._learn(fresh)
+            at[new] = [self._memo[u] for u in fresh]
+        known = pa.ListArray.from_arrays(pa.array(self._ends, pa.int32()), pa.array(self._ids))
+        return known.take(pa.array(at))
