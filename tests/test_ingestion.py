@@ -100,7 +100,7 @@ def test_json_text_may_hold_anything(spark, tmp_path, indent):
     text = "\n".join(map(json.dumps, rows)) if indent == "lines" else json.dumps(rows, indent=indent, ensure_ascii=False)
     with open(f"{folder}/signals.json", "w") as f:
         f.write(text)
-    for size in ("128m", "1k", "173b"):
+    for size in ("128m", "2k"):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         spark.conf.set("spark.sql.files.openCostInBytes", "0")
         try:
@@ -200,3 +200,30 @@ def test_extra_column_and_no_recordings(spark, tmp_path):
     assert rec.format_check(out.metadata).first().is_homogeneous
     empty = rec.load_recordings(spark, str(tmp_path / "none"))
     assert empty.signals.count() == 0 and empty.errors.count() == 0
+
+
+def test_headers_are_found_without_a_scan(spark, tmp_path):
+    """The first line that is not blank, of files of any size, in odd encodings and folders of parts."""
+    texts = {
+        "shot_1": b"\xef\xbb\xbfa, b ,\"c\"\r\n1,2,3\r\n", "shot_2": b"\n  \n\r\nx,y\n" + b"1,2\n" * 200_000,
+        "shot_3": b"only", "shot_4": b"", "shot_5": b" \n\n", "shot_6": b"p,q\r1,2\r", "shot 7%41": b"s,t\n",
+        "shot_8": b"k" * 200_000 + b",l\n1,2\n",
+    }
+    for name, text in texts.items():
+        os.makedirs(tmp_path / name)
+        (tmp_path / name / "signals.csv").write_bytes(text)
+    os.makedirs(tmp_path / "shot_9" / "signals.csv")
+    (tmp_path / "shot_9" / "signals.csv" / "part-1.csv").write_bytes(b"u,v\n1,2\n")
+    (tmp_path / "shot_9" / "signals.csv" / "part-0.csv").write_bytes(b"")
+    path = f"{tmp_path}/shot*/signals.csv"
+    headers = rec._csv_headers(spark, path)
+    got = {r.shot_dir.rsplit("/", 1)[1]: r.found for r in headers.collect()}
+    want = {
+        "shot_1": ["a", "b", "c"], "shot_2": ["x", "y"], "shot_3": ["only"], "shot_6": ["p", "q"],
+        "shot%207%2541": ["s", "t"], "shot_8": ["k" * 200_000, "l"], "shot_9": ["u", "v"],
+    }
+    assert got == want
+    plan = headers._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and "FileScan csv" not in plan and "content" not in plan
+    scanned = rec._scanned_lines(spark, path).groupBy("shot_dir").agg({"value": "count"})
+    assert {r.shot_dir.rsplit("/", 1)[1] for r in scanned.collect()} == set(want)

@@ -15,23 +15,19 @@ from tidegrid.sources import mart as source
 from tidegrid.sources.registry import CURRENT_UNITS, NAMING_SCHEMES
 
 
-META = """
-1 | Ada | A    | OK       | 0.99 | false | false | null
-2 | Ada | B    | OK       | 0.98 | true  | true  | 0.5
-3 | Bob | A    | OK       | 0.99 | false | false | null
-4 | Bob | B    | OK       | 1.0  | true  | true  | 0.0
-5 | Bob | null | DEGRADED | 0.95 | false | false | null
-"""
+DIMENSION = "shot_id long, operator string, machine_config string, quality_flag string, overall_completeness double, declared_disruption boolean, disruption_detected boolean, disruption_time_detected_s double"
 
 
 def meta_frame(spark):
     """Five recordings, two of them with a declared and detected event."""
-    cells = [[None if x.strip() == "null" else x.strip() for x in line.split("|")] for line in META.strip().splitlines()]
-    names = ["shot_id", "operator", "machine_config", "quality_flag", "overall_completeness", "declared_disruption",
-             "disruption_detected", "disruption_time_detected_s"]
-    kinds = ["bigint", "string", "string", "string", "double", "boolean", "boolean", "double"]
-    table = spark.createDataFrame(cells, ", ".join(f"{n} string" for n in names))
-    table = table.selectExpr(*[f"CAST({n} AS {k}) AS {n}" for n, k in zip(names, kinds)])
+    rows = [
+        (1, "Mia", "A", "OK", 0.985, False, False, None),
+        (2, "Noor", "B", "OK", 1.0, True, True, 0.5),
+        (3, "Mia", "A", "OK", 0.99, False, False, None),
+        (4, "Mia", "B", "OK", 0.995, True, True, 0.0),
+        (5, "Noor", None, "DEGRADED", 0.95, False, False, None),
+    ]
+    table = spark.createDataFrame(rows, DIMENSION)
     sensors = {"plasma_current": 1.0, "density": 0.98, "temperature": 0.99, "vloop": 1.0}
     return table.withColumns({f"completeness_{s}": F.lit(v) for s, v in sensors.items()})
 
@@ -223,3 +219,107 @@ def test_folds_and_classifier(spark):
     _, score = ml.train_event_classifier(df, "y", features, trees=10)
     scored = score(df).toPandas().merge(pdf)
     assert scored[scored.y].event_score.mean() > scored[~scored.y].event_score.mean()
+
+
+def state_of(spark, path):
+    """All that readers see of a mart."""
+    return (
+        sorted(map(tuple, source.read_metadata(spark, path).collect()), key=str),
+        sorted(map(tuple, source.read_signals(spark, path).collect())),
+        source.read_manifest(spark, path),
+    )
+
+
+def stored(path):
+    return sorted(os.path.relpath(os.path.join(d, f), path) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+
+
+@pytest.mark.parametrize("broken", ["signals", "manifest", "pointer"])
+def test_a_failure_between_the_parts_leaves_the_old_mart(spark, tmp_path, monkeypatch, broken):
+    path = str(tmp_path / "mart")
+    config = MartConfig(path)
+    sink.write_mart(meta_frame(spark), signals_frame(spark), config, "2026-01-01T00:00:00+00:00")
+    before, files = state_of(spark, path), stored(path)
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    new_meta, new_facts = meta_frame(spark).where("shot_id < 3"), signals_frame(spark, 2, 30)
+    with monkeypatch.context() as patch:
+        if broken == "signals":
+            new_facts = new_facts.withColumn("time_s", F.raise_error(F.lit("lost")).cast("double"))
+        else:
+            patch.setattr(sink, "manifest" if broken == "manifest" else "replace_text", fail)
+        with pytest.raises(Exception, match="lost"):
+            sink.write_mart(new_meta, new_facts, config, "2027-01-01T00:00:00+00:00")
+    assert state_of(spark, path) == before
+    assert len(stored(path)) > len(files)  # what the change has left is there, but not seen
+    assert sink.vacuum(spark, config) > 0
+    assert [f for f in stored(path) if not f.startswith(sink.FILE_LISTS)] == [f for f in files if not f.startswith(sink.FILE_LISTS)]
+
+    sink.write_mart(meta_frame(spark).where("shot_id < 3"), signals_frame(spark, 2, 30), config, "2027-01-01T00:00:00+00:00")
+    meta, facts, card = state_of(spark, path)
+    assert len(meta) == 2 and len(facts) == 60 and card["created_at_utc"].startswith("2027")
+    assert sorted(os.listdir(f"{path}/signals"))[-2:] == ["shot_id=1", "shot_id=2"]
+    assert sink.vacuum(spark, config) == 0
+
+
+def test_files_are_found_by_the_list_alone(spark, tmp_path):
+    path = str(tmp_path)
+    sink.write_mart(meta_frame(spark), signals_frame(spark), MartConfig(path))
+    os.makedirs(f"{path}/signals/shot_id=6")
+    stray = f"{path}/signals/shot_id=2/part-left-by-a-lost-writer.parquet"
+    with open(stray, "wb") as f:
+        f.write(b"not a table")
+    assert source.read_signals(spark, path).count() == 500
+    assert source.read_signals(spark, path, range(1, 5001)).count() == 500
+    assert stray not in "".join(source.read_signals(spark, path, [2]).inputFiles())
+    files = sink.read_files(spark, path, sink.read_current(spark, path), "signals").collect()
+    assert {(r.min_id, r.max_id, r.directory) for r in files} == {(i, i, i) for i in range(1, 6)}
+    assert sum(r.n_rows for r in files) == 500 and all(r.bytes > 0 for r in files)
+
+
+def test_single_recordings_are_replaced_and_others_kept(spark, tmp_path):
+    path = str(tmp_path)
+    sink.write_mart(meta_frame(spark), signals_frame(spark), MartConfig(path))
+    again = signals_frame(spark, 7, 10).where("shot_id in (3, 7)")
+    sink.write_mart(meta_frame(spark), again, MartConfig(path, overwrite=False))
+    counts = {r.shot_id: r["count"] for r in source.read_signals(spark, path).groupBy("shot_id").count().collect()}
+    assert counts == {1: 100, 2: 100, 3: 10, 4: 100, 5: 100, 7: 10}
+    assert len([f for f in os.listdir(f"{path}/signals/shot_id=3") if f.endswith(".parquet")]) == 1
+    assert source.select_signals(spark, path, "shot_id = 3").count() == 10
+
+
+def test_a_mart_without_a_list_is_read_and_taken_over(spark, tmp_path):
+    path = str(tmp_path)
+    signals_frame(spark).write.partitionBy("shot_id").parquet(f"{path}/signals")
+    meta_frame(spark).write.parquet(f"{path}/metadata.parquet")
+    assert source.read_signals(spark, path, [2, 4]).count() == 200 and source.read_metadata(spark, path).count() == 5
+    sink.write_signals(signals_frame(spark, 2, 10).where("shot_id = 2"), MartConfig(path, overwrite=False))
+    assert source.read_signals(spark, path).count() == 410 and source.read_metadata(spark, path).count() == 5
+    sink.write_signals(signals_frame(spark, 1), MartConfig(path))
+    assert source.read_signals(spark, path).count() == 100
+    assert [d for d in os.listdir(f"{path}/signals") if "=" in d] == ["shot_id=1"]
+
+
+def test_least_id_is_selected(spark, tmp_path):
+    least = -(2**63)
+    meta = spark.createDataFrame([(least, "OK"), (5, "OK")], "shot_id long, quality_flag string")
+    facts = signals_frame(spark, 1, 3).withColumn("shot_id", F.lit(least))
+    sink.write_mart(meta, facts, MartConfig(str(tmp_path)))
+    assert source.select_signals(spark, str(tmp_path), "quality_flag = 'OK'").count() == 3
+
+
+def test_a_build_leaves_no_scratch_behind(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    for sid in (1, 2):
+        f = pulse(sid).drop(columns="shot_id")
+        f.columns = NAMING_SCHEMES["canonical"]
+        write_shot(tmp_path / "raw", sid, frame=f)
+    before = set(os.listdir(shared))
+    build_mart(spark, str(tmp_path / "raw"), MartConfig(str(tmp_path / "out")))
+    assert set(os.listdir(shared)) == before
+    with pytest.raises(Exception, match="no such codec|not available|nothing"):
+        build_mart(spark, str(tmp_path / "raw"), MartConfig(str(tmp_path / "out"), compression="nothing"))
+    assert set(os.listdir(shared)) == before
+    assert source.read_metadata(spark, str(tmp_path / "out")).count() == 2

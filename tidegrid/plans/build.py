@@ -13,9 +13,9 @@ from tidegrid.operators.clean import clean_series
 from tidegrid.operators.enrich import enrich
 from tidegrid.operators.features import derived_features
 from tidegrid.operators.quality import quality_report
-from tidegrid.session import materialize
+from tidegrid.session import materialize, scratch_scope
 from tidegrid.sinks.mart import write_mart
-from tidegrid.sources.mart import mart_size_mb, read_metadata, read_signals
+from tidegrid.sources.mart import mart_size_mb, read_errors, read_metadata, read_signals
 from tidegrid.sources.recordings import SOURCE_ORDER, load_recordings
 from tidegrid.sources.registry import SourceRegistry
 
@@ -43,22 +43,25 @@ def build_mart(
 
     The cleaned series are landed once: the quality counts, the features and the fact table all
     read them. ``extra_columns`` names raw columns that the fact table carries as well, resampled
-    but not cleaned.
+    but not cleaned. Intermediate tables are deleted at the end, whether the build succeeds or not; readers see the old
+    mart until the new one is complete.
     """
-    recordings = load_recordings(spark, raw_dir, registry, extra_columns)
-    cleaned = clean_series(recordings.signals, KEYS, cleaning, SOURCE_ORDER, keep_extra=bool(extra_columns))
-    cleaned = materialize(cleaned, "cleaned")
-    table = materialize(
-        enrich(
-            recordings.metadata,
-            quality_report(recordings.signals, cleaned, KEYS, cleaning),
-            derived_features(cleaned, KEYS, features, index="_k"),
-            processed_at,
-        ),
-        "metadata",
-    )
-    paths = write_mart(table, cleaned.drop("outlier_mask"), mart, processed_at, index="_k")
-    return MartBuild(paths, recordings.errors, verify_mart(spark, mart.output_dir))
+    with scratch_scope(spark):
+        recordings = load_recordings(spark, raw_dir, registry, extra_columns)
+        cleaned = clean_series(recordings.signals, KEYS, cleaning, SOURCE_ORDER, keep_extra=bool(extra_columns))
+        cleaned = materialize(cleaned, "cleaned")
+        table = materialize(
+            enrich(
+                recordings.metadata,
+                quality_report(recordings.signals, cleaned, KEYS, cleaning),
+                derived_features(cleaned, KEYS, features, index="_k"),
+                processed_at,
+            ),
+            "metadata",
+        )
+        facts = cleaned.drop("outlier_mask")
+        paths = write_mart(table, facts, mart, processed_at, index="_k", errors=recordings.errors)
+    return MartBuild(paths, read_errors(spark, mart.output_dir), verify_mart(spark, mart.output_dir))
 
 
 def verify_mart(spark: SparkSession, mart_dir: str, shots: int = 3) -> dict:

@@ -3,18 +3,138 @@
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.config import FILE_ROWS, PIPELINE_VERSION, SIGNAL_COLUMNS, TIME_COLUMN, MartConfig
+from tidegrid.files import delete, delete_all, existing, exists, first_directory, read_text, replace_text
 from tidegrid.functions.numeric import round_exactly
 from tidegrid.operators.enrich import utc_now
 from tidegrid.operators.series import split_series
+from tidegrid.session import materialize, scratch_scope
 
 METADATA, SIGNALS, MANIFEST = "metadata.parquet", "signals", "dataset_manifest.json"
+QUARANTINE = "quarantine.parquet"
 # Directories of several recordings are named after the number of ids each one spans.
 SHARED_DIRECTORY = "shots_by_"
+# What the mart holds at the moment, and where its lists of files are.
+CURRENT, FILE_LISTS = "_current.json", "file_lists"
+LISTED = "part string, file string, directory bigint, min_id bigint, max_id bigint, n_rows bigint, bytes bigint"
+
+
+class MartChange:
+    """New files of a mart that readers see all at once, or never.
+
+    New files go beside those of the parts they replace, under names of their own. A list of the files that
+    count, with their ids and sizes, is written next; then one small file is replaced, which
+    names that list. Before that, readers see the old mart whole; after it, the new one. Files
+    that no longer count are deleted last. One change at a time may be made to a mart.
+    """
+
+    def __init__(self, spark: SparkSession, config: MartConfig):
+        self.spark, self.config, self.root = spark, config, config.output_dir.rstrip("/")
+        self.prefix = f"part-{uuid.uuid4().hex}"
+        before = read_current(spark, self.root)
+        self.now: dict = before or {"files": None, "layout": None, "card": None}
+        self.old = read_files(spark, self.root, before) if before else self._untracked()
+        self.new: dict[str, DataFrame] = {}
+        self.kept = self.old
+
+    def _untracked(self) -> DataFrame:
+        """The files of a mart that was written without a list."""
+        files = self.spark.createDataFrame([], LISTED)
+        for part in (METADATA, SIGNALS, QUARANTINE):
+            path = f"{self.root}/{part}"
+            by = (first_directory(self.spark, path) or "").split("=")[0]
+            files = files.unionByName(self._listed(part, by, "*.parquet"))
+        return files
+
+    def write(self, part: str, table: DataFrame, by: str | None = None, keep: bool = False) -> None:
+        """Write ``table`` as a part; ``by`` names the column of its directories. With ``keep`` only directories with new
+        files are replaced, else the whole part."""
+        writer = table.write.mode("append").option("compression", self.config.compression)
+        writer = writer.option("mapreduce.output.basename", self.prefix)
+        (writer.partitionBy(by) if by else writer).parquet(f"{self.root}/{part}")
+        self.new[part] = self._listed(part, by, f"{self.prefix}*")
+        if keep:
+            taken = self.new[part].select(F.lit(part).alias("part"), "directory").distinct()
+            self.kept = self.kept.join(taken, ["part", "directory"], "left_anti")
+        else:
+            self.kept = self.kept.where(F.col("part") != part)
+
+    def _listed(self, part: str, by: str | None, pattern: str) -> DataFrame:
+        """Files of a part; their rows and ids are taken from footers and directories."""
+        spark, path = self.spark, f"{self.root}/{part}"
+        if not exists(spark, path):
+            return spark.createDataFrame([], LISTED)
+        reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+        found = reader.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
+        ids = spark.createDataFrame([], "file string, min_id bigint, max_id bigint, n_rows bigint")
+        if by:
+            schema = ", ".join(f"{c} bigint" for c in dict.fromkeys(["shot_id", by]))
+            rows = spark.read.schema(schema).option("basePath", path).option("pathGlobFilter", pattern).parquet(path)
+            ids = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+                F.min("shot_id").alias("min_id"), F.max("shot_id").alias("max_id"), F.count("*").alias("n_rows")
+            )
+        directory = F.regexp_extract("file", f"/{by}=(-?[0-9]+)/", 1) if by else F.lit(None).cast("string")
+        listed = found.join(ids, "file", "left").select(
+            F.lit(part).alias("part"), F.regexp_extract("file", f"^.*/({part}/.*)$", 1).alias("file"),
+            directory.try_cast("long").alias("directory"), "min_id", "max_id", "n_rows", "bytes",
+        )
+        return materialize(listed, "files")
+
+    def commit(self) -> None:
+        """Let readers see the change, then delete what no longer counts."""
+        spark, columns = self.spark, [c.split()[0] for c in LISTED.split(", ")]
+        listed = self.kept.select(columns)
+        for files in self.new.values():
+            listed = listed.unionByName(files)
+        name = f"{FILE_LISTS}/{self.prefix}"
+        listed.coalesce(1).write.parquet(f"{self.root}/{name}")
+        gone = self.old.join(self.kept.select("file"), "file", "left_anti").select("file", "directory").collect()
+        folders = {r.file.rsplit("/", 1)[0] for r in gone if r.directory is not None}
+        if folders:
+            live = spark.read.schema(LISTED).parquet(f"{self.root}/{name}")
+            live = live.select(F.regexp_replace("file", "/[^/]*$", "").alias("folder")).distinct()
+            folders -= {r.folder for r in live.toLocalIterator()}
+        old_list, self.now["files"] = self.now["files"], name
+        replace_text(spark, f"{self.root}/{CURRENT}", json.dumps(self.now, ensure_ascii=False))
+        if self.now["card"]:
+            replace_text(spark, f"{self.root}/{MANIFEST}", json.dumps(self.now["card"], indent=2, ensure_ascii=False))
+        delete_all(spark, [f"{self.root}/{r.file}" for r in gone])
+        delete_all(spark, [f"{self.root}/{f}" for f in sorted(folders)])
+        if old_list:
+            delete(spark, f"{self.root}/{old_list}")
+
+
+def read_current(spark: SparkSession, mart_dir: str) -> dict | None:
+    """What the mart holds at the moment; nothing if it was written without a list of files."""
+    text = read_text(spark, f"{mart_dir.rstrip('/')}/{CURRENT}")
+    return json.loads(text) if text else None
+
+
+def read_files(spark: SparkSession, mart_dir: str, current: dict, part: str | None = None) -> DataFrame:
+    """The files that count, with ids, rows and bytes."""
+    files = spark.read.schema(LISTED).parquet(f"{mart_dir.rstrip('/')}/{current['files']}")
+    return files.where(F.col("part") == part) if part else files
+
+
+def vacuum(spark: SparkSession, config: MartConfig) -> int:
+    """Delete what changes that were never finished have left in a mart; returns the number of files."""
+    root = config.output_dir.rstrip("/")
+    current = read_current(spark, root)
+    if current is None:
+        return 0
+    parts = [f"{root}/{p}" for p in (METADATA, SIGNALS, QUARANTINE)]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*")
+    found = files.load(existing(spark, parts)).select(F.col("_metadata.file_path").alias("path"))
+    relative = F.regexp_extract("path", f"/((?:{METADATA}|{SIGNALS}|{QUARANTINE})/.*)$", 1)
+    stray = found.withColumn("file", relative).join(read_files(spark, root, current), "file", "left_anti")
+    paths = [f"{root}/{r.file}" for r in stray.select("file").toLocalIterator()]
+    delete_all(spark, paths)
+    return len(paths)
 
 
 def write_metadata(table: DataFrame, config: MartConfig) -> str:
@@ -22,10 +142,14 @@ def write_metadata(table: DataFrame, config: MartConfig) -> str:
 
     Range-partitioned files keep it readable by id; a small table ends up in one file.
     """
-    path = f"{config.output_dir}/{METADATA}"
-    ordered = table.orderBy("shot_id") if "shot_id" in table.columns else table
-    ordered.write.mode("overwrite").option("compression", config.compression).parquet(path)
-    return path
+    change = MartChange(table.sparkSession, config)
+    _add_metadata(change, table)
+    change.commit()
+    return f"{config.output_dir}/{METADATA}"
+
+
+def _add_metadata(change: MartChange, table: DataFrame) -> None:
+    change.write(METADATA, table.orderBy("shot_id") if "shot_id" in table.columns else table)
 
 
 def write_signals(signals: DataFrame, config: MartConfig, index: str | None = None) -> str:
@@ -36,8 +160,14 @@ def write_signals(signals: DataFrame, config: MartConfig, index: str | None = No
     ``index``, if there is one, else by time. ``overwrite`` replaces the whole tree; without it only
     the recordings being written are replaced, which needs a directory for each.
     """
-    path = f"{config.output_dir}/{SIGNALS}"
-    n = config.shots_per_directory
+    change = MartChange(signals.sparkSession, config)
+    _add_signals(change, signals, index)
+    change.commit()
+    return f"{config.output_dir}/{SIGNALS}"
+
+
+def _add_signals(change: MartChange, signals: DataFrame, index: str | None) -> None:
+    config, n = change.config, change.config.shots_per_directory
     if n > 1 and not config.overwrite:
         raise ValueError("replacing single recordings needs one directory per recording")
     if index:
@@ -50,17 +180,13 @@ def write_signals(signals: DataFrame, config: MartConfig, index: str | None = No
         directory = f"{SHARED_DIRECTORY}{n}"
         signals = signals.withColumn(directory, F.expr(f"shot_id div {n}"))
     tasks = int(signals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (
+    dealt = (
         signals.repartition(tasks, directory, *blocks)
         .sortWithinPartitions(*dict.fromkeys([directory, "shot_id", TIME_COLUMN]))
         .drop(*helpers)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if config.overwrite else "dynamic")
-        .option("compression", config.compression)
-        .partitionBy(directory)
-        .parquet(path)
     )
-    return path
+    change.write(SIGNALS, dealt, directory, keep=not config.overwrite)
+    change.now["layout"] = {"directory": directory, "span": n, "schema": json.loads(dealt.schema.json())}
 
 
 def manifest_statistics(table: DataFrame) -> DataFrame:
@@ -131,13 +257,10 @@ def manifest(
 
 
 def write_manifest(table: DataFrame, config: MartConfig, created_at: str | None = None) -> str:
-    path = f"{config.output_dir}/{MANIFEST}"
-    card = manifest(table, created_at, shots_per_directory=config.shots_per_directory)
-    text = json.dumps(card, indent=2, ensure_ascii=False)
-    table.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(path)
-    return path
+    change = MartChange(table.sparkSession, config)
+    change.now["card"] = manifest(table, created_at, shots_per_directory=config.shots_per_directory)
+    change.commit()
+    return f"{config.output_dir}/{MANIFEST}"
 
 
 def write_mart(
@@ -146,13 +269,20 @@ def write_mart(
     config: MartConfig = MartConfig(),
     created_at: str | None = None,
     index: str | None = None,
+    errors: DataFrame | None = None,
 ) -> dict[str, str]:
-    """Write all three parts and return their paths.
+    """Write all parts and return their paths; readers see all of them change at once.
 
-    ``table`` is read several times; pass a written one if it is costly to compute.
+    ``table`` is read several times; pass a written one if it is costly to compute. ``errors``, if
+    there are any, are kept beside the mart.
     """
-    return {
-        "metadata_table": write_metadata(table, config),
-        "signals_dir": write_signals(signals, config, index),
-        "manifest": write_manifest(table, config, created_at),
-    }
+    change = MartChange(table.sparkSession, config)
+    with scratch_scope(table.sparkSession):
+        _add_metadata(change, table)
+        _add_signals(change, signals, index)
+        if errors is not None:
+            change.write(QUARANTINE, errors)
+        change.now["card"] = manifest(table, created_at, shots_per_directory=config.shots_per_directory)
+        change.commit()
+    names = {"metadata_table": METADATA, "signals_dir": SIGNALS, "manifest": MANIFEST}
+    return {key: f"{config.output_dir}/{name}" for key, name in names.items()}

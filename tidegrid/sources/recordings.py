@@ -10,12 +10,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegrid.files import arrow_path, arrow_reaches
 from tidegrid.functions.numeric import null_if_nan, round_exactly
 from tidegrid.session import broadcast_if_small, materialize
 from tidegrid.sources.json_text import read_records
@@ -233,18 +235,13 @@ def _shot_dir() -> Column:
 
 
 def _csv_headers(spark: SparkSession, path: str) -> DataFrame:
-    """Column names of every CSV file: the first line of its first block."""
-    text = _load(spark, lambda: spark.read.text(path), "value string")
-    first = (
-        text.where("_metadata.file_block_start = 0")
-        .select(
-            _shot_dir().alias("shot_dir"),
-            F.struct(F.monotonically_increasing_id().alias("at"), "value").alias("line"),
-        )
-        .where("trim(line.value) <> ''")
-        .groupBy("shot_dir")
-        .agg(F.min("line").alias("line"))
-    )
+    """Column names of every CSV file: its first line that is not blank.
+
+    Tasks open each file and stop behind that line, so that the rows are read only once, later on. In a store that
+    only Spark's readers can open, the first lines are found by a scan of the text.
+    """
+    lines = _first_lines(spark, path) if arrow_reaches(path) else _scanned_lines(spark, path)
+    first = lines.groupBy("shot_dir").agg(F.min(F.struct("file", "at", "value")).alias("line"))
     names = F.transform(
         F.split(F.regexp_replace("line.value", "^﻿|\r$", ""), ","),
         lambda c: F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"),
@@ -254,6 +251,53 @@ def _csv_headers(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The first line of every file; Spark lists the files and opens none of them."""
+    files = _load(spark, lambda: spark.read.format("binaryFile").load(path), "path string")
+    named = files.select(_shot_dir().alias("shot_dir"), F.col("_metadata.file_path").alias("file"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return named.repartition(tasks, "file").mapInArrow(_read_first_lines, "shot_dir string, file string, at bigint, value string")
+
+
+def _read_first_lines(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        lines = [_first_line(file) for file in batch.column(1).to_pylist()]
+        at = pa.array([0] * len(lines), pa.int64())
+        rows = pa.RecordBatch.from_arrays(
+            [*batch.columns, at, pa.array(lines, pa.string())], names=["shot_dir", "file", "at", "value"]
+        )
+        yield rows.filter(pa.array([line is not None for line in lines], pa.bool_()))
+
+
+def _first_line(file: str, block: int = 1 << 16) -> str | None:
+    """The first line of a file that is not blank, read block by block."""
+    store, name = arrow_path(unquote(file))
+    with store.open_input_stream(name, buffer_size=None) as source:
+        rest, more = b"", True
+        while more:
+            read = source.read(block)
+            rest, more = rest + read, bool(read)
+            lines = rest.splitlines(keepends=True)
+            whole = lines if not more else lines[:-1]
+            found = next((line for line in whole if line.strip()), None)
+            if found is not None:
+                return found.decode("utf-8", errors="replace").rstrip("\r\n")
+            rest = b"" if not lines or not more else lines[-1]
+    return None
+
+
+def _scanned_lines(spark: SparkSession, path: str) -> DataFrame:
+    text = _load(spark, lambda: spark.read.text(path), "value string")
+    return text.where("_metadata.file_block_start = 0").select(
+        _shot_dir().alias("shot_dir"),
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("at"),
+        "value",
+    ).where("trim(value) <> ''")
+
+
 def _json_records(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of every JSON file, as a map of texts.
 
