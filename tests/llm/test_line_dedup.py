@@ -8,7 +8,7 @@ from tidegrid.llm import line_dedup as L
 from tidegrid.llm import queries
 
 
-def brute(rows, share=0.3, least=3):
+def brute(rows, share=0.3, least=2):
     pages, having = Counter(), Counter()
     for host, lines in rows:
         pages[host] += 1
@@ -35,6 +35,10 @@ def test_kept_lines_equal_brute_force(spark):
     assert len(by) == len(rows)
     for i, kept in enumerate(brute(rows)):
         assert by[i].kept_lines == kept and by[i].n_lines == len(rows[i][1] or [])
+    named = L.drop_site_lines(docs, F.col("site"), "parts")
+    assert named.columns == got.columns and sorted(map(str, named.fillna("").collect())) == sorted(
+        str(r) for r in got.withColumn("parts", F.coalesce("parts", F.array())).fillna("").collect()
+    )
     assert L.drop_site_lines(docs.limit(0), F.col("site"), F.col("parts")).count() == 0
 
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidegrid.llm.mixing import mix_sources, source_targets, word_count
+from tidegrid.llm.mixing import by_length, mix_sources, source_targets, word_count
 
 
 def water(sizes, weights=(1, 2, 3), cap=3):
@@ -85,6 +85,33 @@ def test_inclusion_makes_documents_likelier(spark):
     assert any(2 * odd < even for even, odd in copies.values())
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_unequal_inclusion_meets_the_targets(spark, seed):
+    """Also where the likeliest documents come as often as they may."""
+    rng = random.Random(seed)
+    rows = [(i, rng.choice("aaabcd"), rng.choice([1, 4, 20, 90, 700]), rng.choice([0.5, 1.0, 2.0, 16.0])) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long, likes double")
+    by = {}
+    for r in mix_sources(docs, ["doc_id"], inclusion=F.col("likes"), seed=seed).collect():
+        by.setdefault(r.source, []).append(r)
+    targets = water({s: sum(r.size for r in g) for s, g in by.items()})
+    for source, group in by.items():
+        assert group[0].target == pytest.approx(targets[source])
+        assert abs(sum(r.copies * r.size for r in group) - targets[source]) <= max(0.005 * targets[source], 700)
+        low, high = 0.0, 1e9
+        for _ in range(200):
+            rate = (low + high) / 2
+            reached = sum(min(3, r.likes * rate) * r.size for r in group) >= targets[source]
+            low, high = (low, rate) if reached else (rate, high)
+        assert sum(int(min(3, r.likes * rate) + 1e-9) <= r.copies <= int(min(3, r.likes * rate) + 1) for r in group) >= len(group) - 3
+
+
+def test_usual_lengths_are_likelier(spark):
+    sizes = [1, 49, 50, 5_000, 5_001]
+    got = spark.createDataFrame([(s,) for s in sizes], "size long").select(by_length(F.col("size")).alias("odds")).collect()
+    assert [r.odds for r in got] == [1.0, 1.0, 2.0, 2.0, 1.0]
+
+
 def test_order_of_the_sample_is_pareto(spark):
     """With one source half of which is taken, those of the smallest u / (1 - u) * (1 - p) / p are in."""
     docs = spark.createDataFrame([(i, "a", 1) for i in range(300)] + [(1000 + i, "b", 1) for i in range(300)], "doc_id long, source string, size long")

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tidegrid.llm.ordering import wrapped
 from tidegrid.session import broadcast_if_small, materialize
 
-#: A line goes if it is on more than this share of the pages of its host, and on so many pages.
+#: A line goes if it is on more than this share of the pages of its host. A line of a single page repeats nothing.
 MAX_SHARE = 0.3
-MIN_PAGES = 3
+MIN_PAGES = 2
 
 
 def host_of(url: Column) -> Column:
@@ -43,7 +43,9 @@ def site_lines(pages: DataFrame, host: Column, lines: Column, max_share: float =
     return joined.where(F.col("pages") > F.lit(max_share) * F.col("host_pages"))
 
 
-def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_share: float = MAX_SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_site_lines(
+    pages: DataFrame, host: Column, lines: Column | str, max_share: float = MAX_SHARE, min_pages: int = MIN_PAGES
+) -> DataFrame:
     """``pages`` with ``host``, ``kept_lines`` and ``n_lines``: the lines that its host does not repeat.
 
     The share of a line is the number of pages of the host that have it, divided by all pages of the
@@ -52,22 +54,25 @@ def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_share: fl
     hosts are one host. Null lines count as no lines; a page without lines counts for its host.
     Each row is a page of its own, repeated or not. Columns named like the result's are replaced.
 
-    A host has at most (lines of a page) / ``max_share`` such lines on average, so they are kept in
+    Lines are worked out once and written beside the other columns; given by the name of a column, they are
+    written only once. A host has at most (lines of a page) / ``max_share`` such lines on average, so they are kept in
     one row for each host.
     """
+    own = lines if isinstance(lines, str) else None
     pages_in = pages.drop("host", "kept_lines", "n_lines")
-    rows = pages.select(wrapped(pages_in), host.alias("_host"), F.coalesce(lines, F.array().cast("array<string>")).alias("_lines"))
-    rows = materialize(rows, "lines")  # lines are worked out once
+    given = F.coalesce(F.col(f"`{own}`") if own else lines, F.array().cast("array<string>"))
+    rest = pages_in.drop(own) if own else pages_in
+    rows = pages.select(wrapped(rest), host.alias("_host"), given.alias("_lines"))
+    rows = materialize(rows, "lines")
     found = site_lines(rows, F.col("_host"), F.col("_lines"), max_share, min_pages)
     by_host = materialize(
         found.groupBy(F.col("host").alias("_of")).agg(F.collect_list("line_hash").alias("_drop")), "sitelines"
     )
     joined = rows.join(broadcast_if_small(by_host)[0], F.col("_host").eqNullSafe(F.col("_of")), "left")
     stays = F.filter("_lines", lambda x: ~F.array_contains(F.col("_drop"), F.unhex(F.md5(x))))
-    done = joined.select(
-        "_doc",
-        "_host",
-        F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(stays).alias("_kept"),
-        F.size("_lines").cast("long").alias("_n"),
+    kept = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(stays)
+    done = joined.select("_doc", "_host", "_lines", kept.alias("_kept"))
+    named = [F.col("_lines" if c == own else f"_doc.`{c}`").alias(c) for c in pages_in.columns]
+    return done.select(
+        *named, F.col("_host").alias("host"), F.col("_kept").alias("kept_lines"), F.size("_lines").cast("long").alias("n_lines")
     )
-    return done.select("_doc.*", F.col("_host").alias("host"), F.col("_kept").alias("kept_lines"), F.col("_n").alias("n_lines"))

@@ -14,6 +14,10 @@ MAX_COPIES = 3
 SEED = 20240229
 #: Filling ends when what is missing is below this share of a source's target.
 TOLERANCE = 0.0005
+#: Inclusion is rounded to powers of two with exponents in steps of one over this.
+ODDS_STEPS = 8
+#: Words of documents that are twice as likely to be in a mix as shorter or longer ones.
+USUAL_WORDS = (50, 5_000)
 
 
 def word_count(text: Column) -> Column:
@@ -21,6 +25,30 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def by_length(size: Column) -> Column:
+    """Inclusion measure: documents of a usual length are twice as likely as others."""
+    return F.when(size.between(*USUAL_WORDS), 2.0).otherwise(1.0)
+
+
+def inclusion_rates(classes: DataFrame, max_copies: int) -> DataFrame:
+    """``(source, source_size, target, rate)`` from ``(source, source_size, target, odds, size)``, one row a source and odds.
+
+    A document is to come ``least(max_copies, odds * rate)`` times, and these times its size are to add up to the target.
+    The odds that reach the limit are the highest of a source; they are found by running sums.
+    """
+    falling = Window.partitionBy("source").orderBy(F.desc("odds"))
+    above = falling.rowsBetween(Window.unboundedPreceding, -1)
+    others = falling.rowsBetween(0, Window.unboundedFollowing)
+    left = F.col("target") - max_copies * F.coalesce(F.sum("size").over(above), F.lit(0))
+    rate = left / F.nullif(F.sum(F.col("odds") * F.col("size")).over(others), F.lit(0.0))
+    free = F.col("odds") * F.col("rate") <= max_copies
+    rated = classes.withColumn("rate", rate)
+    level = F.coalesce(F.max_by(F.when(free, F.col("rate")), F.when(free, F.col("odds"))), F.max(F.lit(max_copies) / F.col("odds")))
+    return rated.groupBy("source").agg(
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.coalesce(level, F.lit(0.0)).alias("rate")
+    )
+
+
 def source_targets(
     sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES
 ) -> DataFrame:
@@ -70,8 +98,9 @@ def mix_sources(
 ) -> DataFrame:
     """``docs`` with ``source_size``, ``target`` (of the source) and ``copies`` that the mix takes.
 
-    Every document should come ``e = inclusion * target / sum(inclusion * size)`` times, at most
-    ``max_copies`` times. The whole part of ``e`` is certain. For the rest, the documents of a source
+    Every document should come ``e = inclusion * rate`` times, at most ``max_copies`` times, with the
+    ``rate`` of its source by which the sum of ``e * size`` is the target. Inclusion, a measure of any scale, is
+    rounded to steps of about a twelfth, so that a source has few different ones. The whole part of ``e`` is certain. For the rest, the documents of a source
     are ranked by ``(u / (1 - u)) / (p / (1 - p))``, where ``p`` is the part of ``e`` that is
     left and ``u`` a random number made from ``keys`` and ``seed``; the first of them are taken
     as long as the source stays within its target. What is then missing is filled in the same order
@@ -85,19 +114,27 @@ def mix_sources(
     """
     docs = docs.drop("source_size", "target", "copies")
     size = F.coalesce(F.col(size_col), F.lit(0)).cast("long")
-    odds = F.lit(1.0) if inclusion is None else F.greatest(F.coalesce(inclusion.cast("double"), F.lit(0.0)), F.lit(0.0))
+    exact = F.lit(1.0) if inclusion is None else F.coalesce(inclusion.cast("double"), F.lit(0.0))
+    step = F.round(F.log2(exact) * ODDS_STEPS) / ODDS_STEPS
+    odds = F.when(exact > 0, F.pow(F.lit(2.0), step)).otherwise(0.0)
     h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
     rows = docs.select(
         wrapped(docs), F.col(source_col).alias("_s"), size.alias("_size"), odds.alias("_odds"),
         ((F.shiftrightunsigned(h, 11) + 0.5) / float(1 << 53)).alias("_u"), h.alias("_h"),
     )
-    sizes = rows.select(F.col("_s").alias("source"), F.col("_size").alias("size"))
-    targets = source_targets(sizes, weights, max_copies)
-    wanted = rows.groupBy(F.col("_s").alias("_of")).agg(F.sum(F.col("_odds") * F.col("_size")).alias("_wanted"))
-    plan = materialize(targets.join(wanted, F.col("source").eqNullSafe(F.col("_of"))).select(
-        "_of", "source_size", "target",
-        F.coalesce(F.col("target") / F.nullif("_wanted", F.lit(0.0)), F.lit(0.0)).alias("_rate"),
-    ), "targets")
+    rows = materialize(rows, "sized")  # sizes are worked out once
+    classes = materialize(
+        rows.groupBy(F.col("_s").alias("source"), F.col("_odds").alias("odds")).agg(F.sum("_size").alias("size")), "classes"
+    )
+    targets = source_targets(classes.select("source", "size"), weights, max_copies)
+    of = F.col("source").eqNullSafe(F.col("_source"))
+    sized = classes.withColumnRenamed("source", "_source").join(targets, of).drop("_source").where("odds > 0")
+    plan = materialize(
+        targets.select(F.col("source").alias("_of"), "source_size", "target").join(
+            inclusion_rates(sized, max_copies).select("source", F.col("rate").alias("_rate")),
+            F.col("_of").eqNullSafe(F.col("source")), "left",
+        ).drop("source").na.fill(0.0, ["_rate"]), "targets",
+    )
     expected = F.least(F.lit(float(max_copies)), F.col("_odds") * F.col("_rate"))
     planned = (
         rows.join(broadcast_if_small(plan)[0], F.col("_s").eqNullSafe(F.col("_of")))

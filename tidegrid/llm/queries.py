@@ -48,7 +48,7 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "source", mixing.word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash")
     )
-    mixed = mixing.mix_sources(docs, ["doc_id", "text_hash"])
+    mixed = mixing.mix_sources(docs, ["doc_id", "text_hash"], inclusion=mixing.by_length(F.col("size")))
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
@@ -79,7 +79,7 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(
         "page_id", line_dedup.host_of(F.col("url")).alias("site"), line_dedup.html_lines(F.col("html")).alias("lines")
     )
-    cleaned = line_dedup.drop_site_lines(pages, F.col("site"), F.col("lines"))
+    cleaned = line_dedup.drop_site_lines(pages, F.col("site"), "lines")
     return cleaned.select(
         "page_id", "host", "n_lines", F.size("kept_lines").cast("long").alias("n_kept"),
         F.md5(F.array_join("kept_lines", "\n")).alias("kept_md5"),
@@ -106,7 +106,7 @@ c AS (
   GROUP BY host, line),
 b AS (
   SELECT c.host, list(line) AS dropped FROM c JOIN h USING (host)
-  WHERE c.n >= 3 AND c.n > 0.3 * h.n GROUP BY c.host)
+  WHERE c.n >= 2 AND c.n > 0.3 * h.n GROUP BY c.host)
 SELECT page_id, l.host AS host, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(kept) AS BIGINT) AS n_kept,
   md5(array_to_string(kept, chr(10))) AS kept_md5
 FROM (SELECT l.*, CASE WHEN dropped IS NULL THEN lines
