@@ -5,7 +5,7 @@ some tokens of the left one and some of the right one that cover the same bytes.
 of a group is linked to every right one. Over all documents each pair of ids has a count, the
 number of documents that hold it linked; the best partners of a left id are those of the highest count.
 
-Documents go through Arrow tables in blocks of about a megabyte of text; a longer one is a block of
+Documents go through Arrow tables in blocks of about half a megabyte of text; a longer one is a block of
 its own. Only what a block needs of the corpus-wide counts comes back to it: one number for each of its
 pairs, however often and in however many of its documents they are linked.
 """
@@ -31,7 +31,11 @@ from tidegrid.llm.units import UnitEncoder, together, units_at
 from tidegrid.session import materialize
 
 SPACE, MARK = 0x20, "▁"
-PAIR_BITS = 32
+#: Bits of an id in a pair of ids, and of a byte's place in a text.
+ID_BITS, END_BITS = 20, 32
+#: Bytes of text in a block, and characters of the units that a task remembers.
+BLOCK_BYTES = 1 << 19
+MEMO_CHARS = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -80,23 +84,39 @@ def _pieces(path: str) -> tuple[Callable, list[bytes]]:
 KINDS = {"byte_level": _byte_level, "pieces": _pieces}
 
 
+@dataclass(frozen=True)
+class Loaded:
+    """Encodes units, all of which begin with a space; the bytes of each id, their number, and the id as text."""
+
+    encode: Callable
+    spelled: pa.Array
+    sizes: pa.Array
+    names: pa.Array
+
+
 @lru_cache(maxsize=4)
-def load(side: Side) -> tuple[UnitEncoder, pa.Array, pa.Array, pa.Array]:
-    """Encoder, bytes of each id, their number, and the id as text; once in a process."""
+def load(side: Side) -> Loaded:
+    """A tokenizer, read once in a process."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     encode, spelled = KINDS[side.kind](side.path)
-    sizes = pa.array([len(b) for b in spelled], pa.int64())
-    lengths = sizes.to_numpy()
+    if len(spelled) >= 1 << ID_BITS:
+        raise ValueError(f"vocabulary too large: {side.path}")
+    lengths = np.array([len(b) for b in spelled])
 
     def cut(ids: np.ndarray, units: list[str]) -> np.ndarray | None:
-        """Where the bytes that the ids spell reach the end of each unit; all units begin with a space."""
+        """Where the bytes that the ids spell reach the end of each unit."""
         ends, last = np.cumsum(lengths[ids]), np.cumsum([len(u) if u.isascii() else len(u.encode()) for u in units])
         at = np.searchsorted(ends, last)
         exact = len(ends) and ends[-1] == last[-1] and (ends[at] == last).all()
         return at + 1 if exact else None
 
-    encoder = UnitEncoder(together(encode, cut))
-    return encoder, pa.array(spelled, pa.large_binary()), sizes, pa.array([str(i) for i in range(len(spelled))])
+    names = pa.array([str(i) for i in range(len(spelled))])
+    return Loaded(together(encode, cut), pa.array(spelled, pa.large_binary()), pa.array(lengths), names)
+
+
+@lru_cache(maxsize=2)
+def encoder_of(left: Side, right: Side) -> UnitEncoder:
+    return UnitEncoder(load(left).encode, load(right).encode, memo_chars=MEMO_CHARS)
 
 
 def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -184,10 +204,12 @@ def token_table(lists: pa.ListArray, sizes: pa.Array) -> pa.Table:
 
 def common_ends(left: pa.Table, right: pa.Table) -> pa.Table:
     """Places where a token of both sides ends in the same document at the same byte, in order."""
-    keys = ["doc", "end"]
-    a = left.select([*keys, "at"]).rename_columns([*keys, "left"])
-    b = right.select([*keys, "at"]).rename_columns([*keys, "right"])
-    return a.join(b, keys, join_type="inner", use_threads=False).sort_by("left").combine_chunks()
+    sides = []
+    for table, name in ((left, "left"), (right, "right")):
+        key = pc.bit_wise_or(pc.shift_left(table["doc"].cast(pa.int64()), END_BITS), table["end"])
+        sides.append(pa.table({"key": key, name: table["at"]}))
+    both = sides[0].join(sides[1], "key", join_type="inner", use_threads=False).sort_by("left").combine_chunks()
+    return both.append_column("doc", pc.shift_right(both["key"], END_BITS))
 
 
 def _grouped(tokens: pa.Table, ends: pa.ChunkedArray) -> pa.Table:
@@ -195,21 +217,23 @@ def _grouped(tokens: pa.Table, ends: pa.ChunkedArray) -> pa.Table:
     is_end = np.zeros(tokens.num_rows, dtype=np.int64)
     is_end[ends.to_numpy()] = 1
     group = pc.subtract(pc.cumulative_sum(pa.array(is_end)), pa.array(is_end))
-    return (
-        pa.table({"group": group, "id": tokens["id"]})
-        .group_by(["group", "id"], use_threads=False)
-        .aggregate([([], "count_all")])
-    )
+    key = pc.bit_wise_or(pc.shift_left(group, ID_BITS), tokens["id"].cast(pa.int64()))
+    counted = pa.table({"key": key}).group_by("key", use_threads=False).aggregate([([], "count_all")])
+    group, ids = pc.shift_right(counted["key"], ID_BITS), pc.bit_wise_and(counted["key"], (1 << ID_BITS) - 1)
+    return pa.table({"group": group, "id": ids, "n": counted["count_all"]})
 
 
 def links_of(left: pa.Table, right: pa.Table, ends: pa.Table) -> pa.Table:
-    """``(doc, pair, n)``: pairs of ids linked in a document and the number of their links."""
+    """``(doc, pair, n)``, by document: pairs of ids linked in a document and the number of their links."""
     a, b = _grouped(left, ends["left"]), _grouped(right, ends["right"])
     both = a.join(b, "group", join_type="inner", right_suffix="_right", use_threads=False)
-    pair = pc.bit_wise_or(pc.shift_left(both["id"].cast(pa.int64()), PAIR_BITS), both["id_right"].cast(pa.int64()))
-    n = pc.multiply(both["count_all"], both["count_all_right"])
-    rows = pa.table({"doc": ends["doc"].take(both["group"]), "pair": pair, "n": n})
-    return rows.group_by(["doc", "pair"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["doc", "pair", "n"])
+    pair = pc.bit_wise_or(pc.shift_left(both["id"], ID_BITS), both["id_right"])
+    doc = ends["doc"].take(both["group"])
+    key = pc.bit_wise_or(pc.shift_left(doc, 2 * ID_BITS), pair)
+    rows = pa.table({"key": key, "n": pc.multiply(both["n"], both["n_right"])})
+    summed = rows.group_by("key", use_threads=False).aggregate([("n", "sum")]).sort_by("key").combine_chunks()
+    doc, pair = pc.shift_right(summed["key"], 2 * ID_BITS), pc.bit_wise_and(summed["key"], (1 << 2 * ID_BITS) - 1)
+    return pa.table({"doc": doc, "pair": pair, "n": summed["n_sum"]})
 
 
 def _joined(parts: pa.Array, bounds: np.ndarray, by: str) -> pa.Array:
@@ -232,23 +256,21 @@ def align_slab(data: np.ndarray, offsets: np.ndarray, left: Side, right: Side) -
     data, offsets = with_space(data, offsets)
     starts = unit_starts(data, offsets)
     coded, bounds = units_at(data, starts).dictionary_encode(), np.searchsorted(starts, offsets)
-    listed, units = [], coded.dictionary.to_pylist()
-    for encoder, spelled, _, _ in sides:
-        distinct = encoder.ids(units)
-        listed.append((distinct, _lists(coded, distinct, bounds), spelled))
+    found = encoder_of(left, right).ids(coded.dictionary.to_pylist())
+    listed = [(distinct, _lists(coded, distinct, bounds), side.spelled) for distinct, side in zip(found, sides)]
     valid = _valid(coded, bounds, units_at(data, offsets[:-1]), listed)
-    emptied = []
-    for (_, rows, _), (_, _, sizes, _) in zip(listed, sides):
+    tables = []
+    for (_, rows, _), side in zip(listed, sides):
         if not valid.all():
             rows = pc.if_else(pa.array(valid), rows, pa.scalar([], rows.type))
-        emptied.append(token_table(rows, sizes))
-    a, b = emptied
+        tables.append(token_table(rows, side.sizes))
+    a, b = tables
     ends, rows = common_ends(a, b), len(offsets) - 1
     links = links_of(a, b, ends)
     per_doc = {
         "n_a": np.bincount(a["doc"], minlength=rows), "n_b": np.bincount(b["doc"], minlength=rows),
         "n_groups": np.bincount(ends["doc"], minlength=rows), "n_links": sums_by(links["doc"], links["n"], rows),
-        "groups": written_groups(a, b, ends, [s[3] for s in sides], rows),
+        "groups": written_groups(a, b, ends, [s.names for s in sides], rows),
     }
     return per_doc, links
 
@@ -262,7 +284,7 @@ def sums_by(doc: pa.ChunkedArray, n: pa.ChunkedArray, rows: int) -> np.ndarray:
 
 
 DOC = "struct<id: {id}, n_a: bigint, n_b: bigint, n_groups: bigint, n_links: bigint, groups: string>"
-BLOCK = "docs array<{doc}>, link_doc array<int>, link_pair array<int>, link_n array<bigint>, pairs array<struct<a: int, b: int, n: bigint>>"
+BLOCK = "docs array<{doc}>, n_pairs array<int>, link_pair array<int>, link_n array<bigint>, pairs array<struct<a: int, b: int, n: bigint>>"
 
 
 def _row(values: list[pa.Array]) -> list[pa.Array]:
@@ -271,7 +293,7 @@ def _row(values: list[pa.Array]) -> list[pa.Array]:
 
 
 def _block(ids: pa.Array, per_doc: dict, links: pa.Table) -> pa.RecordBatch:
-    """A block as one row: its documents, their links by place in the list of pairs, and that list."""
+    """A block as one row: its documents, how many pairs each has, these by place in a list of pairs, and that list."""
     partial = links.group_by("pair", use_threads=False).aggregate([([], "count_all")]).combine_chunks()
     pair = partial["pair"].combine_chunks()
     of = pc.index_in(links["pair"].combine_chunks(), value_set=pair)
@@ -279,11 +301,12 @@ def _block(ids: pa.Array, per_doc: dict, links: pa.Table) -> pa.RecordBatch:
     docs = pa.StructArray.from_arrays(
         [ids, *[pa.array(per_doc[n].astype(np.int64)) for n in names], per_doc["groups"]], ["id", *names, "groups"]
     )
-    a = pc.shift_right(pair, PAIR_BITS).cast(pa.int32())
-    b = pc.bit_wise_and(pair, (1 << PAIR_BITS) - 1).cast(pa.int32())
+    a = pc.shift_right(pair, ID_BITS).cast(pa.int32())
+    b = pc.bit_wise_and(pair, (1 << ID_BITS) - 1).cast(pa.int32())
     pairs = pa.StructArray.from_arrays([a, b, partial["count_all"].combine_chunks()], ["a", "b", "n"])
-    cells = _row([docs, links["doc"].combine_chunks().cast(pa.int32()), of, links["n"].combine_chunks(), pairs])
-    return pa.RecordBatch.from_arrays(cells, names=["docs", "link_doc", "link_pair", "link_n", "pairs"])
+    sizes = pa.array(np.bincount(links["doc"], minlength=len(ids)).astype(np.int32))
+    cells = _row([docs, sizes, of, links["n"].combine_chunks(), pairs])
+    return pa.RecordBatch.from_arrays(cells, names=["docs", "n_pairs", "link_pair", "link_n", "pairs"])
 
 
 @dataclass
@@ -318,9 +341,10 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums up, for each document of a block, what the counts of its pairs say about its links."""
     for batch in batches:
         for i in range(batch.num_rows):
-            cells = ("docs", "link_doc", "link_pair", "link_n", "counts")
-            docs, doc, pair, n, counts = (batch.column(c)[i].values for c in cells)
+            cells = ("docs", "n_pairs", "link_pair", "link_n", "counts")
+            docs, sizes, pair, n, counts = (batch.column(c)[i].values for c in cells)
             rows = len(docs)
+            doc = pa.array(np.repeat(np.arange(rows), sizes))
             sums = [np.zeros(rows, dtype=np.int64)] * 2
             if len(pair):
                 best = pc.if_else(counts.field("best").take(pair), n, 0)
@@ -351,13 +375,15 @@ def align(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            for lo, hi in slabs(offsets):
+            for lo, hi in slabs(offsets, BLOCK_BYTES):
                 at = offsets[lo : hi + 1]
                 per_doc, links = align_slab(data[at[0] : at[-1]], at - at[0], left, right)
                 if digest:
                     hashed = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in per_doc["groups"].to_pylist()]
                     per_doc["groups"] = pa.array(hashed, pa.string())
                 yield _block(batch.column(0).slice(lo, hi - lo), per_doc, links)
+        encoder_of(left, right).forget()
+        pa.default_memory_pool().release_unused()
 
     made = rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
     blocks = materialize(made, "aligned")

@@ -122,7 +122,7 @@ def encode_texts(data: np.ndarray, offsets: np.ndarray, encoder: UnitEncoder, lo
         plain = lower_plain(plain)
     spaced, at = np.insert(plain, stops, 0x20), cuts + np.searchsorted(stops, cuts, "right")
     coded = units_at(spaced, at).dictionary_encode()
-    lists = encoder.ids(coded.dictionary.to_pylist())
+    (lists,) = encoder.ids(coded.dictionary.to_pylist())
     sizes = np.diff(lists.offsets.to_numpy())[coded.indices.to_numpy()]
     total = np.concatenate([[0], np.cumsum(sizes)])
     words_at = np.append(begins, len(plain))[firsts]

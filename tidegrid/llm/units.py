@@ -8,7 +8,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-#: A process forgets the units it knows when they have so many characters in all.
+#: By default, the units that are known are forgotten when they have so many characters in all.
 MEMO_CHARS = 8 << 20
 
 
@@ -37,7 +37,7 @@ def one_by_one(encode: Encode) -> Callable[[list[str]], Iterable[tuple[list[str]
 def together(
     encode: Encode,
     cut: Callable[[np.ndarray, list[str]], np.ndarray | None],
-    group: int = 64,
+    group: int = 256,
 ) -> Callable[[list[str]], Iterable[tuple[list[str], Lists]]]:
     """Encodes units in groups, each as one string, which takes less time than as many short ones.
 
@@ -56,43 +56,49 @@ def together(
 
 
 class UnitEncoder:
-    """The ids of units; what ``encode`` gave lately is remembered.
+    """The ids of units by one or several tokenizers; what was found lately is remembered.
 
-    ``encode`` gives the ids of each of many strings, in parts of any size and in any order. The ids of
-    remembered units stand one after another in one array, so that those of a text are gathered by array
-    operations, not one by one.
+    Each of ``encoders`` gives the ids of many strings, in parts of any size; the order of the strings is
+    free but the same for all. The ids of remembered units stand one after another in one array for each tokenizer, so
+    that those of a text are gathered by array operations, not one by one.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[tuple[list[str], Lists]]]):
-        self.encode = encode
-        self._forget()
+    def __init__(self, *encoders: Callable[[list[str]], Iterable[tuple[list[str], Lists]]], memo_chars: int = MEMO_CHARS):
+        self.encoders, self.memo_chars = encoders, memo_chars
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self._memo: dict[str, int] = {}
         self._chars = 0
-        self._ids = np.zeros(0, dtype=np.int32)
-        self._ends = np.zeros(1, dtype=np.int64)
+        self._ids = [np.zeros(0, dtype=np.int32)] * len(self.encoders)
+        self._ends = [np.zeros(1, dtype=np.int64)] * len(self.encoders)
 
     def _learn(self, texts: list[str]) -> None:
-        ids, sizes = [self._ids], []
-        for units, (found, counts) in self.encode(texts):
-            first = len(self._memo)
-            self._memo.update(zip(units, range(first, first + len(units))))
-            ids.append(found)
-            sizes.append(counts)
+        for side, encode in enumerate(self.encoders):
+            ids, sizes, order = [self._ids[side]], [], []
+            for units, (found, counts) in encode(texts):
+                order += units
+                ids.append(found)
+                sizes.append(counts)
+            self._ids[side] = np.concatenate(ids)
+            ends = self._ends[side]
+            self._ends[side] = np.concatenate([ends, ends[-1] + np.cumsum(np.concatenate(sizes))])
+        first = len(self._memo)
+        self._memo.update(zip(order, range(first, first + len(order))))
         self._chars += sum(map(len, texts))
-        self._ids = np.concatenate(ids)
-        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(np.concatenate(sizes))])
 
-    def ids(self, units: list[str]) -> pa.ListArray:
-        """The ids of each of the strings (no two alike), one list a string."""
-        if self._chars > MEMO_CHARS:
-            self._forget()
+    def ids(self, units: list[str]) -> list[pa.ListArray]:
+        """The ids of each of the strings (no two alike), one list a string, for each tokenizer."""
+        if self._chars > self.memo_chars:
+            self.forget()
         at = np.fromiter((self._memo.get(u, -1) for u in units), dtype=np.int64, count=len(units))
         new = np.flatnonzero(at < 0)
         if len(new):
             fresh = [units[i] for i in new.tolist()]
             self._learn(fresh)
             at[new] = [self._memo[u] for u in fresh]
-        known = pa.ListArray.from_arrays(pa.array(self._ends, pa.int32()), pa.array(self._ids))
-        return known.take(pa.array(at))
+        places = pa.array(at)
+        return [
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)).take(places)
+            for ends, ids in zip(self._ends, self._ids)
+        ]
