@@ -12,7 +12,7 @@ from tests.oracle import over_series
 from tidegrid.config import CleaningConfig
 from tidegrid.operators import series
 from tidegrid.operators.clean import clean_series
-from tidegrid.operators.impute import gap_islands, impute_short_gaps
+from tidegrid.operators.impute import gap_islands, impute_short_gaps, merge_runs
 from tidegrid.operators.outliers import detect_outliers
 
 ENGINES = ["sql", "arrow"]
@@ -189,3 +189,25 @@ def test_row_order_queries_cut_series_into_small_blocks(spark, monkeypatch):
         assert sorted(r.row_index for r in query(spark, "").collect()) == list(range(4000))
         rows, path = cut.pop()
         assert rows.select(*path).distinct().count() >= 30
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_runs_are_merged_over_blocks_of_every_size(spark, seed):
+    """Blocks of 4 rows, then of 12, 36 and the whole series."""
+    rng = np.random.default_rng(seed)
+    parts, want = [], []
+    for sid in range(6):
+        missing = rng.random(400) < (0.3, 0.9, 0.99, 1.0, 0.0, 0.7)[sid]
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], missing.astype(int), [0]])))
+        for start, end in edges.reshape(-1, 2):
+            want.append((sid, int(start), int(end) - 1))
+            cuts = [start, *[b for b in range(4 * (start // 4) + 4, end, 4)], end]
+            parts += [(sid, int(a), int(b) - 1) for a, b in zip(cuts, cuts[1:])]
+    runs = spark.createDataFrame(parts, "sid long, gap_start long, gap_end long").repartition(3)
+    got = merge_runs(runs, ["sid"], 4, merged=3)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_a_dead_series_of_a_billion_rows_is_one_gap(spark):
+    blocks = spark.range(61_036).selectExpr("1 AS sid", "id * 16384 AS gap_start", "least(id * 16384 + 16383, 999999999) AS gap_end")
+    assert [tuple(r) for r in merge_runs(blocks, ["sid"], 16_384, merged=64).collect()] == [(1, 0, 999_999_999)]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from registered.inputs import HZ, SIGNALS
 from registered.sql import RESAMPLED
 from tests.oracle import over_series
-from tidegrid.operators.resample import resample_to_grid
+from tidegrid.operators.resample import BLOCK_RANGE, grid_segments, resample_to_grid
 from tidegrid.operators.series import split_series, with_row_index
 
 
@@ -166,3 +166,15 @@ def test_row_index_does_not_depend_on_splitting(spark, kind, values):
         for n in (250_000, 20)
     ]
     assert indices[0] == indices[1]
+
+
+def test_a_hole_of_a_billion_points_is_named_in_short_arrays(spark):
+    rows = spark.createDataFrame([(1, 0.0, 1.0), (1, 1e6, 2.0)], "sid long, t double, a double")
+    segments = grid_segments(rows, ["sid"], "t", ["a"], 1000.0, halo=200)
+    got = segments.agg(F.count("*"), F.min("_lo"), F.max("_hi"), F.sum(F.col("_hi") - F.col("_lo") + 1), F.count_distinct("_b")).first()
+    blocks = 1_000_000_001 // 16_384 + 1
+    assert got[1] == 0 and got[2] == 1_000_000_000 and got[4] == blocks
+    assert got[0] == blocks + 1  # the last row stands in the last block and its halo
+    assert 1_000_000_001 + 2 * 200 * (blocks - 1) == got[3]
+    plan = segments._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode(sequence(") == 2 and str(BLOCK_RANGE) in plan

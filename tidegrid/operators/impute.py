@@ -18,6 +18,9 @@ from tidegrid.operators.series import (
     with_row_index,
 )
 
+# Blocks whose edges are looked at together.
+MERGED = 4096
+
 
 def gap_islands(
     df: DataFrame,
@@ -30,8 +33,9 @@ def gap_islands(
 ) -> DataFrame:
     """One row per run of missing values: ``gap_start``, ``gap_end``, ``gap_rows``, ``is_short``.
 
-    Runs are found inside blocks of row numbers; only those that touch a block edge are merged
-    along the series.
+    Runs are found inside blocks of row numbers. Those that touch the edge of a block are then put together in
+    ever larger blocks, each of ``MERGED`` of the ones before, so that no task sees more of a
+    series than that many edges, however long the series or a run in it is.
     """
     indexed = with_row_index(clean_doubles(df, [value]), keys, order, split_rows=split_rows)
     missing = indexed.where(F.col(value).isNull()).withColumn("_b", F.floor(F.col("_i") / block_rows))
@@ -41,23 +45,29 @@ def gap_islands(
         .groupBy(*keys, "_b", "_run")
         .agg(F.min("_i").alias("gap_start"), F.max("_i").alias("gap_end"))
     )
-    at_edge = (F.col("gap_start") % block_rows == 0) | ((F.col("gap_end") + 1) % block_rows == 0)
-    along = Window.partitionBy(*keys).orderBy("gap_start")
-    touching = F.col("gap_start") == F.lag("gap_end").over(along) + 1
-    merged = (
-        runs.where(at_edge)
-        .withColumn("_new", F.when(touching, 0).otherwise(1))
-        .withColumn("_gap", F.sum("_new").over(along))
-        .groupBy(*keys, "_gap")
-        .agg(F.min("gap_start").alias("gap_start"), F.max("gap_end").alias("gap_end"))
-    )
-    whole = runs.where(~at_edge).select(*keys, "gap_start", "gap_end")
+    whole = merge_runs(runs.select(*keys, "gap_start", "gap_end"), keys, block_rows)
     rows = F.col("gap_end") - F.col("gap_start") + 1
-    return (
-        whole.unionByName(merged.drop("_gap"))
-        .withColumn("gap_rows", rows)
-        .withColumn("is_short", F.col("gap_rows") <= max_gap)
-    )
+    return whole.withColumn("gap_rows", rows).withColumn("is_short", F.col("gap_rows") <= max_gap)
+
+
+def merge_runs(runs: DataFrame, keys: Sequence[str], block_rows: int, merged: int = MERGED) -> DataFrame:
+    """Join runs that follow one another; none goes over the edge of a block of ``block_rows`` rows.
+
+    A run that ends inside its block is done and stays in a partition of its own.
+    """
+    size = block_rows
+    for larger in (size * merged, size * merged**2, None):
+        open_at_edge = (F.col("gap_start") % size == 0) | ((F.col("gap_end") + 1) % size == 0)
+        block = F.floor(F.col("gap_start") / larger) if larger else F.lit(0).cast("long")
+        runs = runs.withColumn("_in", block).withColumn("_done", F.when(~open_at_edge, F.col("gap_start")))
+        along = Window.partitionBy(*keys, "_in", "_done").orderBy("gap_start")
+        touching = F.col("gap_start") == F.lag("gap_end").over(along) + 1
+        numbered = runs.withColumn("_new", F.when(touching, 0).otherwise(1)).withColumn("_gap", F.sum("_new").over(along))
+        runs = numbered.groupBy(*keys, "_in", "_done", "_gap").agg(
+            F.min("gap_start").alias("gap_start"), F.max("gap_end").alias("gap_end")
+        ).select(*keys, "gap_start", "gap_end")
+        size = larger
+    return runs
 
 
 def impute_short_gaps(

@@ -11,6 +11,9 @@ from tidegrid.config import GRID_BLOCK_ROWS, SPLIT_ROWS
 from tidegrid.functions.numeric import clean_doubles
 from tidegrid.operators.series import ALL_ROWS, over, repartition_blocks, split_series
 
+# Blocks that one array of block numbers may name.
+BLOCK_RANGE = 1024
+
 
 def grid_bounds(df: DataFrame, keys: Sequence[str], time: str, hz: float) -> DataFrame:
     """First and last time of each series and its number of grid points."""
@@ -102,9 +105,15 @@ def grid_segments(
         "_k1",
         *carried,
         *[line for v in values for line in _line(v)],
-        f"explode(sequence(greatest((_k0 - {halo}) div {block_rows}, 0L),"
-        f" least((_k1 + {halo}) div {block_rows}, (_n - 1) div {block_rows}))) AS _b",
+        f"greatest((_k0 - {halo}) div {block_rows}, 0L) AS _b0",
+        f"least((_k1 + {halo}) div {block_rows}, (_n - 1) div {block_rows}) AS _b1",
     )
+    # A very long hole spans very many blocks: first ranges of blocks, then the blocks of a range.
+    segments = segments.selectExpr("*", f"explode(sequence(_b0 div {BLOCK_RANGE}, _b1 div {BLOCK_RANGE})) AS _range")
+    segments = segments.selectExpr(
+        "*",
+        f"explode(sequence(greatest(_b0, _range * {BLOCK_RANGE}), least(_b1, (_range + 1) * {BLOCK_RANGE} - 1))) AS _b",
+    ).drop("_b0", "_b1", "_range")
     segments = segments.selectExpr(
         "*",
         f"greatest(_k0, _b * {block_rows} - {halo}) AS _lo",
