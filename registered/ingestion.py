@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registered.inputs import CLEANING, ORIGIN_MICROS, _once, rounded, table
-from registered.sql import GRID, exactly
+from registered.inputs import CLEANING, ORIGIN_MICROS, _once, rounded, table, user_mart
+from registered.sql import GRID, META, exactly
 from tidegrid.config import MartConfig
+from tidegrid.files import replace_text
 from tidegrid.plans.build import build_mart
-from tidegrid.plans.ml import cross_validate, stratified_folds
+from tidegrid.plans.ml import cross_validate, rank_auc, stratified_folds
 from tidegrid.session import scratch_dir
 from tidegrid.sources import mart
 from tidegrid.sources import recordings as rec
@@ -20,12 +24,18 @@ LAYOUTS = [
     for unit in CURRENT_UNITS
     for naming in NAMING_SCHEMES
 ]
-_BROKEN = {
-    "shot_9001": ("current_unit: kA", "unknown schema canonical_kA"),
-    "shot_9002": ("file_format: hdf5", "unsupported file format: hdf5"),
-    "shot_9003": ("current_unit:", "a metadata key of the schema name has no value"),
-    "shot_9004": ("machine_config: B", "missing columns"),
-}
+# Recordings that can't be read: one for each nation of the first two regions, broken in turn in one of these ways.
+_BROKEN = [
+    ("current_unit: kA", "unknown schema canonical_kA"),
+    ("file_format: hdf5", "unsupported file format: hdf5"),
+    ("current_unit:", "a metadata key of the schema name has no value"),
+    ("machine_config: B", "missing columns"),
+]
+_FIRST_BROKEN = 9000
+_BROKEN_SQL = f"""broken AS (
+  SELECT printf('shot_%04d', {_FIRST_BROKEN} + n_nationkey) AS recording, CASE n_nationkey % {len(_BROKEN)} {
+    " ".join(f"WHEN {i} THEN '{error}'" for i, (_, error) in enumerate(_BROKEN))} END AS error
+  FROM nation WHERE n_regionkey < 2)"""
 
 
 def _measures():
@@ -74,14 +84,16 @@ def _raw_dir(spark, sf_dir):
             else:
                 mine.write.option("ignoreNullFields", False).json(f"{folder}/signals.json")
             _write_text(spark, f"{folder}/metadata.yaml", _metadata(shot, naming, unit, kind))
-        for name, (override, _) in _BROKEN.items():
-            key = override.split(":")[0]
-            lines = _metadata(int(name[5:]), "canonical", "MA", "csv").splitlines()
-            text = "\n".join(override if line.startswith(key) else line for line in lines)
-            _write_text(spark, f"{root}/{name}/metadata.yaml", text)
-            time, current = _measures()[:2]
-            few = events.select(time.alias("time_s"), current.alias("plasma_current"))
-            few.write.option("header", True).csv(f"{root}/{name}/signals.csv")
+        few = events.where("event_id < 4").select(*[m.alias(c) for m, c in zip(_measures()[:2], ("time_s", "plasma_current"))])
+        rows = "".join(f"{r.time_s},{r.plasma_current}\n" for r in few.collect())
+        nations = table(spark, sf_dir, "nation").where("n_regionkey < 2").select("n_nationkey").collect()
+        for key in sorted(r.n_nationkey for r in nations):
+            override, shot = _BROKEN[key % len(_BROKEN)][0], _FIRST_BROKEN + key
+            field = override.split(":")[0]
+            lines = _metadata(shot, "canonical", "MA", "csv").splitlines()
+            text = "\n".join(override if line.startswith(field) else line for line in lines)
+            replace_text(spark, f"{root}/shot_{shot:04d}/metadata.yaml", text)
+            replace_text(spark, f"{root}/shot_{shot:04d}/signals.csv", f"time_s,plasma_current\n{rows}")
 
     return _once(spark, sf_dir, "raw", write)
 
@@ -117,8 +129,10 @@ def quarantine(spark, sf_dir):
 
 
 def error_sample(spark, sf_dir):
-    sample = rec.error_sample(_load(spark, sf_dir).errors)
-    return sample.select(F.regexp_extract("shot_dir", "[^/]+$", 0).alias("recording"))
+    """The first errors by name, and how many there are."""
+    errors = _load(spark, sf_dir).errors
+    name = F.regexp_extract("shot_dir", "[^/]+$", 0).alias("recording")
+    return rec.error_sample(errors).select(name, F.lit(errors.count()).cast("long").alias("n_errors"))
 
 
 def usage(spark, sf_dir):
@@ -130,7 +144,17 @@ def summary(spark, sf_dir):
 
 
 def format_check(spark, sf_dir):
-    return rec.format_check(_load(spark, sf_dir).metadata)
+    """Whether the recordings of each machine, and all of them, come in one format."""
+    metadata = _load(spark, sf_dir).metadata
+    parts = [("all", metadata)] + [(m, metadata.where(F.col("machine_config") == m)) for m in ("M0", "M1")]
+    checked = [rec.format_check(of).select(F.lit(name).alias("machine"), "n_shots", "is_homogeneous") for name, of in parts]
+    return reduce(DataFrame.unionAll, checked).where("n_shots > 0")
+
+
+def previewed(spark, sf_dir):
+    """The first rows of the first recording, and its number of rows."""
+    rows, n = rec.preview(_load(spark, sf_dir), 7)
+    return rounded(rows.drop(*rec.SOURCE_ORDER)).withColumn("n_rows", F.lit(n).cast("long"))
 
 
 def folds(spark, sf_dir):
@@ -166,6 +190,20 @@ def forest_check(spark, sf_dir):
     return forest(spark, sf_dir).select("fold", "n_rows", "n_positive", (F.col("auc") > 0.8).alias("separates"))
 
 
+def mart_forest(spark, sf_dir):
+    """The event classifier on the mart's dimension table, cross-validated."""
+    dimension = mart.read_metadata(spark, user_mart(spark, sf_dir))
+    return cross_validate(dimension, "declared_disruption", "shot_id", trees=10)
+
+
+def mart_auc(spark, sf_dir):
+    """Rows, positives and exact AUC of each fold of the mart, the peak taken as score."""
+    dimension = mart.read_metadata(spark, user_mart(spark, sf_dir))
+    rows = stratified_folds(dimension, "declared_disruption", "shot_id")
+    found = rank_auc(rows, F.col("declared_disruption"), "plasma_current_max_MA", "fold")
+    return found.withColumn("auc", F.round("auc", 9))
+
+
 def one_recording(spark, sf_dir):
     """A single recording, loaded by its directory."""
     shot = rec.load_recording(spark, f"{_raw_dir(spark, sf_dir)}/shot_0007")
@@ -219,6 +257,9 @@ QUERIES = {
     "ml_stratified_folds": folds,
     "ml_rf_cv": forest,
     "ml_rf_cv_check": forest_check,
+    "ml_rf_mart": mart_forest,
+    "ml_mart_auc": mart_auc,
+    "ingest_preview": previewed,
 }
 
 _SHOTS = """layouts AS (
@@ -245,15 +286,24 @@ WHERE naming || '_' || unit IN ('raw_A', 'verbose_MA') GROUP BY shot_id""",
 ranked AS (SELECT shot_id, n_grid, row_number() OVER (ORDER BY shot_id) <= 3 AS in_sample FROM bounds)
 SELECT shot_id, n_grid AS n_points, n_grid AS n_samples_after_cleaning, in_sample, count(*) OVER () AS n_shots,
   CAST(sum(CASE WHEN in_sample THEN n_grid END) OVER () AS BIGINT) AS sample_points, TRUE AS has_size,
-  CAST({len(_BROKEN)} AS BIGINT) AS n_errors
+  (SELECT count(*) FROM nation WHERE n_regionkey < 2) AS n_errors
 FROM ranked""",
     "ingest_mixed_roundtrip": _ROUNDTRIP,
-    "ingest_quarantine": """SELECT printf('shot_%04d', user_id % 12) AS recording, count(*) AS n_rows,
-  CAST(NULL AS VARCHAR) AS error FROM events GROUP BY user_id % 12
-UNION ALL FROM (VALUES """
-    + ", ".join(f"('{name}', 0, '{error}')" for name, (_, error) in _BROKEN.items())
-    + ") v(recording, n_rows, error)",
-    "ingest_error_sample": "FROM (VALUES " + ", ".join(f"('{name}')" for name in _BROKEN) + ") v(recording)",
+    "ingest_quarantine": f"""WITH {_BROKEN_SQL}
+SELECT printf('shot_%04d', user_id % 12) AS recording, count(*) AS n_rows, CAST(NULL AS VARCHAR) AS error
+FROM events GROUP BY user_id % 12
+UNION ALL SELECT recording, 0, error FROM broken""",
+    "ingest_error_sample": f"""WITH {_BROKEN_SQL}
+SELECT recording, (SELECT count(*) FROM broken) AS n_errors FROM broken ORDER BY recording LIMIT 5""",
+    "ingest_preview": f"""SELECT *, (SELECT count(*) FROM events WHERE user_id % 12 = f.shot_id) AS n_rows
+FROM ({_ROUNDTRIP}) f WHERE shot_id = (SELECT min(user_id % 12) FROM events) ORDER BY time_s LIMIT 7""",
+    "ml_mart_auc": f"""WITH {META},
+folds AS (SELECT declared_disruption AS d, plasma_current_max_MA AS x, CAST((row_number() OVER (
+  PARTITION BY declared_disruption ORDER BY md5('42:' || shot_id), shot_id) - 1) % 5 AS INTEGER) AS fold FROM meta),
+ranked AS (SELECT *, rank() OVER (PARTITION BY fold ORDER BY x) + (count(*) OVER (PARTITION BY fold, x) - 1) / 2 AS place
+  FROM folds WHERE x IS NOT NULL),
+sums AS (SELECT fold, count(*) AS n, count(*) FILTER (d) AS p, sum(place) FILTER (d) AS s FROM ranked GROUP BY fold)
+SELECT fold, n AS n_rows, p AS n_positive, round((s - p * (p + 1) / 2) / nullif(p * (n - p), 0), 9) AS auc FROM sums""",
     "ingest_schema_usage": f"""WITH {_SHOTS}
 SELECT naming || '_' || unit AS schema_applied, count(*) AS n_shots FROM layouts GROUP BY ALL""",
     "ingest_dataset_summary": f"""WITH {_SHOTS}
@@ -263,7 +313,9 @@ SELECT CASE grouping(kind, unit, naming) WHEN 7 THEN 'total' WHEN 3 THEN 'file_f
        count(*) FILTER (shot_id % 5 = 0) AS n_disruptions,
        {exactly("(count(*) FILTER (shot_id % 5 = 0) / count(*))", 3)} AS disruption_rate
 FROM layouts GROUP BY GROUPING SETS ((), (kind), (unit), (naming))""",
-    "ingest_format_check": "SELECT count(DISTINCT user_id % 12) AS n_shots, FALSE AS is_homogeneous FROM events",
+    "ingest_format_check": """WITH shots AS (SELECT DISTINCT user_id % 12 AS s FROM events)
+SELECT machine, count(*) AS n_shots, count(DISTINCT CASE WHEN s % 2 = 1 THEN 2 ELSE CAST(s % 4 = 0 AS INTEGER) END) <= 1 AS is_homogeneous
+FROM (SELECT s, unnest(['all', 'M' || s % 2]) AS machine FROM shots) GROUP BY machine""",
     "ml_stratified_folds": """SELECT doc_id, quality, CAST((row_number() OVER (
   PARTITION BY quality ORDER BY md5('42:' || doc_id), doc_id) - 1) % 5 AS INTEGER) AS fold FROM labels""",
 }

@@ -203,6 +203,24 @@ def test_long_ids_in_comparison(spark, mart):
     assert [(r.shot_id, r.position) for r in rows][::100] == [(big + 4, 1), (big + 1, 2)]
 
 
+def test_auc_equals_counting_pairs(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"g": rng.integers(0, 4, 600), "x": rng.choice([0.0, -1e9, 0.1, 0.1000001, 3, 1e12], 600) * rng.integers(1, 9, 600)})
+    pdf["y"] = (rng.random(600) < 0.3) & (pdf.g != 2)
+    pdf.loc[pdf.g == 3, "x"] = 7.0
+    rows = [(int(r.g), float(r.x), bool(r.y)) for r in pdf.itertuples()] + [(0, None, True), (1, 5.0, None), (1, float("nan"), True)]
+    got = {r.g: r for r in ml.rank_auc(spark.createDataFrame(rows, "g int, x double, y boolean"), F.col("y"), "x", "g", steps=5).collect()}
+    for g, part in pdf.groupby("g"):
+        high, low = part.x[part.y].to_numpy(), part.x[~part.y].to_numpy()
+        assert (got[g].n_rows, got[g].n_positive) == (len(part), len(high))
+        if len(high):
+            wins = (high[:, None] > low).sum() + (high[:, None] == low).sum() / 2
+            assert got[g].auc == pytest.approx(wins / (len(high) * len(low)), abs=1e-12)
+        else:
+            assert got[g].auc is None
+    assert ml.cross_validate(spark.createDataFrame([], "y boolean, k long, a double"), "y", "k", ["a"]).count() == 0
+
+
 def test_folds_and_classifier(spark):
     rng = np.random.default_rng(0)
     pdf = pd.DataFrame({"shot_id": range(300), "y": rng.random(300) < 0.16})

@@ -142,9 +142,10 @@ def write_metadata(table: DataFrame, config: MartConfig) -> str:
 
     Range-partitioned files keep it readable by id; a small table ends up in one file.
     """
-    change = MartChange(table.sparkSession, config)
-    _add_metadata(change, table)
-    change.commit()
+    with scratch_scope(table.sparkSession):
+        change = MartChange(table.sparkSession, config)
+        _add_metadata(change, table)
+        change.commit()
     return f"{config.output_dir}/{METADATA}"
 
 
@@ -160,9 +161,10 @@ def write_signals(signals: DataFrame, config: MartConfig, index: str | None = No
     ``index``, if there is one, else by time. ``overwrite`` replaces the whole tree; without it only
     the recordings being written are replaced, which needs a directory for each.
     """
-    change = MartChange(signals.sparkSession, config)
-    _add_signals(change, signals, index)
-    change.commit()
+    with scratch_scope(signals.sparkSession):
+        change = MartChange(signals.sparkSession, config)
+        _add_signals(change, signals, index)
+        change.commit()
     return f"{config.output_dir}/{SIGNALS}"
 
 
@@ -257,9 +259,10 @@ def manifest(
 
 
 def write_manifest(table: DataFrame, config: MartConfig, created_at: str | None = None) -> str:
-    change = MartChange(table.sparkSession, config)
-    change.now["card"] = manifest(table, created_at, shots_per_directory=config.shots_per_directory)
-    change.commit()
+    with scratch_scope(table.sparkSession):
+        change = MartChange(table.sparkSession, config)
+        change.now["card"] = manifest(table, created_at, shots_per_directory=config.shots_per_directory)
+        change.commit()
     return f"{config.output_dir}/{MANIFEST}"
 
 
@@ -276,8 +279,8 @@ def write_mart(
     ``table`` is read several times; pass a written one if it is costly to compute. ``errors``, if
     there are any, are kept beside the mart.
     """
-    change = MartChange(table.sparkSession, config)
     with scratch_scope(table.sparkSession):
+        change = MartChange(table.sparkSession, config)
         _add_metadata(change, table)
         _add_signals(change, signals, index)
         if errors is not None:
