@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +29,28 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def with_place(docs: DataFrame) -> DataFrame:
+    """``docs`` as one column, and the file and row that each document is read from.
+
+    Rows of a table that is not read from Parquet are written first.
+    """
+    try:
+        place = docs.metadataColumn("_metadata")
+        return docs.select(wrapped(docs), place["file_path"].alias("_file"), place["row_index"].alias("_row"))
+    except AnalysisException:
+        return with_place(materialize(docs, "docs"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it."""
-    sized = docs.select(
-        wrapped(docs), "doc_id", "source", mixing.word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("hash")
+    """Every document as many times as the mix takes it. Only sizes and places are sorted, not the texts."""
+    placed, text = with_place(docs), F.col("_doc.text")
+    sized = placed.select(
+        "_file", "_row", "_doc.doc_id", "_doc.source", mixing.word_count(text).alias("size"), F.xxhash64(text).alias("hash")
     )
-    copies = mixing.mix_sources(sized, ["doc_id", "hash"]).where("copies > 0")
-    return copies.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_doc.*")
+    copies = mixing.mix_sources(sized, ["doc_id", "hash"], inclusion=mixing.by_length(F.col("size")))
+    taken = copies.where("copies > 0").select("_file", "_row", "copies")
+    times = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return placed.join(taken, ["_file", "_row"]).select("_doc", times).select("_doc.*")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
