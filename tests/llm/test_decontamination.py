@@ -124,6 +124,50 @@ def test_the_index_returns_all_within_the_radius():
     assert set(zip(window.tolist(), item.tolist(), distance.tolist(), strict=True)) == want
 
 
+def test_window_fingerprints_are_those_of_their_sets(monkeypatch):
+    rng = np.random.default_rng(5)
+    for spread in (3, 40, 10**6):
+        own = D.T.mix(rng.integers(0, spread, 300).astype(np.uint64))
+        seen = {}
+        items = D.Items([(0, "a b c d e f")], 5, 19, 4, 0.8)
+
+        def catch(prints, sizes):
+            seen["prints"] = prints
+            return np.zeros((3, 0), dtype=np.int64)
+
+        monkeypatch.setattr(items, "within_radius", catch)
+        for span in (1, 7, 60):
+            window = np.arange(20, 300 - span - 30, 3)
+            items._in_windows(own, D.earlier(own), window, span, 5, {})
+            assert seen["prints"].tolist() == [int(D.fingerprint(own[w : w + span])) for w in window]
+
+
+def test_results_come_through_the_fingerprints(monkeypatch):
+    """Without near fingerprints only items of many repeats are found."""
+    rng = random.Random(3)
+    plain = " ".join(f"w{rng.randrange(9999)}" for _ in range(60))
+    blank = "_ " * 50 + "x y z"
+    items = D.Items([(1, plain), (2, blank)], 5, D.RADIUS, D.BLOCKS, 0.8)
+    assert items.repeated.tolist() == [False, True]
+    data = np.frombuffer(f"{plain} and {blank}".encode(), dtype=np.uint8)
+    offsets = np.array([0, len(data)])
+    assert {m[1] for m in items.matches(data, offsets)} == {1, 2}
+    monkeypatch.setattr(items, "within_radius", lambda *_: np.zeros((3, 0), dtype=np.int64))
+    assert {m[1] for m in items.matches(data, offsets)} == {2}
+
+
+def test_few_are_beyond_the_radius():
+    """Windows at the least similarity: their distances follow the stated mean and deviation."""
+    rng = np.random.default_rng(8)
+    far = []
+    for n in (36, 90, 360):
+        for _ in range(1500):
+            shared = rng.integers(0, 2**63, n - n // 9).astype(np.uint64)
+            a, b = (np.concatenate([shared, rng.integers(0, 2**63, n // 9).astype(np.uint64)]) for _ in range(2))
+            far.append(int(D.fingerprint(D.T.mix(a)) ^ D.fingerprint(D.T.mix(b))).bit_count())
+    assert 9 < np.mean(far) < 10.5 and np.mean(np.array(far) > D.RADIUS) < 0.002
+
+
 def test_runs_of_equal_words_do_not_hide_a_long_item(spark):
     rng = random.Random(4)
 
