@@ -5,7 +5,7 @@ some tokens of the left one and some of the right one that cover the same bytes.
 of a group is linked to every right one. Over all documents each pair of ids has a count, the
 number of documents that hold it linked; the best partners of a left id are those of the highest count.
 
-Documents go through Arrow tables in blocks of about half a megabyte of text; a longer one is a block of
+Documents go through Arrow tables in blocks of about three quarters of a megabyte of text; a longer one is a block of
 its own. Only what a block needs of the corpus-wide counts comes back to it: one number for each of its
 pairs, however often and in however many of its documents they are linked.
 """
@@ -22,7 +22,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +33,10 @@ from tidegrid.session import materialize
 SPACE, MARK = 0x20, "▁"
 #: Bits of an id in a pair of ids, and of a byte's place in a text.
 ID_BITS, END_BITS = 20, 32
+#: Bits of a number of documents in what is sent back to a block for each of its pairs.
+COUNT_BITS = 36
 #: Bytes of text in a block, and characters of the units that a task remembers.
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 3 << 18
 MEMO_CHARS = 2 << 20
 
 
@@ -284,7 +286,7 @@ def sums_by(doc: pa.ChunkedArray, n: pa.ChunkedArray, rows: int) -> np.ndarray:
 
 
 DOC = "struct<id: {id}, n_a: bigint, n_b: bigint, n_groups: bigint, n_links: bigint, groups: string>"
-BLOCK = "docs array<{doc}>, n_pairs array<int>, link_pair array<int>, link_n array<bigint>, pairs array<struct<a: int, b: int, n: bigint>>"
+BLOCK = "docs array<{doc}>, n_pairs array<int>, link_pair array<int>, link_n array<bigint>, pairs array<struct<pair: bigint, n: bigint>>"
 
 
 def _row(values: list[pa.Array]) -> list[pa.Array]:
@@ -301,14 +303,17 @@ def _block(ids: pa.Array, per_doc: dict, links: pa.Table) -> pa.RecordBatch:
     docs = pa.StructArray.from_arrays(
         [ids, *[pa.array(per_doc[n].astype(np.int64)) for n in names], per_doc["groups"]], ["id", *names, "groups"]
     )
-    a = pc.shift_right(pair, ID_BITS).cast(pa.int32())
-    b = pc.bit_wise_and(pair, (1 << ID_BITS) - 1).cast(pa.int32())
-    pairs = pa.StructArray.from_arrays([a, b, partial["count_all"].combine_chunks()], ["a", "b", "n"])
+    pairs = pa.StructArray.from_arrays([pair, partial["count_all"].combine_chunks()], ["pair", "n"])
     sizes = pa.array(np.bincount(links["doc"], minlength=len(ids)).astype(np.int32))
     cells = _row([docs, sizes, of, links["n"].combine_chunks(), pairs])
     return pa.RecordBatch.from_arrays(cells, names=["docs", "n_pairs", "link_pair", "link_n", "pairs"])
 
 
+def _pair(a: str, b: str) -> Column:
+    """Two ids as one number, as in a block's list of pairs."""
+    return F.shiftleft(F.col(a).cast("long"), ID_BITS).bitwiseOR(F.col(b).cast("long"))
+
+
 @dataclass
 class Alignment:
     """``pair_counts``: ``(a, b, n_docs, best)``, one row for each pair of ids linked anywhere.
@@ -322,13 +327,14 @@ class Alignment:
 
     def documents(self) -> DataFrame:
         """``(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)`` for every document."""
-        pairs = self.blocks.select("block", F.posexplode("pairs").alias("place", "pair"))
-        counted = pairs.join(
-            self.pair_counts, (F.col("pair.a") == F.col("a")) & (F.col("pair.b") == F.col("b"))
-        ).select("block", "place", "n_docs", "best")
-        of_block = counted.groupBy("block").agg(
-            F.array_sort(F.collect_list(F.struct("place", "n_docs", "best"))).alias("counts")
+        pairs = self.blocks.select("block", F.posexplode("pairs.pair").alias("place", "pair"))
+        counts = self.pair_counts.select(_pair("a", "b").alias("pair"), "n_docs", "best")
+        packed = (
+            F.shiftleft(F.col("place").cast("long"), COUNT_BITS + 1)
+            + F.shiftleft("n_docs", 1)
+            + F.col("best").cast("long")
         )
+        of_block = pairs.join(counts, "pair").groupBy("block").agg(F.sort_array(F.collect_list(packed)).alias("counts"))
         id_type = self.blocks.schema["docs"].dataType.elementType["id"].dataType
         out = T.StructType([T.StructField("id", id_type)])
         for name in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"):
@@ -347,8 +353,10 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc = pa.array(np.repeat(np.arange(rows), sizes))
             sums = [np.zeros(rows, dtype=np.int64)] * 2
             if len(pair):
-                best = pc.if_else(counts.field("best").take(pair), n, 0)
-                sums = [sums_by(doc, x, rows) for x in (best, pc.multiply(n, counts.field("n_docs").take(pair)))]
+                packed = counts.take(pair)
+                n_docs = pc.bit_wise_and(pc.shift_right(packed, 1), (1 << COUNT_BITS) - 1)
+                best = pc.multiply(n, pc.bit_wise_and(packed, 1))
+                sums = [sums_by(doc, x, rows) for x in (best, pc.multiply(n, n_docs))]
             columns = [docs.field(c) for c in ("id", "n_a", "n_b", "n_groups", "n_links")]
             columns += [pa.array(sums[0]), pa.array(sums[1]), docs.field("groups")]
             yield pa.RecordBatch.from_arrays(
@@ -387,8 +395,11 @@ def align(
 
     made = rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
     blocks = materialize(made, "aligned")
-    held = blocks.select(F.explode("pairs").alias("pair")).select("pair.*")
-    counts = held.groupBy("a", "b").agg(F.sum("n").alias("n_docs"))
+    held = blocks.select(F.explode("pairs").alias("held")).select("held.*")
+    counts = held.groupBy("pair").agg(F.sum("n").alias("n_docs")).select(
+        F.shiftright("pair", ID_BITS).cast("int").alias("a"),
+        F.col("pair").bitwiseAND(F.lit((1 << ID_BITS) - 1)).cast("int").alias("b"), "n_docs",
+    )
     of_left = Window.partitionBy("a")  # no more rows than the right vocabulary has entries
     counts = counts.withColumn("best", F.col("n_docs") == F.max("n_docs").over(of_left))
     return Alignment(blocks, materialize(counts, "pairs"), id_col)
