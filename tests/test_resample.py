@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from registered.inputs import HZ, SIGNALS
 from registered.sql import RESAMPLED
 from tests.oracle import over_series
+from tidegrid.operators import series
 from tidegrid.operators.resample import BLOCK_RANGE, grid_segments, resample_to_grid
 from tidegrid.operators.series import split_series, with_row_index
 
@@ -142,6 +143,21 @@ def test_more_long_series_than_may_be_listed(spark, many, monkeypatch):
         assert rows._i.tolist() == list(range(len(f)))
 
 
+def test_small_blocks_share_tasks(spark, monkeypatch):
+    """Tasks follow the rows: 500 blocks are not 500 tasks."""
+    written, write = [], series.materialize
+    monkeypatch.setattr(series, "materialize", lambda *a: written.append(write(*a)) or written[-1])
+    df = spark.range(4000).selectExpr("id % 3 AS sid", "id * 7919 % 4001 AS t", "id")
+    cut, path = split_series(df, ["sid"], ["t", "id"], split_rows=8)
+    assert len(written.pop().inputFiles()) <= 4
+    sizes = cut.groupBy("sid", *path).agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).collect()
+    assert max(r.n for r in sizes) <= 8 and 500 <= len(sizes) <= 520
+    blocks = sorted((r.sid, r[path[0]], r.lo, r.hi) for r in sizes)
+    assert all(a[3] < b[2] for a, b in zip(blocks, blocks[1:]) if a[0] == b[0])  # blocks are in order
+    numbered = with_row_index(df, ["sid"], ["t", "id"], split_rows=8).orderBy("sid", "t").collect()
+    assert [r._i for r in numbered] == [i for n in (1334, 1333, 1333) for i in range(n)]
+
+
 @pytest.mark.parametrize("kind,values", [
     ("double", [None, float("-inf"), float("inf"), float("nan"), 0.0, 1e300, 5e-324]),
     ("string", [None, "", "ä", "zz", "a" * 1000]),

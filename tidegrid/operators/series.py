@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from tidegrid.config import BROADCAST_ROWS, SPLIT_ROWS
 from tidegrid.session import broadcast_if_small, materialize
 
+# The bits of ``monotonically_increasing_id`` that number the rows of a task; those above number the tasks.
+TASK_MASK = (1 << 33) - 1
+
 
 def split_series(
     df: DataFrame,
@@ -30,7 +33,8 @@ def split_series(
     ``_blk0`` (NULL for short series) plus ``_first`` and ``_last``, the range of ``order[0]`` in each
     long series. The rows of long series are dealt by ranges of keys and order, so that a block has
     about ``split_rows`` rows whatever the values are: missing and infinite ones, texts and ties
-    included. Only these rows are moved, and written once, as a range is not the same twice.
+    included. Small blocks share a task, which cuts its sorted rows into them, so that the number of tasks
+    follows the rows and not the blocks. Only these rows are moved, and written once, as a range is not the same twice.
     Long series are listed if they are few: there is at most one per ``4 * split_rows`` input rows.
     """
     long = df.groupBy(*keys).agg(
@@ -42,13 +46,15 @@ def split_series(
         return df, []
     rows = join_null_safe(df, long, keys)
     is_long = F.col("_rows").isNotNull()
-    ranged = (
-        rows.where(is_long)
-        .withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(-(-total // split_rows), *keys, *order, "_tie")
-        .withColumn("_blk0", F.spark_partition_id().cast("long"))
-        .drop("_tie", "_rows")
-    )
+    blocks = -(-total // split_rows)
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // SPLIT_ROWS))
+    path = [*keys, *order, "_tie"]
+    ranged = rows.where(is_long).withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(min(blocks, tasks), *path)
+    block = F.spark_partition_id().cast("long")
+    if blocks > tasks:
+        ranged = ranged.sortWithinPartitions(*path).withColumn("_at", F.monotonically_increasing_id())
+        block = F.expr(f"(_at & ~{TASK_MASK}L) + (_at & {TASK_MASK}L) div {split_rows}")
+    ranged = ranged.withColumn("_blk0", block).drop("_tie", "_rows", "_at")
     short = rows.where(~is_long).drop("_rows").withColumn("_blk0", F.lit(None).cast("long"))
     return materialize(ranged, "blocks").unionByName(short), ["_blk0"]
 
