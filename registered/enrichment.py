@@ -51,9 +51,9 @@ def statistics(spark, sf_dir):
 
 
 def previewed(spark, sf_dir):
-    """The first rows of the sorted dimension table in its preview columns."""
+    """The sorted dimension table in its preview columns, whole."""
     table = sort_metadata(user_mart_table(spark, sf_dir))
-    return preview(table, rows=40)
+    return preview(table, rows=None)
 
 
 def manifest_flags(spark, sf_dir):
@@ -125,7 +125,7 @@ FROM meta GROUP BY ALL""",
     SELECT {exactly('a', 3)} AS a, {exactly('b', 3)} AS b, {exactly('c', 4)} AS c FROM (
       SELECT avg(CAST(declared_disruption AS INTEGER)) AS a, avg(CAST(disruption_detected AS INTEGER)) AS b,
              avg(overall_completeness) AS c FROM meta))""",
-    "meta_preview": f"{_META} SELECT {', '.join(PREVIEW)} FROM meta ORDER BY shot_id LIMIT 40",
+    "meta_preview": f"{_META} SELECT {', '.join(PREVIEW)} FROM meta",
     "mart_manifest_flags": """SELECT 'flag' || c_custkey % 120 AS quality_flag, count(*) AS n_shots
 FROM customer GROUP BY ALL""",
     "mart_manifest_doc": f"""SELECT total_shots, {exactly('a', 3)} AS disruption_rate_declared,

@@ -105,8 +105,10 @@ def confusion(table: DataFrame) -> DataFrame:
     )
 
 
-def preview(table: DataFrame, rows: int = 3) -> DataFrame:
-    return table.select(*PREVIEW).orderBy("shot_id").limit(rows)
+def preview(table: DataFrame, rows: int | None = 3) -> DataFrame:
+    """The first ``rows`` recordings in the preview columns, or all of them; the latter stay in many tasks."""
+    ordered = table.select(*PREVIEW).orderBy("shot_id")
+    return ordered if rows is None else ordered.limit(rows)
 
 
 def _rounded(expr: str) -> Column:
