@@ -320,6 +320,35 @@ def test_a_mart_without_a_list_is_read_and_taken_over(spark, tmp_path):
     assert [d for d in os.listdir(f"{path}/signals") if "=" in d] == ["shot_id=1"]
 
 
+@pytest.mark.parametrize("step", [1, 1000, -7])
+def test_more_recordings_than_directories(spark, tmp_path, step):
+    """Ranges of ids share directories; single recordings are replaced and read as before."""
+    path, config = str(tmp_path), {"max_directories": 4}
+    number = (F.col("shot_id") * step).alias("shot_id")
+    facts = signals_frame(spark, 40, 6).withColumn("shot_id", number)
+    meta = spark.range(1, 41).selectExpr(f"id * {step} AS shot_id", "id % 3 = 0 AS chosen")
+    sink.write_mart(meta, facts, MartConfig(path, **config))
+    folders = [d for d in os.listdir(f"{path}/signals") if "=" in d]
+    assert len(folders) <= 6 and len(stored(f"{path}/signals")) <= 10
+    assert source.read_manifest(spark, path)["tables"]["signals"]["partitioning"] == folders[0].split("=")[0]
+    assert sorted(map(tuple, source.read_signals(spark, path).select(facts.columns).collect())) == sorted(map(tuple, facts.collect()))
+    assert source.select_signals(spark, path, "chosen").count() == 13 * 6
+    for some in ([5, 21], range(1, 41)):
+        assert source.read_signals(spark, path, [i * step for i in some]).count() == 6 * len(some)
+
+    again = signals_frame(spark, 43, 2).where("shot_id in (7, 9, 40, 43)").withColumn("shot_id", number)
+    sink.write_signals(again.withColumn("extra", F.lit(1.5)), MartConfig(path, overwrite=False, **config))
+    back = source.read_signals(spark, path)
+    counts = {r.shot_id // step: (r.n, r.e) for r in back.groupBy("shot_id").agg(F.count("*").alias("n"), F.count("extra").alias("e")).collect()}
+    assert counts == {i: (2, 2) if i in (7, 9, 40, 43) else (6, 0) for i in (*range(1, 41), 43)}
+    kept = sorted(map(tuple, back.where(~F.col("shot_id").isin([i * step for i in (7, 9, 40, 43)])).select(facts.columns).collect()))
+    assert kept == sorted(map(tuple, facts.where(~F.col("shot_id").isin([i * step for i in (7, 9, 40)])).collect()))
+    assert {f"signals/{f}" for f in stored(f"{path}/signals")} == {r.file for r in sink.read_files(spark, path, sink.read_current(spark, path), "signals").collect()}
+
+    sink.write_signals(signals_frame(spark, 3, 5), MartConfig(path, **config))
+    assert sorted(d for d in os.listdir(f"{path}/signals") if "=" in d) == ["shot_id=1", "shot_id=2", "shot_id=3"]
+
+
 def test_least_id_is_selected(spark, tmp_path):
     least = -(2**63)
     meta = spark.createDataFrame([(least, "OK"), (5, "OK")], "shot_id long, quality_flag string")

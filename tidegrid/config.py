@@ -27,6 +27,8 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
 # Rows of one recording that go into one file of the mart, about 128 MB of five doubles.
 FILE_ROWS = 4_000_000
+# Directories that the fact table may have before recordings share them.
+MAX_DIRECTORIES = 1000
 
 
 @dataclass(frozen=True)
@@ -69,3 +71,6 @@ class MartConfig:
     # One directory per recording is the contract; with very many short recordings a directory
     # may hold several, sorted by id, so that files keep a useful size.
     shots_per_directory: int = 1
+    # Beyond this many recordings, one directory each would cost more than their rows: ranges of
+    # ids share a directory then, and about this many are made.
+    max_directories: int = MAX_DIRECTORIES

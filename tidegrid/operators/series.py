@@ -37,6 +37,9 @@ def split_series(
     follows the rows and not the blocks. Only these rows are moved, and written once, as a range is not the same twice.
     Long series are listed if they are few: there is at most one per ``4 * split_rows`` input rows.
     """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    if counts.where(F.col("_rows") > 4 * split_rows).isEmpty():  # needs the keys only, whatever the order costs
+        return df, []
     long = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_rows"), F.min(order[0]).alias("_first"), F.max(order[0]).alias("_last")
     )

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, LongType, StructField, StructType
 
 from tidegrid.config import FILE_ROWS, PIPELINE_VERSION, SIGNAL_COLUMNS, TIME_COLUMN, MartConfig
 from tidegrid.files import delete, delete_all, existing, exists, first_directory, read_text, replace_text
@@ -42,6 +43,11 @@ class MartChange:
         self.new: dict[str, DataFrame] = {}
         self.kept = self.old
 
+    @property
+    def span(self) -> int:
+        """Recordings per directory of the fact table."""
+        return self.now["layout"]["span"] if self.now["layout"] else self.config.shots_per_directory
+
     def _untracked(self) -> DataFrame:
         """The files of a mart that was written without a list."""
         files = self.spark.createDataFrame([], LISTED)
@@ -72,9 +78,10 @@ class MartChange:
         reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
         found = reader.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
         ids = spark.createDataFrame([], "file string, min_id bigint, max_id bigint, n_rows bigint")
-        if by:
+        if by and not found.where(F.col("file").contains(f"/{by}=")).isEmpty():
             schema = ", ".join(f"{c} bigint" for c in dict.fromkeys(["shot_id", by]))
-            rows = spark.read.schema(schema).option("basePath", path).option("pathGlobFilter", pattern).parquet(path)
+            # Directories of another layout, which the change replaces, may still be there.
+            rows = spark.read.schema(schema).option("basePath", path).option("pathGlobFilter", pattern).parquet(f"{path}/{by}=*")
             ids = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
                 F.min("shot_id").alias("min_id"), F.max("shot_id").alias("max_id"), F.count("*").alias("n_rows")
             )
@@ -158,8 +165,10 @@ def write_signals(signals: DataFrame, config: MartConfig, index: str | None = No
 
     A recording is written by one task, into one file, unless it is long: then every ``file_rows``
     rows in a row go to a task and a file of their own. They are told apart by the row number
-    ``index``, if there is one, else by time. ``overwrite`` replaces the whole tree; without it only
-    the recordings being written are replaced, which needs a directory for each.
+    ``index``, if there is one, else by time. More than ``max_directories`` recordings share
+    directories by ranges of their ids, as a file and a directory for each would take far longer than the rows.
+    ``overwrite`` replaces the whole tree; without it only the recordings being written are replaced: by their
+    directories, or, where directories are shared, by writing the others in them once more.
     """
     with scratch_scope(signals.sparkSession):
         change = MartChange(signals.sparkSession, config)
@@ -172,23 +181,61 @@ def _add_signals(change: MartChange, signals: DataFrame, index: str | None) -> N
     config, n = change.config, change.config.shots_per_directory
     if n > 1 and not config.overwrite:
         raise ValueError("replacing single recordings needs one directory per recording")
+    span, directory = n, "shot_id"
+    if n == 1 and isinstance(signals.schema["shot_id"].dataType, IntegralType):
+        ids = materialize(signals.select(F.col("shot_id").cast("long")).distinct(), "ids")
+        span = (None if config.overwrite else _span_of_old(change)) or _span(ids, config.max_directories)
+    if span > 1:
+        directory = f"{SHARED_DIRECTORY}{span}"
+        signals = signals.withColumn("shot_id", F.col("shot_id").cast("long"))
+    if span > 1 and not config.overwrite:
+        signals, index = _with_neighbours(change, signals, ids, directory, span), None
     if index:
         signals, blocks = signals.withColumn("_file", F.expr(f"{index} div {config.file_rows}")), ["_file"]
     else:
         signals, blocks = split_series(signals, ["shot_id"], [TIME_COLUMN], config.file_rows)
     helpers = [c for c in signals.columns if c.startswith("_")]
-    directory = "shot_id"
-    if n > 1:
-        directory = f"{SHARED_DIRECTORY}{n}"
-        signals = signals.withColumn(directory, F.expr(f"shot_id div {n}"))
+    if span > 1:
+        signals = signals.withColumn(directory, F.expr(f"shot_id div {span}"))
     tasks = int(signals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Ranges of ids may differ much in size, so that rows are dealt evenly and not by directory.
+    deal = signals.repartitionByRange if span > n else signals.repartition
     dealt = (
-        signals.repartition(tasks, directory, *blocks)
+        deal(tasks, *dict.fromkeys([directory, *(["shot_id"] if span > n else []), *blocks]))
         .sortWithinPartitions(*dict.fromkeys([directory, "shot_id", TIME_COLUMN]))
         .drop(*helpers)
     )
     change.write(SIGNALS, dealt, directory, keep=not config.overwrite)
-    change.now["layout"] = {"directory": directory, "span": n, "schema": json.loads(dealt.schema.json())}
+    change.now["layout"] = {"directory": directory, "span": span, "schema": json.loads(dealt.schema.json())}
+
+
+def _span(ids: DataFrame, max_directories: int) -> int:
+    """Ids per directory: one, unless there are more recordings than directories may be."""
+    n, least, most = ids.agg(F.count("shot_id"), F.min("shot_id"), F.max("shot_id")).first()
+    return 1 if n <= max_directories else max(2, -(-(most - least + 1) // max_directories))
+
+
+def _span_of_old(change: MartChange) -> int | None:
+    """Ids per directory of the fact table that is there, if there is one."""
+    if change.now["layout"]:
+        return change.now["layout"]["span"]
+    found = first_directory(change.spark, f"{change.root}/{SIGNALS}")
+    if found is None:
+        return None
+    shared = found.startswith(SHARED_DIRECTORY)
+    return int(found.split("=")[0][len(SHARED_DIRECTORY):]) if shared else 1
+
+
+def _with_neighbours(change: MartChange, signals: DataFrame, ids: DataFrame, directory: str, span: int) -> DataFrame:
+    """``signals`` and the old rows of the other recordings in the directories that are replaced."""
+    signals = signals.drop(*[c for c in signals.columns if c.startswith("_")])
+    touched = ids.select(F.expr(f"shot_id div {span}").alias("directory")).distinct()
+    files = change.old.where(F.col("part") == SIGNALS).join(touched, "directory", "left_semi").select("file").collect()
+    if not files:
+        return signals
+    root, schema = f"{change.root}/{SIGNALS}", StructType([*signals.schema.fields, StructField(directory, LongType())])
+    old = change.spark.read.schema(schema).option("basePath", root).parquet(*[f"{change.root}/{r.file}" for r in files])
+    return signals.unionByName(old.drop(directory).join(ids, "shot_id", "left_anti").select(signals.columns))
 
 
 def manifest_statistics(table: DataFrame) -> DataFrame:
@@ -261,7 +308,7 @@ def manifest(
 def write_manifest(table: DataFrame, config: MartConfig, created_at: str | None = None) -> str:
     with scratch_scope(table.sparkSession):
         change = MartChange(table.sparkSession, config)
-        change.now["card"] = manifest(table, created_at, shots_per_directory=config.shots_per_directory)
+        change.now["card"] = manifest(table, created_at, shots_per_directory=change.span)
         change.commit()
     return f"{config.output_dir}/{MANIFEST}"
 
@@ -285,7 +332,7 @@ def write_mart(
         _add_signals(change, signals, index)
         if errors is not None:
             change.write(QUARANTINE, errors)
-        change.now["card"] = manifest(table, created_at, shots_per_directory=config.shots_per_directory)
+        change.now["card"] = manifest(table, created_at, shots_per_directory=change.span)
         change.commit()
     names = {"metadata_table": METADATA, "signals_dir": SIGNALS, "manifest": MANIFEST}
     return {key: f"{config.output_dir}/{name}" for key, name in names.items()}

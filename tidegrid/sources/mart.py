@@ -77,7 +77,7 @@ def read_signals(
     if ids is None:
         paths = [facts.root] if facts.files is None else _paths(mart_dir, facts.files)
         return facts.read(spark, paths).select(out)
-    wanted = sorted({i // facts.span for i in ids})
+    wanted = sorted({abs(i) // facts.span * (1 if i >= 0 else -1) for i in ids})  # rounds like div
     if facts.files is not None:
         paths = _paths(mart_dir, _holding(spark, facts.files, ids, wanted))
     elif len(wanted) <= LISTED_DIRECTORIES:
