@@ -210,8 +210,12 @@ def common_ends(left: pa.Table, right: pa.Table) -> pa.Table:
     for table, name in ((left, "left"), (right, "right")):
         key = pc.bit_wise_or(pc.shift_left(table["doc"].cast(pa.int64()), END_BITS), table["end"])
         sides.append(pa.table({"key": key, name: table["at"]}))
-    both = sides[0].join(sides[1], "key", join_type="inner", use_threads=False).sort_by("left").combine_chunks()
-    return both.append_column("doc", pc.shift_right(both["key"], END_BITS))
+    both = sides[0].join(sides[1], "key", join_type="inner", use_threads=False)
+    # A place in the left table has one partner at most, so that rows are put in order without a sort.
+    partner = np.full(left.num_rows, -1, dtype=np.int64)
+    partner[both["left"].to_numpy()] = both["right"].to_numpy()
+    at = np.flatnonzero(partner >= 0)
+    return pa.table({"left": at, "right": partner[at], "doc": left["doc"].to_numpy()[at].astype(np.int64)})
 
 
 def _grouped(tokens: pa.Table, ends: pa.ChunkedArray) -> pa.Table:
@@ -278,11 +282,9 @@ def align_slab(data: np.ndarray, offsets: np.ndarray, left: Side, right: Side) -
 
 
 def sums_by(doc: pa.ChunkedArray, n: pa.ChunkedArray, rows: int) -> np.ndarray:
-    """Sum of ``n`` for each of the documents 0 to ``rows - 1``."""
-    summed = pa.table({"doc": doc, "n": n}).group_by("doc", use_threads=False).aggregate([("n", "sum")])
-    out = np.zeros(rows, dtype=np.int64)
-    out[summed["doc"].to_numpy()] = summed["n_sum"].to_numpy()
-    return out
+    """Sum of ``n`` for each of the documents 0 to ``rows - 1``, in whose order its rows are."""
+    so_far = np.concatenate([[0], np.cumsum(n.to_numpy(), dtype=np.int64)])
+    return np.diff(so_far[np.searchsorted(doc.to_numpy(), np.arange(rows + 1))])
 
 
 DOC = "struct<id: {id}, n_a: bigint, n_b: bigint, n_groups: bigint, n_links: bigint, groups: string>"
@@ -296,14 +298,14 @@ def _row(values: list[pa.Array]) -> list[pa.Array]:
 
 def _block(ids: pa.Array, per_doc: dict, links: pa.Table) -> pa.RecordBatch:
     """A block as one row: its documents, how many pairs each has, these by place in a list of pairs, and that list."""
-    partial = links.group_by("pair", use_threads=False).aggregate([([], "count_all")]).combine_chunks()
-    pair = partial["pair"].combine_chunks()
-    of = pc.index_in(links["pair"].combine_chunks(), value_set=pair)
+    coded = links["pair"].combine_chunks().dictionary_encode()
+    pair, of = coded.dictionary, coded.indices
+    held = pa.array(np.bincount(of, minlength=len(pair)).astype(np.int64))
     names = ["n_a", "n_b", "n_groups", "n_links"]
     docs = pa.StructArray.from_arrays(
         [ids, *[pa.array(per_doc[n].astype(np.int64)) for n in names], per_doc["groups"]], ["id", *names, "groups"]
     )
-    pairs = pa.StructArray.from_arrays([pair, partial["count_all"].combine_chunks()], ["pair", "n"])
+    pairs = pa.StructArray.from_arrays([pair, held], ["pair", "n"])
     sizes = pa.array(np.bincount(links["doc"], minlength=len(ids)).astype(np.int32))
     cells = _row([docs, sizes, of, links["n"].combine_chunks(), pairs])
     return pa.RecordBatch.from_arrays(cells, names=["docs", "n_pairs", "link_pair", "link_n", "pairs"])
