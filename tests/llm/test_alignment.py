@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -154,3 +155,30 @@ def test_text_ids(spark):
     docs = spark.createDataFrame([("x", "a b"), ("y", "")], "name string, body string")
     got = A.align(docs, LEFT, RIGHT, "name", "body").documents().collect()
     assert [(r["name"], r["n_groups"]) for r in sorted(got)] == [("x", 2), ("y", 0)]
+
+
+def test_a_block_is_a_small_row():
+    rng = random.Random(3)
+    parts = ["ation", "ver", "schl", "é", "qu", "1", "-", "x", "ung", "mente", "'s", "😀"]
+    vocabulary = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 6))) for _ in range(3000)]
+    column = pa.array([" ".join(rng.choice(vocabulary) for _ in range(200)) for _ in range(420)] + ["", None])
+    data, offsets = text_bytes(column)
+    assert len(data) <= A.BLOCK_BYTES
+    per_doc, links = A.align_slab(data, offsets, LEFT, RIGHT)
+    per_doc["groups"] = pa.array([hashed(g) for g in per_doc["groups"].to_pylist()])
+    block = A._block(pa.array(range(len(column))), per_doc, links)
+    assert links.num_rows > 40_000 and block.num_rows == 1
+    assert block.nbytes < 1 << 19  # larger arrays are never moved by the garbage collector
+    held = block.column("pairs")[0].values.to_numpy()
+    place, n = A.unpack_links(block.column("links")[0].as_py(), links.num_rows)
+    assert (held[place] >> A.HELD_BITS).tolist() == links["pair"].to_pylist()
+    assert n.tolist() == links["n"].to_pylist()
+    counted = Counter(links["pair"].to_pylist())
+    assert {int(h) >> A.HELD_BITS: int(h) & (1 << A.HELD_BITS) - 1 for h in held} == counted
+
+
+@pytest.mark.parametrize("place, n", [([], []), ([0], [1]), ([5, 3, 2**32 - 1, 0], [1, 2**62, 7, 2**40])])
+def test_links_are_packed_without_loss(place, n):
+    packed = A.pack_links(np.array(place, dtype=np.uint32), np.array(n, dtype=np.int64))
+    got = A.unpack_links(packed, len(place))
+    assert [x.tolist() for x in got] == [place, n]

@@ -33,8 +33,9 @@ from tidegrid.session import materialize
 SPACE, MARK = 0x20, "▁"
 #: Bits of an id in a pair of ids, and of a byte's place in a text.
 ID_BITS, END_BITS = 20, 32
-#: Bits of a number of documents in what is sent back to a block for each of its pairs.
-COUNT_BITS = 36
+#: Bits of a number of documents in what is sent back to a block for each of its pairs, and of a block's
+#: documents in its list of pairs (each that counts has a byte of text or more).
+COUNT_BITS, HELD_BITS = 36, 23
 #: Bytes of text in a block, and characters of the units that a task remembers.
 BLOCK_BYTES = 3 << 18
 MEMO_CHARS = 2 << 20
@@ -288,7 +289,31 @@ def sums_by(doc: pa.ChunkedArray, n: pa.ChunkedArray, rows: int) -> np.ndarray:
 
 
 DOC = "struct<id: {id}, n_a: bigint, n_b: bigint, n_groups: bigint, n_links: bigint, groups: string>"
-BLOCK = "docs array<{doc}>, n_pairs array<int>, link_pair array<int>, link_n array<bigint>, pairs array<struct<pair: bigint, n: bigint>>"
+BLOCK = "docs array<{doc}>, n_pairs array<int>, links binary, pairs array<bigint>"
+
+
+def _planes(numbers: np.ndarray) -> np.ndarray:
+    """The first bytes of all numbers, then all second ones and so on, most of which are zeros."""
+    return numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T.ravel()
+
+
+def _numbers(planes: np.ndarray, kind: type, size: int) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, size).T).view(kind).ravel()
+
+
+def pack_links(place: np.ndarray, n: np.ndarray) -> bytes:
+    """Links as compressed bytes: as lists, a row of more than a megabyte, they take Spark several times their size.
+
+    A document's places in the list of pairs rise, so that most of their steps are small (at the next document they wrap).
+    """
+    steps = np.diff(place.astype(np.uint32), prepend=np.uint32(0))
+    return pa.compress(np.concatenate([_planes(steps), _planes(n.astype(np.int64))]), "zstd", asbytes=True)
+
+
+def unpack_links(packed: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(pa.decompress(packed, 12 * size, "zstd"), np.uint8)
+    steps, n = _numbers(raw[: 4 * size], np.uint32, size), _numbers(raw[4 * size :], np.int64, size)
+    return np.cumsum(steps, dtype=np.uint32), n
 
 
 def _row(values: list[pa.Array]) -> list[pa.Array]:
@@ -297,18 +322,24 @@ def _row(values: list[pa.Array]) -> list[pa.Array]:
 
 
 def _block(ids: pa.Array, per_doc: dict, links: pa.Table) -> pa.RecordBatch:
-    """A block as one row: its documents, how many pairs each has, these by place in a list of pairs, and that list."""
+    """A block as one row: its documents, how many pairs each has, these by place in a list of pairs, and that list.
+
+    The list is in order; each entry also tells how many of the documents hold the pair.
+    """
     coded = links["pair"].combine_chunks().dictionary_encode()
-    pair, of = coded.dictionary, coded.indices
-    held = pa.array(np.bincount(of, minlength=len(pair)).astype(np.int64))
+    found, of = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    order = np.argsort(found)
+    place = np.empty(len(found), dtype=np.uint32)
+    place[order] = np.arange(len(found), dtype=np.uint32)
+    held = found[order] << HELD_BITS | np.bincount(of, minlength=len(found))[order]
     names = ["n_a", "n_b", "n_groups", "n_links"]
     docs = pa.StructArray.from_arrays(
         [ids, *[pa.array(per_doc[n].astype(np.int64)) for n in names], per_doc["groups"]], ["id", *names, "groups"]
     )
-    pairs = pa.StructArray.from_arrays([pair, held], ["pair", "n"])
     sizes = pa.array(np.bincount(links["doc"], minlength=len(ids)).astype(np.int32))
-    cells = _row([docs, sizes, of, links["n"].combine_chunks(), pairs])
-    return pa.RecordBatch.from_arrays(cells, names=["docs", "n_pairs", "link_pair", "link_n", "pairs"])
+    docs, sizes, pairs = _row([docs, sizes, pa.array(held, pa.int64())])
+    packed = pa.array([pack_links(place[of], links["n"].to_numpy())], pa.binary())
+    return pa.RecordBatch.from_arrays([docs, sizes, packed, pairs], names=["docs", "n_pairs", "links", "pairs"])
 
 
 def _pair(a: str, b: str) -> Column:
@@ -329,7 +360,8 @@ class Alignment:
 
     def documents(self) -> DataFrame:
         """``(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)`` for every document."""
-        pairs = self.blocks.select("block", F.posexplode("pairs.pair").alias("place", "pair"))
+        pairs = self.blocks.select("block", F.posexplode("pairs").alias("place", "held"))
+        pairs = pairs.select("block", "place", F.shiftright("held", HELD_BITS).alias("pair"))
         counts = self.pair_counts.select(_pair("a", "b").alias("pair"), "n_docs", "best")
         packed = (
             F.shiftleft(F.col("place").cast("long"), COUNT_BITS + 1)
@@ -349,16 +381,15 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums up, for each document of a block, what the counts of its pairs say about its links."""
     for batch in batches:
         for i in range(batch.num_rows):
-            cells = ("docs", "n_pairs", "link_pair", "link_n", "counts")
-            docs, sizes, pair, n, counts = (batch.column(c)[i].values for c in cells)
+            docs, sizes, counts = (batch.column(c)[i].values for c in ("docs", "n_pairs", "counts"))
+            place, n = unpack_links(batch.column("links")[i].as_py(), pc.sum(sizes).as_py())
             rows = len(docs)
             doc = pa.array(np.repeat(np.arange(rows), sizes))
             sums = [np.zeros(rows, dtype=np.int64)] * 2
-            if len(pair):
-                packed = counts.take(pair)
-                n_docs = pc.bit_wise_and(pc.shift_right(packed, 1), (1 << COUNT_BITS) - 1)
-                best = pc.multiply(n, pc.bit_wise_and(packed, 1))
-                sums = [sums_by(doc, x, rows) for x in (best, pc.multiply(n, n_docs))]
+            if len(place):
+                packed = counts.to_numpy()[place]
+                n_docs = packed >> 1 & (1 << COUNT_BITS) - 1
+                sums = [sums_by(doc, pa.array(n * x), rows) for x in (packed & 1, n_docs)]
             columns = [docs.field(c) for c in ("id", "n_a", "n_b", "n_groups", "n_links")]
             columns += [pa.array(sums[0]), pa.array(sums[1]), docs.field("groups")]
             yield pa.RecordBatch.from_arrays(
@@ -397,7 +428,9 @@ def align(
 
     made = rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
     blocks = materialize(made, "aligned")
-    held = blocks.select(F.explode("pairs").alias("held")).select("held.*")
+    held = blocks.select(F.explode("pairs").alias("held")).select(
+        F.shiftright("held", HELD_BITS).alias("pair"), F.col("held").bitwiseAND(F.lit((1 << HELD_BITS) - 1)).alias("n")
+    )
     counts = held.groupBy("pair").agg(F.sum("n").alias("n_docs")).select(
         F.shiftright("pair", ID_BITS).cast("int").alias("a"),
         F.col("pair").bitwiseAND(F.lit((1 << ID_BITS) - 1)).cast("int").alias("b"), "n_docs",
